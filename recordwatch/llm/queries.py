@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordwatch.llm import bpe, exact_dedup, packing, simhash_dedup
+from recordwatch.llm import bpe, exact_dedup, packing, quality, simhash_dedup, toxicity
 from recordwatch.llm.common import table
 
 
@@ -24,16 +24,24 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_bpe_encoding, op6_exact_dedup, op8_simhash_near_dedup, op10_best_fit_packing)
+    f.__name__: f for f in (op5_bpe_encoding, op6_exact_dedup, op7_toxicity, op8_simhash_near_dedup, op9_quality, op10_best_fit_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
