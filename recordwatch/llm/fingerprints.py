@@ -70,7 +70,7 @@ def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def edited_text() -> Column:
     """The text with its last third replaced by the beginning of the next."""
     n = F.char_length("text")
-    third = F.floor(n / 3).cast("int")
+    third = F.expr("char_length(text) div 3").cast("int")
     return F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third))
 
 
@@ -92,7 +92,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keys = ["bucket", "place", "guest", "id", "n_chars", "edited_sha256"]
     told = placed.select(
         "bucket", "place", "guest", "id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        F.inline(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("body")), F.struct(F.lit(1), F.col("edited")))),
+        F.inline(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("body")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("body")))),
     )
     both = text_fingerprints(told, [*keys, "version"], "body").groupBy(*keys).agg(
         F.max(F.when(F.col("version") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("version") == 1, F.col("fp"))).alias("edited_fp")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recordwatch.llm import bpe, exact_dedup, packing, quality, simhash_dedup, toxicity
+from recordwatch.llm import bpe, chat, exact_dedup, fingerprints, license_scan, line_dedup, packing, quality, simhash_dedup, toxicity
 from recordwatch.llm.common import table
 
 
@@ -16,6 +17,23 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate_digests(table(spark, sf_dir, "conversations"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -41,7 +59,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_bpe_encoding, op6_exact_dedup, op7_toxicity, op8_simhash_near_dedup, op9_quality, op10_best_fit_packing)
+    f.__name__: f
+    for f in (
+        op1_line_dedup,
+        op2_license_scan,
+        op3_chat_rotation,
+        op4_fingerprints,
+        op5_bpe_encoding,
+        op6_exact_dedup,
+        op7_toxicity,
+        op8_simhash_near_dedup,
+        op9_quality,
+        op10_best_fit_packing,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -56,4 +86,27 @@ ORACLE_SQL: dict[str, str] = {
                sha256(body) AS text_sha256
         FROM rows
     """,
+    "op3_chat_rotation": r"""
+        WITH every AS (
+            SELECT DISTINCT conv_id, coalesce(turn // 64, 4611686018427387904)::BIGINT AS segment,
+                   coalesce(turn, 9223372036854775807)::BIGINT AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text
+            FROM conversations
+        ), parts AS (
+            SELECT e.conv_id, p.perspective, e.segment, e.turn, e.speaker, e.text,
+                   CASE WHEN e.speaker = p.perspective THEN '<|im_start|>assistant' || chr(10)
+                        ELSE '<|im_start|>user name=' || e.speaker || chr(10) END AS head,
+                   CASE WHEN e.speaker = p.perspective THEN '1' ELSE '0' END AS bit
+            FROM every e JOIN (SELECT DISTINCT conv_id, speaker AS perspective FROM every) p ON e.conv_id IS NOT DISTINCT FROM p.conv_id
+        ), whole AS (
+            SELECT conv_id, perspective, segment, count(*) AS n_turns,
+                   string_agg(head || text || '<|im_end|>' || chr(10), '' ORDER BY turn, speaker, text) AS rendered,
+                   string_agg(repeat('0', length(head)) || repeat(bit, length(text) + 10) || '0', '' ORDER BY turn, speaker, text) AS mask
+            FROM parts GROUP BY ALL
+        )
+        SELECT conv_id, perspective, segment,
+               coalesce(sum(length(rendered)) OVER (PARTITION BY conv_id, perspective ORDER BY segment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+               n_turns, length(rendered)::BIGINT AS n_chars, (length(mask) - length(replace(mask, '1', '')))::BIGINT AS n_learnt,
+               sha256(rendered) AS rendered_sha256, sha256(mask) AS mask_sha256
+        FROM whole
+    """,
 }
