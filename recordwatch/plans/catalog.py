@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordwatch.operators.keyed import latest_per_key
+from recordwatch.functions import classify as C
+from recordwatch.functions import html as HT
+from recordwatch.functions import ids as I
+from recordwatch.functions import text as T
+from recordwatch.functions import times as TM
+from recordwatch.functions import urls as U
+from recordwatch.operators import aggregates as A
+from recordwatch.operators import alerts as AL
+from recordwatch.operators import diff as D
+from recordwatch.operators import health as H
+from recordwatch.operators import keyed as K
+from recordwatch.operators import lifecycle as L
+from recordwatch.operators import references as R
+from recordwatch.operators import report as RP
+from recordwatch.operators import rules as Q
+from recordwatch.operators import selection as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,6 +49,745 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS n FROM events
     ) WHERE n = 1
 """)
-def latest_per_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest event of each user and type."""
-    return latest_per_key(table(spark, sf_dir, "events"), ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).select("user_id", "event_type", "event_id", "value")
+def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event of each user and type."""
+    return K.latest_per_key(table(spark, sf_dir, "events"), ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]).select("user_id", "event_type", "event_id", "value")
+
+
+@query("""
+    WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS v,
+                      CASE WHEN event_id % 7 = 0 THEN 0 ELSE 1 END AS n FROM events),
+    best AS (SELECT user_id, arg_max(v, event_id) FILTER (v IS NOT NULL) AS fill FROM e GROUP BY 1)
+    SELECT e.event_id, coalesce(e.v, b.fill) AS value FROM e JOIN best b USING (user_id)
+""")
+def fill_from_siblings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing values filled from the user's latest complete event."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+    return K.fill_from_siblings(e, ["user_id"], ["value"], T.completeness(F.col("value")), F.col("event_id")).select("event_id", "value")
+
+
+@query("""
+    WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS v FROM events)
+    SELECT user_id, max(event_id) AS event_id, coalesce((arg_max(struct_pack(v := v), event_id)).v, arg_max(v, event_id) FILTER (v IS NOT NULL)) AS value FROM e GROUP BY user_id
+""")
+def summary_input_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: the latest row of each key with gaps filled from its siblings, in one aggregation."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+    return K.latest_and_filled(e, ["user_id"], ["value"], T.completeness(F.col("value")), [F.col("event_id")])
+
+
+@query("SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n <= 5")
+def keep_last_n_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last five events of each user."""
+    return K.first_n(table(spark, sf_dir, "events"), ["user_id"], [F.desc("event_id")], 5).select("user_id", "event_id")
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders) WHERE n <= 3")
+def top_n_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three largest orders of each customer."""
+    return K.first_n(table(spark, sf_dir, "orders"), ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 3).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 100")
+def keep_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last hundred rows of all."""
+    return K.keep_last(table(spark, sf_dir, "events"), [F.desc("ts"), F.desc("event_id")], 100).select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+@query(r"""
+    WITH p AS (SELECT page_id, trim(url) AS u FROM pages),
+    x AS (SELECT page_id, u, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.\-]*)://', 1)) AS s,
+                 regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1) AS a,
+                 regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) AS pt,
+                 regexp_extract(u, '^[^?#]*\?([^#]*)', 1) AS q FROM p),
+    k AS (SELECT *, list_sort(list_filter(string_split(q, '&'), lambda v: v <> '' AND NOT list_contains(
+              ['utm_source','utm_medium','utm_campaign','utm_term','utm_content','fbclid','gclid'], lower(split_part(v, '=', 1))))) AS kept FROM x)
+    SELECT page_id, s || '://' || lower(a) || CASE WHEN pt IN ('', '/') THEN '/' ELSE regexp_replace(pt, '/+$', '') END
+           || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url_norm FROM k
+""")
+def url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one spelling per address."""
+    return table(spark, sf_dir, "pages").select("page_id", U.normalize(F.col("url")).alias("url_norm"))
+
+
+@query(r"""
+    SELECT page_id, regexp_extract(lower(regexp_extract(trim(url), '^([A-Za-z]+://[^/?#]*)', 1)), '.*') ||
+           regexp_replace(regexp_extract(trim(url), '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS url_bare FROM pages
+""")
+def url_strip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """addresses without query and fragment."""
+    return table(spark, sf_dir, "pages").select("page_id", U.strip_query(F.col("url")).alias("url_bare"))
+
+
+@query(r"""
+    WITH x AS (SELECT page_id, regexp_replace(lower(regexp_extract(trim(url), '^[A-Za-z]+://([^/?#:]*)', 1)), '^www\.', '') AS h,
+                      regexp_replace(regexp_extract(trim(url), '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS p FROM pages)
+    SELECT page_id, h AS host_root, NOT regexp_matches(p, '(?i)\.(jpg|jpeg|png|gif|webp|svg|mp4|webm|pdf|css|js|ico|zip)$') AND p <> '' AND starts_with(p, '/') AS allowed,
+           h LIKE '%.com' AS under_com FROM x
+""")
+def url_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """host roots and whether an address may be a candidate, against hosts taken from the table itself."""
+    p = table(spark, sf_dir, "pages")
+    root = U.host_root(U.host(F.trim("url")))
+    place = F.regexp_replace(U.path(F.trim("url")), r"/+$", "")
+    return p.select("page_id", root.alias("host_root"), (~place.rlike(U.MEDIA) & (place != "") & place.startswith("/")).alias("allowed"), root.endswith(".com").alias("under_com"))
+
+
+@query(r"""
+    WITH p AS (SELECT trim(url) AS u FROM pages),
+    x AS (SELECT lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS s, regexp_extract(u, '^[A-Za-z]+://([^/?#]*)', 1) AS a,
+                 regexp_extract(u, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS pt, regexp_extract(u, '^[^?#]*\?([^#]*)', 1) AS q FROM p)
+    SELECT count(DISTINCT s || '://' || lower(a) || CASE WHEN pt IN ('', '/') THEN '/' ELSE regexp_replace(pt, '/+$', '') END || '?' ||
+           array_to_string(list_sort(list_filter(string_split(q, '&'), lambda v: v <> '' AND NOT list_contains(
+              ['utm_source','utm_medium','utm_campaign','utm_term','utm_content','fbclid','gclid'], lower(split_part(v, '=', 1))))), '&')) AS n_urls, count(*) AS n_rows FROM x
+""")
+def unique_normalized_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many addresses there really are."""
+    return table(spark, sf_dir, "pages").agg(F.countDistinct(U.normalize(F.col("url"))).alias("n_urls"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("SELECT doc_id, substr(sha256(source || '|' || doc_id), 1, 16) AS record_id, substr(sha256('run-1|' || doc_id || '|seen'), 1, 20) AS event_id FROM documents")
+def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ids of records and events."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", I.record_id(F.col("source"), F.col("doc_id")).alias("record_id"), I.event_id(F.lit("run-1"), F.col("doc_id"), F.lit("seen")).alias("event_id"))
+
+
+@query("SELECT content_hash, count(*) AS n, min(doc_id) AS first_id FROM (SELECT substr(sha256(text), 1, 16) AS content_hash, doc_id FROM documents) GROUP BY 1 HAVING count(*) > 1")
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U8: rows that share their content."""
+    d = table(spark, sf_dir, "documents").select("doc_id", I.digest(F.col("text"), 16).alias("content_hash"))
+    return d.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).filter("n > 1")
+
+
+@query("""
+    SELECT n_nationkey, substr(sha256('{"key":"' || n_nationkey || '","name":"' || n_name || '","region":"' || n_regionkey || '"}'), 1, 16) AS hash FROM nation
+""")
+def canonical_json_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hash of a canonical JSON text."""
+    n = table(spark, sf_dir, "nation")
+    return n.select("n_nationkey", I.content_hash(region=F.col("n_regionkey").cast("string"), name=F.col("n_name"), key=F.col("n_nationkey").cast("string")).alias("hash"))
+
+
+@query("""
+    SELECT strftime(ts, '%G-W%V') AS week, event_type, count(*) AS n, sum(floor(value * 100)::BIGINT)::BIGINT AS cents, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS latest
+    FROM events GROUP BY 1, 2
+""")
+def iso_week_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums by ISO week."""
+    e = table(spark, sf_dir, "events").withColumn("week", TM.iso_week(F.col("ts")))
+    return e.groupBy("week", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor(F.col("value") * 100)).alias("cents"), F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("latest"))
+
+
+@query("""
+    SELECT doc_id, list_sort(list_filter(['and', 'heit', 'ment', 'que', 'tion'], lambda k: contains(lower(text), k))) AS keywords FROM documents
+""")
+def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: keywords of each text."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.matched_keywords(F.col("text"), ["tion", "que", "heit", "ment", "and"]).alias("keywords"))
+
+
+@query(r"""
+    SELECT doc_id, CASE WHEN length(text) > 240 THEN rtrim(substr(text, 1, 239), ' ') || '…' ELSE text END AS excerpt,
+           rtrim(substr(trim(regexp_replace(text, '\s+', ' ', 'g'), ' '), 1, 100), ' ') AS clean FROM documents
+""")
+def text_excerpts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """excerpts and cleaned beginnings."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.excerpt(F.col("text"), 240).alias("excerpt"), T.clean_text(F.col("text"), 100).alias("clean"))
+
+
+@query(r"""SELECT page_id, trim(regexp_replace(translate(url, '‘’“”–—', chr(39) || chr(39) || chr(34) || chr(34) || '--'), '\s+', ' ', 'g'), ' ') AS facts FROM pages""")
+def semantic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """semantic normal form of plain texts, by the general way."""
+    return table(spark, sf_dir, "pages").select("page_id", T.semantic_text(F.col("url")).alias("facts"))
+
+
+@query("""
+    SELECT user_id, arg_max(event_type, struct_pack(n := n, r := CASE event_type WHEN 'purchase' THEN 4 WHEN 'signup' THEN 3 WHEN 'click' THEN 2 WHEN 'view' THEN 1 ELSE 0 END, v := event_type)) AS mode
+    FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1
+""")
+def mode_with_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: dominant event of each user, ties by rank."""
+    return A.mode_ranked(table(spark, sf_dir, "events"), ["user_id"], "event_type", C.rank(F.col("v"), ("error", "view", "click", "signup", "purchase")))
+
+
+@query("""
+    SELECT user_id, arg_max(event_type, struct_pack(n := n, f := -first)) AS mode
+    FROM (SELECT user_id, event_type, count(*) AS n, min(event_id) AS first FROM events GROUP BY 1, 2) GROUP BY 1
+""")
+def mode_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dominant event of each user, ties by which came first."""
+    return A.mode_first_seen(table(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
+
+
+@query("""
+    SELECT source, count(*) AS items, sum(coalesce(quality, 0)) / count(*)::DOUBLE AS average_confidence, sum(n_chars)::BIGINT AS links,
+           count(*) FILTER (WHERE quality IS NOT NULL AND n_chars > 500) / nullif(count(*) FILTER (WHERE quality IS NOT NULL), 0)::DOUBLE AS long_ratio
+    FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1
+""")
+def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: quality of each source."""
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return A.quality_summary(d, "source", F.col("quality").cast("double"), F.col("n_chars"), {"long": F.col("n_chars") > 500}, F.col("quality").isNotNull())
+
+
+@query("""
+    WITH e AS (SELECT user_id, event_id, event_type = 'error' AS failed, CASE WHEN event_type <> 'error' THEN md5((event_id % 3)::VARCHAR) END AS h FROM events),
+    l AS (SELECT *, lag(h) OVER (PARTITION BY user_id ORDER BY event_id) AS p FROM e)
+    SELECT event_id, CASE WHEN failed THEN 'failed' WHEN p IS NULL THEN 'new' WHEN p = h THEN 'unchanged' ELSE 'changed' END AS change_status FROM l
+""")
+def page_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each observation of a page against the one before."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", (F.col("event_type") == "error").alias("failed"), F.md5((F.col("event_id") % 3).cast("string")).alias("h"))
+    return D.page_change(e, "user_id", ["event_id"], "h", "failed").select("event_id", "change_status")
+
+
+_SNAPSHOTS = """
+    a AS (SELECT o_orderkey AS id, o_orderstatus AS status, o_orderpriority AS summary, floor(o_totalprice)::BIGINT::VARCHAR AS price FROM orders WHERE o_orderkey % 10 <> 0),
+    b AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 1 THEN 'X' WHEN o_orderkey % 11 = 2 THEN '' ELSE o_orderstatus END AS status,
+                 CASE WHEN o_orderkey % 13 = 3 THEN o_orderpriority || ' more' ELSE o_orderpriority END AS summary,
+                 CASE WHEN o_orderkey % 17 = 4 THEN NULL ELSE floor(o_totalprice)::BIGINT::VARCHAR END AS price FROM orders WHERE o_orderkey % 10 <> 1)
+"""
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = table(spark, sf_dir, "orders")
+    k, price = F.col("o_orderkey"), F.floor("o_totalprice").cast("string")
+    a = o.filter(k % 10 != 0).select(k.alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("summary"), price.alias("price"))
+    b = o.filter(k % 10 != 1).select(
+        k.alias("id"), F.when(k % 7 == 1, "X").when(k % 11 == 2, "").otherwise(F.col("o_orderstatus")).alias("status"),
+        F.when(k % 13 == 3, F.concat("o_orderpriority", F.lit(" more"))).otherwise(F.col("o_orderpriority")).alias("summary"), F.when(k % 17 != 4, price).alias("price"),
+    )
+    return a, b
+
+
+@query(f"""
+    WITH {_SNAPSHOTS},
+    d AS (SELECT coalesce(b.id, a.id) AS id, a.id IS NULL AS is_new, b.id IS NULL AS gone,
+                 CASE WHEN a.price = b.price THEN NULL WHEN b.price IS NULL THEN 'degraded' ELSE 'changed' END AS p,
+                 CASE WHEN a.status = b.status THEN NULL WHEN b.status = '' THEN 'degraded' ELSE 'changed' END AS s,
+                 CASE WHEN a.summary = b.summary THEN NULL ELSE 'improved' END AS m FROM a FULL JOIN b ON a.id = b.id)
+    SELECT id, CASE WHEN is_new THEN 'new' WHEN gone THEN 'missing' WHEN p IS NOT NULL OR s IS NOT NULL OR m IS NOT NULL THEN 'changed' ELSE 'unchanged' END AS change_status,
+           CASE WHEN is_new OR gone THEN [] ELSE list_filter([CASE WHEN p = 'changed' THEN 'price' END, CASE WHEN s = 'changed' THEN 'status' END], lambda x: x IS NOT NULL) END AS changed_fields,
+           CASE WHEN is_new OR gone THEN [] ELSE list_filter([CASE WHEN m = 'improved' THEN 'summary' END], lambda x: x IS NOT NULL) END AS improved_fields,
+           CASE WHEN is_new OR gone THEN [] ELSE list_filter([CASE WHEN p = 'degraded' THEN 'price' END, CASE WHEN s = 'degraded' THEN 'status' END], lambda x: x IS NOT NULL) END AS degraded_fields
+    FROM d
+""")
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots compared field by field."""
+    return D.snapshot_diff(*_snapshots(spark, sf_dir), "id", ["price", "status", "summary"])
+
+
+@query(f"""
+    WITH {_SNAPSHOTS},
+    x AS (SELECT b.id, a.id IS NULL AS fresh, a.status = b.status AND a.summary = b.summary AS same FROM b LEFT JOIN a USING (id))
+    SELECT id, CASE WHEN fresh THEN 'new' WHEN same THEN 'unchanged' ELSE 'changed' END AS change_status, CASE WHEN fresh THEN 2 ELSE 1 END AS first_seen_at,
+           CASE WHEN fresh OR NOT same THEN 2 ELSE 1 END AS last_changed_at FROM x
+""")
+def change_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change status by content hash, with times carried over."""
+    a, b = _snapshots(spark, sf_dir)
+    h = I.digest(I.joined(F.col("status"), F.col("summary")), 16)
+    existing = a.select("id", h.alias("content_hash"), F.lit(1).alias("first_seen_at"), F.lit(1).alias("last_changed_at"))
+    current = b.select("id", h.alias("content_hash"), F.lit(2).alias("observed_at"))
+    return D.change_metadata(current, existing).select("id", "change_status", "first_seen_at", "last_changed_at")
+
+
+@query(f"""
+    WITH {_SNAPSHOTS}
+    SELECT coalesce(b.id, a.id) AS id, CASE WHEN b.id IS NOT NULL THEN b.status ELSE a.status END AS status, a.summary AS summary,
+           CASE WHEN b.id IS NOT NULL THEN b.price ELSE a.price END AS price, CASE WHEN b.id IS NOT NULL THEN 'run-2' END AS run
+    FROM a FULL JOIN b ON a.id = b.id
+""")
+def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert by column."""
+    a, b = _snapshots(spark, sf_dir)
+    return K.upsert(a, b.drop("summary").withColumn("run", F.lit("run-2")), "id")
+
+
+@query("SELECT event_id, event_type FROM events e WHERE event_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM events x WHERE x.event_id % 3 = 0 AND x.event_id = e.event_id)")
+def anti_join_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that aren't stored yet."""
+    e = table(spark, sf_dir, "events")
+    return K.not_yet_stored(e.filter("event_id % 2 = 1"), e.filter("event_id % 3 = 0"), "event_id").select("event_id", "event_type")
+
+
+@query("""
+    WITH u AS (SELECT 0 AS part, event_id AS pos, user_id % 100 AS k, value FROM events WHERE event_id % 2 = 0
+               UNION ALL SELECT 1, event_id, user_id % 130, value * 2 FROM events WHERE event_id % 2 = 1)
+    SELECT k, arg_max(value, struct_pack(p := part, q := pos)) AS value, (min(struct_pack(p := part, q := pos))).p::BIGINT AS part, (min(struct_pack(p := part, q := pos))).q AS pos FROM u GROUP BY k
+""")
+def union_dedup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last value at the first place."""
+    e = table(spark, sf_dir, "events")
+    a = e.filter("event_id % 2 = 0").select((F.col("user_id") % 100).alias("k"), "value", F.col("event_id").alias("pos"))
+    b = e.filter("event_id % 2 = 1").select((F.col("user_id") % 130).alias("k"), (F.col("value") * 2).alias("value"), F.col("event_id").alias("pos"))
+    return K.union_last_value([a, b], "k").select("k", "value", F.col("position.part").cast("long").alias("part"), F.col("position.pos").alias("pos"))
+
+
+@query("""
+    SELECT user_id, list_distinct_in_order AS types FROM (
+        SELECT user_id, list(event_type ORDER BY first) AS list_distinct_in_order FROM (SELECT user_id, event_type, min(event_id) AS first FROM events GROUP BY 1, 2) GROUP BY 1)
+""")
+def ordered_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different values in the order of their first occurrence."""
+    e = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first"))
+    listed = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("first", "event_type"))).alias("x"))
+    return listed.select("user_id", K.ordered_unique(F.col("x.event_type")).alias("types"))
+
+
+@query("""
+    WITH c AS (SELECT page_id, regexp_extract(trim(url), '^[A-Za-z]+://([^/?#]*)', 1) AS host, url AS evidence FROM pages)
+    SELECT host, arg_max(evidence, struct_pack(n := length(evidence), p := -page_id)) AS evidence, min(page_id) AS pos, count(*) AS n FROM c GROUP BY host
+""")
+def candidate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of one key merged, the longest evidence kept."""
+    p = table(spark, sf_dir, "pages").select(U.authority(F.trim("url")).alias("host"), F.col("page_id").alias("pos"), F.col("url").alias("evidence"), F.lit("t").alias("title"), F.array("url").alias("keywords"), F.lit("anchor").alias("origin"))
+    return K.merge_candidates(p, ["host"]).select("host", "evidence", "pos", F.size("keywords").cast("long").alias("n"))
+
+
+_LOG_SQL = """
+    log AS (SELECT event_id AS seq, event_id AS run_id, ts AS started_at, user_id AS record_id, event_type <> 'signup' AS seen, true AS complete, event_type = 'error' AS failed,
+                   (event_id % 3)::VARCHAR AS facts, floor(value / 50)::BIGINT AS detail FROM events),
+    k0 AS (SELECT *, CASE WHEN seen AND NOT failed THEN 'ok' WHEN seen THEN 'fail' ELSE 'missing' END AS k FROM log),
+    k1 AS (SELECT *, max(seen::INT) OVER (PARTITION BY record_id ORDER BY started_at, seq) AS known FROM k0),
+    k2 AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at, seq) AS n FROM k1 WHERE known = 1),
+    k3 AS (SELECT * REPLACE (CASE WHEN n = 1 THEN 'ok' ELSE k END AS k) FROM k2),
+    k4 AS (SELECT *, CASE WHEN k = lag(k) OVER (PARTITION BY record_id ORDER BY started_at, seq) THEN 0 ELSE 1 END AS turned FROM k3),
+    k5 AS (SELECT *, sum(turned) OVER (PARTITION BY record_id ORDER BY started_at, seq) AS island FROM k4),
+    k6 AS (SELECT *, row_number() OVER (PARTITION BY record_id, island ORDER BY started_at, seq) AS streak, min(started_at) OVER (PARTITION BY record_id, island) AS since FROM k5),
+    k7 AS (SELECT *, CASE WHEN k = 'ok' THEN 'active' WHEN k = 'fail' THEN 'fetch_failed'
+                          WHEN streak >= 2 AND floor((epoch(started_at) - epoch(since)) / 86400) >= 2 THEN 'long_absent' ELSE 'temporarily_missing' END AS state,
+                  last_value(CASE WHEN k = 'ok' THEN struct_pack(f := facts, d := detail) END IGNORE NULLS) OVER (PARTITION BY record_id ORDER BY started_at, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM k6),
+    k8 AS (SELECT *, lag(state) OVER (PARTITION BY record_id ORDER BY started_at, seq) AS prev,
+                  k = 'ok' AND was IS NOT NULL AND facts <> was.f AS changed, k = 'ok' AND was IS NOT NULL AND detail > was.d AS improved, k = 'ok' AND was IS NOT NULL AND detail < was.d AS degraded FROM k7),
+    tl AS (SELECT *, 1 + sum(changed::INT) OVER (PARTITION BY record_id ORDER BY started_at, seq) AS semantic_version, 1 + sum(improved::INT) OVER (PARTITION BY record_id ORDER BY started_at, seq) AS extraction_revision,
+                  k = 'fail' AND streak >= 3 AS attention, list_filter([
+                      CASE WHEN prev IS NULL THEN 'item_discovered' END,
+                      CASE WHEN k IN ('ok', 'fail') AND prev IN ('temporarily_missing', 'long_absent') THEN 'reappeared' END,
+                      CASE WHEN k = 'fail' THEN 'detail_fetch_failed' END,
+                      CASE WHEN k = 'ok' AND prev = 'fetch_failed' THEN 'detail_fetch_recovered' END,
+                      CASE WHEN changed THEN 'semantic_content_changed' END, CASE WHEN improved THEN 'extraction_improved' END, CASE WHEN degraded THEN 'extraction_degraded' END,
+                      CASE WHEN state = 'temporarily_missing' AND prev NOT IN ('temporarily_missing', 'long_absent') THEN 'temporarily_missing' END,
+                      CASE WHEN state = 'long_absent' AND prev <> 'long_absent' THEN 'long_absence_reached' END], lambda x: x IS NOT NULL) AS events FROM k8)
+"""
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as observations: each its own run; signup is an absence, error a failure."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("seq"), F.col("event_id").alias("run_id"), F.col("ts").alias("started_at"), F.col("user_id").alias("record_id"), (F.col("event_type") != "signup").alias("seen"),
+        F.lit(True).alias("complete"), (F.col("event_type") == "error").alias("failed"), (F.col("event_id") % 3).cast("string").alias("facts"), F.floor(F.col("value") / 50).alias("detail"),
+    )
+
+
+_POLICY = L.Policy(absent_observations=2, absent_days=2)
+
+
+@query(f"WITH {_LOG_SQL} SELECT seq, state, streak, semantic_version::BIGINT AS semantic_version, extraction_revision::BIGINT AS extraction_revision, attention, array_to_string(events, ',') AS events FROM tl")
+def lifecycle_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole life of every record."""
+    t = L.timeline(_log(spark, sf_dir), _POLICY)
+    return t.select("seq", "state", "streak", "semantic_version", "extraction_revision", "attention", F.array_join("events", ",").alias("events"))
+
+
+@query(f"""WITH {_LOG_SQL}, e AS (SELECT *, unnest(events) AS event_type FROM tl)
+    SELECT seq, record_id, event_type, substr(sha256(run_id || '|' || record_id || '|' || event_type), 1, 20) AS event_id, attention OR event_type = 'semantic_content_changed' AS attention
+    FROM e WHERE event_type NOT IN ('lifecycle_initialized', 'unchanged_observation')""")
+def lifecycle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, with ids."""
+    e = L.events(L.timeline(_log(spark, sf_dir), _POLICY))
+    return e.filter(~F.col("event_type").isin("lifecycle_initialized", "unchanged_observation")).select("seq", "record_id", "event_type", "event_id", "attention")
+
+
+@query(f"""WITH {_LOG_SQL} SELECT record_id, seq AS run_id, semantic_version::BIGINT AS semantic_version, extraction_revision::BIGINT AS extraction_revision,
+    CASE WHEN prev IS NULL THEN 'new_item' WHEN changed THEN 'semantic_change' ELSE 'extraction_improvement' END AS version_kind FROM tl WHERE prev IS NULL OR changed OR improved""")
+def lifecycle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of each record."""
+    return L.versions(L.timeline(_log(spark, sf_dir), _POLICY)).select("record_id", "run_id", "semantic_version", "extraction_revision", "version_kind")
+
+
+@query(f"""WITH {_LOG_SQL} SELECT record_id, state, streak, semantic_version::BIGINT AS semantic_version, extraction_revision::BIGINT AS extraction_revision, attention FROM (
+    SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at DESC, seq DESC) AS r FROM tl) WHERE r = 1""")
+def lifecycle_final_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last state of each record."""
+    return L.final_states(L.timeline(_log(spark, sf_dir), _POLICY))
+
+
+@query(f"""WITH {_LOG_SQL}, e AS (SELECT unnest(events) AS t FROM tl)
+    SELECT count(*) FILTER (WHERE t = 'item_discovered') AS item_discovered, count(*) FILTER (WHERE t = 'reappeared') AS reappeared, count(*) FILTER (WHERE t = 'detail_fetch_failed') AS detail_fetch_failed, count(*) FILTER (WHERE t = 'semantic_content_changed') AS semantic_content_changed FROM e""")
+def lifecycle_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: events by type."""
+    return L.totals(L.events(L.timeline(_log(spark, sf_dir), _POLICY)), ["item_discovered", "reappeared", "detail_fetch_failed", "semantic_content_changed"])
+
+
+@query(f"""WITH {_LOG_SQL}, f AS (SELECT record_id % 7 AS source, state FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at DESC, seq DESC) AS r FROM tl) WHERE r = 1),
+    s AS (SELECT source, count(*) FILTER (WHERE state = 'active') AS active, count(*) FILTER (WHERE state = 'fetch_failed') AS fetch_failed, count(*) FILTER (WHERE state IN ('temporarily_missing', 'long_absent')) AS absent FROM f GROUP BY 1),
+    e AS (SELECT record_id % 7 AS source, count(*) AS events, count(*) FILTER (WHERE attention OR t = 'semantic_content_changed') AS needs_attention FROM (SELECT record_id, attention, unnest(events) AS t FROM tl) GROUP BY 1)
+    SELECT source, coalesce(active, 0) AS active, coalesce(fetch_failed, 0) AS fetch_failed, coalesce(absent, 0) AS absent, coalesce(events, 0) AS events, coalesce(needs_attention, 0) AS needs_attention FROM s FULL JOIN e USING (source)""")
+def lifecycle_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: states and events by source."""
+    t = L.timeline(_log(spark, sf_dir), _POLICY)
+    of = lambda df: df.withColumn("src", F.col("record_id") % 7)
+    return L.by_source(of(L.final_states(t)), of(L.events(t)), "src")
+
+
+@query(f"WITH {_LOG_SQL} SELECT record_id, state, streak FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at DESC, seq DESC) AS r FROM tl) WHERE r = 1 AND (attention OR state = 'long_absent')")
+def attention_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that need a look."""
+    return L.final_states(L.timeline(_log(spark, sf_dir), _POLICY)).filter("attention or state = 'long_absent'").select("record_id", "state", "streak")
+
+
+@query("""
+    WITH r AS (SELECT event_id AS run_id, (event_id * 7919) % 10007 AS seq, event_id * 1000 + (event_id * 31) % 977 AS started FROM events),
+    m AS (SELECT *, max(started) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT seq, arg_min(run_id, run_id) AS run_id, min(started) AS started FROM r GROUP BY seq))
+    SELECT run_id, seq FROM m WHERE before IS NULL OR started > before
+""")
+def stale_run_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that aren't later than an earlier one are ignored."""
+    k = F.col("event_id")
+    r = table(spark, sf_dir, "events").select(k.alias("run_id"), ((k * 7919) % 10007).alias("seq"), (k * 1000 + (k * 31) % 977).alias("started"))
+    r = r.groupBy("seq").agg(F.min_by("run_id", "run_id").alias("run_id"), F.min("started").alias("started"))
+    return K.running_max_before(r, "seq", "started").filter("max_before is null or started > max_before").select("run_id", "seq")
+
+
+_DAILY_SQL = """
+    d AS (SELECT event_type, ts::DATE AS day, count(*) AS n, count(*) FILTER (WHERE value > 20) > 0 AS usable FROM events GROUP BY 1, 2),
+    m AS (SELECT *, CASE WHEN count(CASE WHEN usable THEN n END) OVER w >= 3 THEN median(CASE WHEN usable THEN n END::DOUBLE) OVER w END AS median_before FROM d
+          WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING))
+"""
+
+
+@query(f"""WITH {_DAILY_SQL}, f AS (SELECT *, coalesce(median_before > 0 AND n < median_before * 0.9, false) AS collapsed, row_number() OVER (PARTITION BY event_type ORDER BY day) AS rn FROM m)
+    SELECT event_type, day::VARCHAR AS day, n, median_before, collapsed, rn - coalesce(max(CASE WHEN NOT collapsed THEN rn END) OVER (PARTITION BY event_type ORDER BY day), 0) AS collapse_streak FROM f""")
+def rolling_median_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that fall below the rolling median."""
+    d = table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), (F.count_if(F.col("value") > 20) > 0).alias("usable"))
+    m = H.rolling_median(d, ["event_type"], ["day"], "n", "usable", 8)
+    return H.collapse_streak(m, ["event_type"], ["day"], "n", 0.9).select("event_type", F.col("day").cast("string").alias("day"), "n", "median_before", "collapsed", "collapse_streak")
+
+
+@query("SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS success, count(*) FILTER (WHERE event_type = 'error') AS failed, CASE WHEN count(*) FILTER (WHERE event_type IN ('purchase', 'error')) > 0 THEN count(*) FILTER (WHERE event_type = 'purchase') / count(*) FILTER (WHERE event_type IN ('purchase', 'error'))::DOUBLE END AS rate FROM events GROUP BY 1")
+def success_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of successes."""
+    g = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("success"), F.count_if(F.col("event_type") == "error").alias("failed"))
+    return g.withColumn("rate", H.success_rate(F.col("success"), F.col("failed")))
+
+
+@query("SELECT o_orderstatus, o_orderpriority AS value, count(*) AS n FROM orders GROUP BY 1, 2")
+def failure_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by source and kind."""
+    return A.histogram(table(spark, sf_dir, "orders"), ["o_orderstatus"], "o_orderpriority")
+
+
+@query("""
+    WITH s AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN 'success' WHEN 'error' THEN 'failure' WHEN 'signup' THEN 'cancelled' WHEN 'click' THEN 'skipped' ELSE 'unknown' END AS o, event_id % 5 = 0 AS critical FROM events),
+    h AS (SELECT user_id, CASE WHEN o IN ('failure', 'cancelled') THEN CASE WHEN critical THEN 2 ELSE 1 END WHEN o = 'unknown' THEN 1 ELSE 0 END AS r FROM s)
+    SELECT user_id, CASE max(r) WHEN 2 THEN 'unhealthy' WHEN 1 THEN 'degraded' ELSE 'healthy' END AS overall_health FROM h GROUP BY 1
+""")
+def worst_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The worst component of each run."""
+    e = table(spark, sf_dir, "events")
+    status = F.when(F.col("event_type") == "purchase", " Passed").when(F.col("event_type") == "error", "FAILED").when(F.col("event_type") == "signup", "canceled").when(F.col("event_type") == "click", "disabled")
+    parts = e.select("user_id", C.component_health(C.step_outcome(status), F.col("event_id") % 5 == 0).alias("status"))
+    return H.overall(parts, ["user_id"])
+
+
+@query("""
+    SELECT source, arg_min(q, struct_pack(r := r, q := q)) AS worst FROM (
+        SELECT source, CASE WHEN n_chars < 500 THEN 'low' WHEN n_chars < 3000 THEN 'medium' ELSE 'high' END AS q, CASE WHEN n_chars < 500 THEN 1 WHEN n_chars < 3000 THEN 2 ELSE 3 END AS r FROM documents) GROUP BY 1
+""")
+def worst_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least quality of each source."""
+    q = F.when(F.col("n_chars") < 500, "low").when(F.col("n_chars") < 3000, "medium").otherwise("high")
+    d = table(spark, sf_dir, "documents").select("source", q.alias("q"))
+    return d.groupBy("source").agg(A.worst_label("q", F.struct(C.rank(F.col("q"), C.QUALITY).alias("r"), F.col("q").alias("q"))).alias("worst"))
+
+
+@query("SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types FROM events GROUP BY 1")
+def sorted_distinct_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses of a group as one text."""
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(A.sorted_distinct_text(F.col("event_type")).alias("types"))
+
+
+@query("SELECT count(*) AS before, count(DISTINCT text) AS after, count(*) - count(DISTINCT text) AS removed FROM documents")
+def dedup_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows before and after."""
+    d = table(spark, sf_dir, "documents")
+    return A.dedup_statistics(d, d.select("text").distinct())
+
+
+@query("""
+    WITH c AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'signup') AS n, count(*) FILTER (WHERE event_type = 'purchase') AS c, count(*) FILTER (WHERE event_type = 'click') AS b, count(*) FILTER (WHERE event_type = 'error') > 0 AS p, count(*) FILTER (WHERE event_type = 'view') AS u FROM events WHERE event_id % 20 = 0 GROUP BY 1)
+    SELECT user_id, CASE WHEN n > 0 OR c > 0 THEN 'items_changed' WHEN b > 0 THEN 'baseline' WHEN p THEN 'page_changed_only' WHEN u > 0 THEN 'unchanged' ELSE 'unclear' END AS reading FROM c
+""")
+def change_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One word for a source's counts."""
+    n = lambda t: F.count_if(F.col("event_type") == t)
+    g = table(spark, sf_dir, "events").filter("event_id % 20 = 0").groupBy("user_id").agg(n("signup").alias("n"), n("purchase").alias("c"), n("click").alias("b"), (n("error") > 0).alias("p"), n("view").alias("u"))
+    return g.select("user_id", A.change_reading(F.col("n"), F.col("c"), F.col("b"), F.col("p"), F.col("u")).alias("reading"))
+
+
+@query("""
+    WITH p AS (SELECT d.doc_id, d.source, n_chars, CASE WHEN quality = 0 THEN 'changed' WHEN toxic = 1 THEN 'new' WHEN quality = 1 THEN 'unchanged' ELSE 'baseline' END AS c FROM documents d LEFT JOIN labels l USING (doc_id))
+    SELECT doc_id, CASE c WHEN 'new' THEN 0 WHEN 'changed' THEN 1 WHEN 'baseline' THEN 5 ELSE 7 END AS priority FROM p ORDER BY priority, n_chars DESC, doc_id DESC LIMIT 200
+""")
+def priority_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most important records first."""
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    change = F.when(F.col("quality") == 0, "changed").when(F.col("toxic") == 1, "new").when(F.col("quality") == 1, "unchanged").otherwise("baseline")
+    ranked = d.withColumn("priority", S.priority(change, F.array().cast("array<string>"), F.lit(False), F.lit("unchanged")))
+    return S.top(ranked, [F.col("priority"), F.desc("n_chars"), F.desc("doc_id")], 200).select("doc_id", "priority")
+
+
+@query("""
+    SELECT d.doc_id FROM documents d LEFT JOIN labels l USING (doc_id) WHERE (d.source <> 'src3' OR d.lang = 'en')
+      AND (l.doc_id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM documents x JOIN labels y USING (doc_id) WHERE x.source = d.source AND (x.source <> 'src3' OR x.lang = 'en')))
+""")
+def core_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in view, item rows before page rows, restricted sources only where direct."""
+    l = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("is_item"))  # noqa: E741
+    d = table(spark, sf_dir, "documents").join(l, "doc_id", "left")
+    return S.core_records(d, F.lit(None).cast("boolean"), F.coalesce("is_item", F.lit(False)), "source", F.col("source") == "src3", F.col("lang") == "en").select("doc_id")
+
+
+@query("SELECT user_id, event_id, n > 8 AS overflow FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE r <= 8")
+def candidate_truncation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first candidates, and whether there were more."""
+    return S.truncated(table(spark, sf_dir, "events"), ["user_id"], [F.col("event_id")], 8).select("user_id", "event_id", "overflow")
+
+
+@query("""
+    WITH r AS (SELECT conv_id, turn, 'd' || (turn * 37 + conv_id) % 1200 AS id, 'u' || CASE WHEN turn % 3 = 0 THEN (turn * 37 + conv_id) % 1200 WHEN turn % 3 = 1 THEN conv_id % 50 ELSE 5000 END AS url FROM conversations),
+    p AS (SELECT 'd' || doc_id AS ref_id, 'u' || doc_id AS ref_url FROM documents),
+    a AS (SELECT r.*, i.ref_url AS ui, u.ref_id AS iu FROM r LEFT JOIN p i ON r.id = i.ref_id LEFT JOIN p u ON r.url = u.ref_url),
+    s AS (SELECT conv_id, CASE WHEN ui = url THEN 'valid' WHEN ui IS NOT NULL THEN 'url_repaired' WHEN iu IS NOT NULL THEN 'id_repaired' ELSE 'invalid' END AS status, CASE WHEN ui IS NOT NULL THEN id ELSE iu END AS rid FROM a)
+    SELECT conv_id, count(*) AS n_refs, count(*) FILTER (WHERE status = 'valid') AS n_valid, count(*) FILTER (WHERE status = 'url_repaired') AS n_url_repaired, count(*) FILTER (WHERE status = 'id_repaired') AS n_id_repaired, count(*) FILTER (WHERE status = 'invalid') AS n_invalid,
+           count(rid) - count(DISTINCT rid) AS n_repeated,
+           CASE WHEN count(rid) = 0 THEN 'failed' WHEN count(*) FILTER (WHERE status <> 'valid') + count(rid) - count(DISTINCT rid) > 0 THEN 'repaired' ELSE 'passed' END AS verdict FROM s GROUP BY 1
+""")
+def reference_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References checked and repaired from either half."""
+    k = (F.col("turn") * 37 + F.col("conv_id")) % 1200
+    url = F.when(F.col("turn") % 3 == 0, k).when(F.col("turn") % 3 == 1, F.col("conv_id") % 50).otherwise(5000)
+    points = table(spark, sf_dir, "conversations").select("conv_id", F.array(F.concat(F.lit("d"), k.cast("string"))).alias("ids"), F.array(F.concat(F.lit("u"), url.cast("string"))).alias("urls"))
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("url"))
+    return R.alignment_counts(R.align(R.references(points, "conv_id", "ids", "urls"), R.allowed_pairs(d, "id", "url")), ["conv_id"])
+
+
+@query("""
+    WITH s AS (SELECT conv_id AS point, min(CASE WHEN turn % 2 = 0 THEN 'unchanged' ELSE 'new' END) AS lo, max(CASE WHEN turn % 2 = 0 THEN 'unchanged' ELSE 'new' END) AS hi FROM conversations WHERE conv_id % 3 = 0 OR turn % 2 = 0 GROUP BY 1),
+    t AS (SELECT conv_id AS point, text FROM conversations WHERE turn = 0)
+    SELECT point, lo AS change_status, list_filter([CASE WHEN contains(lower(text), 'the') THEN 'the' END, CASE WHEN contains(lower(text), 'ment') THEN 'ment' END], lambda x: x IS NOT NULL) AS phrases
+    FROM s JOIN t USING (point) WHERE lo = hi AND lo = 'unchanged' AND (contains(lower(text), 'the') OR contains(lower(text), 'ment'))
+""")
+def wording_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases that the referenced statuses don't bear out."""
+    c = table(spark, sf_dir, "conversations")
+    statuses = c.filter("conv_id % 3 = 0 or turn % 2 = 0").select(F.col("conv_id").alias("point"), F.when(F.col("turn") % 2 == 0, "unchanged").otherwise("new").alias("change_status"))
+    return R.wording_violations(c.filter("turn = 0").select(F.col("conv_id").alias("point"), "text"), statuses, {"unchanged": ["the", "ment"]})
+
+
+@query("""
+    SELECT * FROM (
+        SELECT 'order_price_positive' AS rule, count(*) FILTER (WHERE o_totalprice <= 0) = 0 AS passed, count(*) FILTER (WHERE o_totalprice <= 0) AS violations FROM orders
+        UNION ALL SELECT 'order_status_known', count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) = 0, count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) FROM orders
+        UNION ALL SELECT 'order_key_unique', count(*) = count(DISTINCT o_orderkey), count(*) - count(DISTINCT o_orderkey) FROM orders
+        UNION ALL SELECT 'line_unique', count(*) = count(DISTINCT (l_orderkey, l_linenumber)), count(*) - count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
+        UNION ALL SELECT 'line_has_order', count(*) = 0, count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+        UNION ALL SELECT 'labels_have_documents', count(*) = 0, count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)
+        UNION ALL SELECT 'same_ids', count(*) = 0, count(*) FROM ((SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels) UNION ALL (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents))
+        UNION ALL SELECT 'chars_counted', count(*) FILTER (WHERE n_chars <> length(text)) = 0, count(*) FILTER (WHERE n_chars <> length(text)) FROM documents)
+""")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q6, Q11: rules over several tables as one report."""
+    o, li, d, l = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "documents", "labels"))  # noqa: E741
+    return Q.report(
+        Q.row_rules(o, order_price_positive=F.col("o_totalprice") <= 0, order_status_known=~F.col("o_orderstatus").isin("F", "O")),
+        Q.unique(o, "order_key_unique", "o_orderkey"), Q.unique(li, "line_unique", "l_orderkey", "l_linenumber"), Q.refers(li, "line_has_order", "l_orderkey", o, "o_orderkey"),
+        Q.refers(l, "labels_have_documents", "doc_id", d, "doc_id"), Q.same_set(d.select("doc_id"), l.select("doc_id"), "same_ids"), Q.row_rules(d, chars_counted=F.col("n_chars") != F.char_length("text")),
+    )
+
+
+@query(f"""WITH {_LOG_SQL}
+    SELECT unnest(['recovered_after_failure', 'reappeared_after_absence', 'missing_only_if_not_seen', 'versions_from_one', 'versions_never_fall']) AS rule, true AS passed, 0::BIGINT AS violations FROM (SELECT count(*) FROM tl)""")
+def transition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legality of timelines."""
+    t = L.timeline(_log(spark, sf_dir), _POLICY)
+    return Q.report(Q.transition_rules(t), Q.monotone(t, "versions_never_fall", "record_id", ["started_at", "seq"], "semantic_version"))
+
+
+@query(r"""
+    SELECT doc_id, regexp_matches(text, 'sk-[A-Za-z0-9_\-]{20,}|ghp_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}') AS has_secret, len(regexp_extract_all(text, 'https?://[^\s<>"'')]+'))::BIGINT AS n_urls FROM documents
+""")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F32, Q9: shapes of keys and addresses."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.has_secret(F.col("text")).alias("has_secret"), F.size(T.urls_in(F.col("text"))).cast("long").alias("n_urls"))
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages")
+def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2: titles without leaving the JVM."""
+    return table(spark, sf_dir, "pages").select("page_id", HT.title_native(F.col("html")).alias("title"))
+
+
+@query()
+def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: text blocks of every page."""
+    return HT.page_rows(table(spark, sf_dir, "pages"), "page_id", "blocks").select("page_id", "pos", F.col("a").alias("block"))
+
+
+@query()
+def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of every page, absolute and without queries."""
+    rows = HT.page_rows(table(spark, sf_dir, "pages"), "page_id", "links")
+    return rows.select("page_id", "pos", U.strip_query(F.col("a"), "https://example.invalid").alias("url"), F.col("b").alias("title"))
+
+
+@query()
+def html_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of every page with provenance, and its quality."""
+    f = HT.page_features(table(spark, sf_dir, "pages"), "page_id")
+    n = sum((F.when(~T.is_empty(F.col(c)), 1).otherwise(0) for c in ("title", "published", "summary", "evidence")), F.lit(0))
+    quality, confidence = C.parser_quality(n, ~T.is_empty(F.col("published")), F.char_length("evidence"), F.lit(0))
+    return f.select("page_id", "title", "title_from", "published", "summary_from", "error", "text_hash", quality.alias("quality"), confidence.alias("confidence"))
+
+
+_ALERT_LOG = """
+    o AS (SELECT event_id AS run, ts, user_id % 40 AS k, CASE event_type WHEN 'error' THEN 2 WHEN 'signup' THEN 1 WHEN 'click' THEN 3 END AS r FROM events),
+    n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, run) AS i FROM o)
+"""
+
+
+@query(f"""
+    WITH RECURSIVE {_ALERT_LOG},
+    m AS (SELECT k, i, run, ts, r, CASE WHEN r IS NOT NULL THEN ts + INTERVAL 24 HOUR END AS until, CASE WHEN r IS NOT NULL THEN 'open' END AS action, r AS told FROM n WHERE i = 1
+          UNION ALL
+          SELECT n.k, n.i, n.run, n.ts, n.r,
+                 CASE WHEN n.r IS NOT NULL AND (m.r IS NULL OR n.r > m.r OR m.until <= n.ts) THEN n.ts + INTERVAL 24 HOUR ELSE m.until END,
+                 CASE WHEN m.r IS NULL AND n.r IS NOT NULL THEN 'open' WHEN m.r IS NOT NULL AND n.r IS NULL THEN 'resolve' WHEN m.r IS NULL THEN NULL
+                      WHEN n.r > m.r THEN 'escalate' WHEN m.until <= n.ts THEN 'update' ELSE 'suppress' END, coalesce(n.r, m.r)
+          FROM m JOIN n ON n.k = m.k AND n.i = m.i + 1)
+    SELECT 'condition|global|' || k AS alert_key, run::VARCHAR AS run_id, action, told::BIGINT AS severity_rank FROM m WHERE action IS NOT NULL
+""")
+def alert_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert machine over conditions seen by runs."""
+    e = table(spark, sf_dir, "events")
+    rank = F.when(F.col("event_type") == "error", 2).when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "click", 3)
+    seen = e.select(I.alert_key(F.lit("condition"), F.lit(None), F.col("user_id") % 40).alias("alert_key"), F.col("ts").cast("timestamp").alias("started_at"), F.col("event_id").alias("run_id"), rank.alias("severity_rank"))
+    return AL.machine(seen).select("alert_key", "run_id", "action", "severity_rank")
+
+
+@query(f"""WITH {_LOG_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at DESC, seq DESC) AS r FROM tl)
+    SELECT CASE state WHEN 'fetch_failed' THEN 'detail_fetch_failed' ELSE state END || '|global|' || record_id AS alert_key,
+           CASE WHEN state = 'long_absent' OR (state = 'fetch_failed' AND streak >= 3) THEN 'high' ELSE 'warning' END AS severity FROM f WHERE r = 1 AND state <> 'active'""")
+def alert_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions of the records' states."""
+    return AL.lifecycle_conditions(L.final_states(L.timeline(_log(spark, sf_dir), _POLICY))).select("alert_key", "severity")
+
+
+@query(f"""WITH {_LOG_SQL}, e AS (SELECT seq, substr(sha256(run_id || '|' || record_id || '|' || t), 1, 20) AS event_id, t FROM (SELECT seq, run_id, record_id, unnest(events) AS t FROM tl))
+    SELECT event_id, CASE t WHEN 'extraction_degraded' THEN 'warning' ELSE 'info' END AS severity FROM e WHERE seq % 2 = 1 AND t IN ('semantic_content_changed', 'item_discovered', 'reappeared', 'detail_fetch_recovered', 'extraction_degraded')""")
+def alert_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that notify once."""
+    e = L.events(L.timeline(_log(spark, sf_dir), _POLICY))
+    return AL.notifications(e, e.filter("seq % 2 = 0")).select("event_id", "severity")
+
+
+@query("""
+    SELECT s.source, coalesce(q.quality, s.status, 'unknown') AS quality FROM (SELECT source, max(lang) AS status FROM documents GROUP BY 1) s
+    LEFT JOIN (SELECT source, CASE WHEN avg(quality) > 0.85 THEN 'high' END AS quality FROM documents JOIN labels USING (doc_id) GROUP BY 1) q USING (source)
+""")
+def status_with_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status joined with quality, with fallbacks."""
+    d = table(spark, sf_dir, "documents")
+    s = d.groupBy("source").agg(F.max("lang").alias("status"))
+    q = d.join(table(spark, sf_dir, "labels"), "doc_id").groupBy("source").agg(F.when(F.avg("quality") > 0.85, "high").alias("quality"))
+    return s.join(q, "source", "left").select("source", T.first_filled(F.col("quality"), F.col("status"), F.lit("unknown")).alias("quality"))
+
+
+@query("""
+    WITH a AS (SELECT n_nationkey AS k, n_name AS x FROM nation WHERE n_nationkey % 2 = 0), b AS (SELECT n_nationkey AS k, n_regionkey AS y FROM nation WHERE n_nationkey % 3 = 0),
+         c AS (SELECT s_nationkey AS k, count(*) AS z FROM supplier GROUP BY 1)
+    SELECT k, x, y, z FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)
+""")
+def three_way_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of any of three tables."""
+    n = table(spark, sf_dir, "nation")
+    a, b = n.filter("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("x")), n.filter("n_nationkey % 3 = 0").select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("y"))
+    c = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("z"))
+    return A.with_sources(a, b, c, "k")
+
+
+@query("""
+    WITH v AS (SELECT l_orderkey, max(l_linenumber) AS n, arg_max(l_returnflag, struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey, d := l_returnflag)) AS flag FROM lineitem WHERE l_quantity > 30 GROUP BY 1)
+    SELECT o_orderkey, coalesce(flag, o_orderstatus) AS title FROM orders LEFT JOIN v ON o_orderkey = l_orderkey
+""")
+def latest_version_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A title from the last matching version."""
+    v = K.latest_per_key(table(spark, sf_dir, "lineitem").filter("l_quantity > 30").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"), ["l_orderkey"], [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")])
+    o = table(spark, sf_dir, "orders")
+    return o.join(v, o.o_orderkey == v.l_orderkey, "left").select("o_orderkey", F.coalesce("l_returnflag", "o_orderstatus").alias("title"))
+
+
+@query(f"""
+    WITH {_SNAPSHOTS}, x AS (SELECT coalesce(a.id, b.id) AS id, a.id % 3 AS ra, b.id % 5 AS rb, nullif(a.status, '') AS sa, nullif(b.status, '') AS sb, a.price AS pa, b.price AS pb FROM a FULL JOIN b ON a.id = b.id)
+    SELECT id, CASE WHEN sa IS NULL THEN coalesce(sb, CASE WHEN id % 10 <> 1 AND id % 11 = 2 AND id % 7 <> 1 THEN '' END) WHEN sb IS NULL THEN sa WHEN coalesce(rb, -1) > coalesce(ra, -1) THEN sb ELSE sa END AS status,
+           CASE WHEN pa IS NULL THEN pb WHEN pb IS NULL THEN pa WHEN coalesce(rb, -1) > coalesce(ra, -1) THEN pb ELSE pa END AS price,
+           list_filter([CASE WHEN sa <> sb THEN 'status' END, CASE WHEN pa <> pb THEN 'price' END], lambda v: v IS NOT NULL) AS conflicts FROM x
+""")
+def static_rendered_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two readings of a record merged by field."""
+    a, b = _snapshots(spark, sf_dir)
+    return D.merge_by_rank(a.withColumn("r", F.col("id") % 3), b.withColumn("r", F.col("id") % 5), "id", ["status", "price"], "r", "r")
+
+
+@query("""
+    SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'redirect_outside_source' WHEN event_id % 600 BETWEEN 400 AND 499 THEN 'http_4xx' WHEN event_id % 600 >= 500 THEN 'http_5xx'
+        WHEN event_type = 'view' THEN 'content_type_unsupported' WHEN value > 90 THEN 'response_too_large' WHEN value < 1 THEN 'empty_response' END AS error FROM events
+""")
+def fetch_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with a fetched page, first things first."""
+    e = table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type") == "view", "image/png").otherwise("text/HTML; charset=utf-8")
+    size = F.when(F.col("value") > 90, 91).when(F.col("value") < 1, 0).otherwise(50)
+    return e.select("event_id", C.fetch_error(F.col("event_id") % 97 == 0, F.col("event_id") % 600, kind, size, 90).alias("error"))
+
+
+@query("""
+    SELECT doc_id, CASE WHEN n_chars >= 3000 THEN 0.82 WHEN n_chars >= 500 THEN 0.62 ELSE 0.35 END::DOUBLE AS confidence, CASE WHEN n_chars >= 3000 THEN 'high' WHEN n_chars >= 500 THEN 'medium' ELSE 'low' END AS quality,
+           CASE WHEN lang = 'en' THEN NULL WHEN n_chars % 2 = 0 THEN true ELSE false END AS render FROM documents
+""")
+def level_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """quality and confidence of levels, and decisions to render."""
+    level = F.when(F.col("n_chars") >= 3000, "item_level").when(F.col("n_chars") >= 500, "link_level").otherwise("page_level")
+    render = F.when(F.col("lang") != "en", C.render_decision(F.lit("auto"), F.when(F.col("n_chars") % 2 == 0, "title_missing"), F.lit(True)))
+    return table(spark, sf_dir, "documents").select("doc_id", C.level_confidence(level).alias("confidence"), C.level_quality(level).alias("quality"), render.alias("render"))
+
+
+@query("""
+    SELECT o_orderkey, greatest(0, floor((epoch(TIMESTAMP '1998-08-02 12:00:00') - epoch(o_orderdate)) / 86400))::BIGINT AS days,
+           epoch(try_cast(CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+02:00' WHEN o_orderkey % 3 = 1 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS TIMESTAMPTZ))::BIGINT AS parsed FROM orders
+""")
+def time_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed times and whole days."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    text = F.when(k % 3 == 0, F.concat(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))).when(k % 3 == 1, "soon").otherwise(F.date_format(d, "yyyy-MM-dd"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", TM.days_between(d.cast("timestamp"), F.lit("1998-08-02 12:00:00").cast("timestamp")).alias("days"), F.unix_timestamp(TM.parse(text)).alias("parsed"))
+
+
+@query("SELECT strftime(ts, '%G-W%V') AS week, count(*) AS n, sum(count(*)) OVER (ORDER BY strftime(ts, '%G-W%V') DESC ROWS 3 PRECEDING)::BIGINT AS trend FROM events GROUP BY 1")
+def week_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks, latest first, with a trend over four."""
+    from pyspark.sql import Window
+
+    g = table(spark, sf_dir, "events").groupBy(TM.iso_week(F.col("ts")).alias("week")).agg(F.count(F.lit(1)).alias("n"))
+    return g.withColumn("trend", F.sum("n").over(Window.orderBy(F.desc("week")).rowsBetween(-3, 0)))
+
+
+@query("""
+    SELECT '| r_regionkey | r_name |' AS line, 0::BIGINT AS pos UNION ALL SELECT '| --- | --- |', 1 UNION ALL SELECT '| ' || r_regionkey || ' | ' || r_name || ' |', 1 + row_number() OVER (ORDER BY r_regionkey) FROM region
+""")
+def markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report as ordered rows of Markdown."""
+    return RP.markdown_rows(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), [F.col("r_regionkey")])
