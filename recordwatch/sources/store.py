@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+POINTER = "CURRENT.json"
 
 
 class Store:
@@ -52,8 +52,9 @@ class Store:
         out = self._fs.create(temporary, True)
         out.write(bytearray(json.dumps(found, sort_keys=True).encode()))
         out.close()
-        pointer = self._path(f"{self.root}/{POINTER}")
-        if self._fs.exists(pointer):
-            self._fs.delete(pointer, False)
-        self._fs.rename(temporary, pointer)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        options = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        options[0] = hadoop.Options.Rename.OVERWRITE
+        where = hadoop.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        where.rename(self._fs.makeQualified(temporary), self._fs.makeQualified(self._path(f"{self.root}/{POINTER}")), options)
         return True
