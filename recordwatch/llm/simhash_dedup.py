@@ -54,15 +54,16 @@ def fingerprint(text: str) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, fp`` of each row; fp is the fingerprint as a signed long."""
+    """``id, mark, fp`` of each row; mark is a hash of the text, fp the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
+            fps = np.array([fingerprint(t) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], ["id", "mark", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    text = text_or_empty(text_col)
+    return docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("mark"), text.alias("text")).mapInArrow(run, f"id {kind}, mark long, fp long")
 
 
 def covering_masks(radius: int = RADIUS, bits: int = 64) -> list[int]:
@@ -83,7 +84,7 @@ def forest(fps: np.ndarray, bucket: np.ndarray, radius: int) -> np.ndarray:
         at = at[bucket[at] == bucket[at + step]]
         if not len(at):
             return label
-        i = at[np.bitwise_count(fps[at] ^ fps[at + step]) <= radius]
+        i = at[np.bitwise_count((fps[at] ^ fps[at + step]).view(np.uint64)) <= radius]
         j = i + step
         while len(i):
             low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
@@ -177,20 +178,25 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     return plain.unionByName(star)
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """``id_col, fingerprint, component_id`` of each row; the component is the smallest id that links lead to."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, radius: int, bucket: int) -> DataFrame:
+    """``id, mark, fp, component_id`` of each row."""
     rows = cut(fingerprints(docs, id_col, text_col))
     first = cut(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
     roots = cut(connected(near_links(first.select("fp"), radius, bucket)))
     named = first.join(roots, first.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = named.filter("root is not null").groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = named.join(least, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rows.join(named.join(least, "root").select("fp", "component_id"), "fp")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """``id_col, fingerprint, component_id`` of each row; the component is the smallest id that links lead to."""
+    found = _grouped(docs, id_col, text_col, radius, bucket)
+    return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group, the one of the smallest id; all columns stay."""
-    lost = near_groups(docs, id_col, text_col).filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__lost"))
-    return docs.join(lost, docs[id_col].eqNullSafe(lost["__lost"]), "left_anti")
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """``docs`` with one document of each group, the one of the smallest id; all columns stay. Rows to drop are found by id and text."""
+    found = _grouped(docs, id_col, text_col, radius, bucket)
+    lost = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__lost"), F.col("mark").alias("__mark"))
+    same = docs[id_col].eqNullSafe(lost["__lost"]) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == lost["__mark"])
+    return docs.join(lost, same, "left_anti")
