@@ -64,7 +64,8 @@ def exact_groups(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that lose to an equal text; all columns stay.
 
-    The ids to drop are joined as an anti join; of repeated rows with the id that stays, all stay.
+    The rows to drop are found by id and text, in an anti join; of repeated rows with the id that stays, all stay.
     """
-    lost = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("__lost"))
-    return docs.join(lost, docs[id_col].eqNullSafe(lost["__lost"]), "left_anti")
+    lost = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("__lost"), F.col("text_sha256").alias("__sha"))
+    same = docs[id_col].eqNullSafe(lost["__lost"]) & (F.sha2(squeezed(F.coalesce(docs[text_col].cast("string"), F.lit(""))), 256) == lost["__sha"])
+    return docs.join(lost, same, "left_anti")
