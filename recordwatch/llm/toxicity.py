@@ -30,7 +30,7 @@ THRESHOLD = 0.3
 #: Beginnings of words that count as features, in letters; shorter words have only themselves.
 PREFIXES = (4, 5, 6)
 #: Most features that are selected, the fewest texts that one must be in, and the least size of its z value.
-FEATURES, LEAST_TEXTS, LEAST_Z = 4000, 5, 3.5
+FEATURES, LEAST_TEXTS, LEAST_Z = 4000, 3, 2.5
 PAIR_WEIGHT = 1.0
 
 # Names of groups, by kind, in the four languages of the documents.
