@@ -89,3 +89,20 @@ def action_counts(actions: DataFrame) -> DataFrame:
         *[F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ("open", "escalate", "update", "suppress", "resolve")],
         *[F.count_if(told & (F.col("severity_rank") == k)).alias(f"severity_{k}") for k in range(4)],
     )
+
+
+def counters(log: DataFrame, key: str, order: str, run: str, met: str) -> DataFrame:
+    """``log`` with ``count``: runs in a row that met a condition, a run that looks twice counted once."""
+    from pyspark.sql import Window
+
+    runs = log.groupBy(key, run).agg(F.max(met).alias(met), F.min(order).alias(order))
+    by = Window.partitionBy(key).orderBy(order)
+    n = F.row_number().over(by)
+    rows = runs.withColumn("__n", n)
+    last = F.coalesce(F.max(F.when(~F.col(met), F.col("__n"))).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
+    return rows.withColumn("count", (F.col("__n") - last).cast("long")).drop("__n")
+
+
+def is_stale(run_id: Column, started_at: Column, last_run_id: Column, last_started_at: Column) -> Column:
+    """Whether an evaluation comes too late to change the state: another run that started before the last one."""
+    return F.coalesce((run_id != last_run_id) & (started_at < last_started_at), F.lit(False))

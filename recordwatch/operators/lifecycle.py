@@ -115,3 +115,21 @@ def by_source(states: DataFrame, found: DataFrame, source: str) -> DataFrame:
     )
     e = found.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("events"), F.count_if("attention").alias("needs_attention"))
     return s.join(e, "source", "full_outer").na.fill(0)
+
+
+def initialize(existing: DataFrame, states: DataFrame, run_id: str, started_at: Column) -> DataFrame:
+    """Records that have no state yet become active: ``record_id, run_id, started_at, event_type, version_kind, state, event_id``.
+
+    Done again it gives nothing, since every record then has a state.
+    """
+    fresh = existing.select("record_id").distinct().join(states.select("record_id"), "record_id", "left_anti")
+    rows = fresh.select(
+        "record_id", F.lit(run_id).alias("run_id"), started_at.alias("started_at"), F.lit("lifecycle_initialized").alias("event_type"), F.lit("initial_snapshot").alias("version_kind"), F.lit("active").alias("state")
+    )
+    return rows.withColumn("event_id", event_id(F.col("run_id"), F.col("record_id"), F.col("event_type")))
+
+
+def view_complete(reachable: Column, discovered: Column, truncated: Column, render_warning: Column) -> Column:
+    """Whether what a run didn't see may count as missing."""
+    no = F.lit(False)
+    return F.coalesce(reachable, no) & F.coalesce(discovered, no) & ~F.coalesce(truncated, no) & ~F.coalesce(render_warning, no)

@@ -791,3 +791,161 @@ def week_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report as ordered rows of Markdown."""
     return RP.markdown_rows(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), [F.col("r_regionkey")])
+
+
+@query("""
+    SELECT doc_id, 'run-1' AS run_id, 'lifecycle_initialized' AS event_type, 'initial_snapshot' AS version_kind, substr(sha256('run-1|' || doc_id || '|lifecycle_initialized'), 1, 20) AS event_id
+    FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+""")
+def lifecycle_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without a state are initialized once."""
+    d, l = (table(spark, sf_dir, t).select(F.col("doc_id").alias("record_id")) for t in ("documents", "labels"))  # noqa: E741
+    return L.initialize(d, l, "run-1", F.lit("2026-01-01")).select(F.col("record_id").alias("doc_id"), "run_id", "event_type", "version_kind", "event_id")
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'baseline' WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 = 0 THEN 'unchanged' WHEN o_orderkey % 3 <> 0 AND o_orderkey % 7 = 0 THEN 'unchanged'
+        WHEN o_orderkey % 3 <> 0 THEN 'new' WHEN o_orderstatus = 'F' THEN 'changed' ELSE 'unchanged' END AS change_status FROM orders
+""")
+def baseline_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change status before and after a source has a baseline."""
+    k = F.col("o_orderkey")
+    known = k % 3 == 0
+    return table(spark, sf_dir, "orders").select("o_orderkey", D.baseline_status(k % 2 != 0, known, known & (k % 5 == 0), k % 7 == 0, F.col("o_orderstatus") == "F").alias("change_status"))
+
+
+@query(f"""
+    WITH {_SNAPSHOTS} SELECT b.id, CASE WHEN b.id % 4 = 0 AND a.id IS NOT NULL THEN a.summary WHEN b.id % 4 = 0 THEN NULL ELSE b.summary END AS summary, b.id % 4 = 0 AND a.id IS NOT NULL AS reused
+    FROM b LEFT JOIN a USING (id)
+""")
+def reuse_last_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: failed rows keep what was last read."""
+    a, b = _snapshots(spark, sf_dir)
+    failed = F.col("id") % 4 == 0
+    current = b.select("id", failed.alias("failed"), F.when(~failed, F.col("summary")).alias("summary"))
+    return D.reuse_last_success(current, a, "id", ["summary"]).select("id", "summary", "reused")
+
+
+@query("SELECT event_id, event_type <> 'error' AND value > 5 AND NOT (event_id % 11 = 0) AND NOT (event_id % 13 = 0) AS complete FROM events")
+def view_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a run saw everything."""
+    k = F.col("event_id")
+    return table(spark, sf_dir, "events").select("event_id", L.view_complete(F.col("event_type") != "error", F.col("value") > 5, k % 11 == 0, k % 13 == 0).alias("complete"))
+
+
+@query("""
+    WITH r AS (SELECT user_id, event_id // 2 AS run, max((event_type IN ('error', 'view'))::INT) = 1 AS met, min(event_id) AS pos FROM events GROUP BY 1, 2),
+    n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS i FROM r)
+    SELECT user_id, run, i - coalesce(max(CASE WHEN NOT met THEN i END) OVER (PARTITION BY user_id ORDER BY pos), 0) AS count FROM n
+""")
+def condition_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in a row that met a condition, each run once."""
+    e = table(spark, sf_dir, "events").select("user_id", F.expr("event_id div 2").alias("run"), F.col("event_id").alias("pos"), F.col("event_type").isin("error", "view").alias("met"))
+    return AL.counters(e, "user_id", "pos", "run", "met").select("user_id", "run", "count")
+
+
+@query("SELECT event_id, event_id % 5 <> 0 AND event_id * 7 % 100 < 50 AS stale FROM events")
+def stale_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluations that come too late."""
+    k = F.col("event_id")
+    return table(spark, sf_dir, "events").select("event_id", AL.is_stale(F.when(k % 5 == 0, 0).otherwise(1), k * 7 % 100, F.lit(0), F.lit(50)).alias("stale"))
+
+
+@query(f"""
+    WITH RECURSIVE {_ALERT_LOG},
+    m AS (SELECT k, i, ts, r, CASE WHEN r IS NOT NULL THEN ts + INTERVAL 24 HOUR END AS until, CASE WHEN r IS NOT NULL THEN 'open' END AS action, r AS told FROM n WHERE i = 1
+          UNION ALL
+          SELECT n.k, n.i, n.ts, n.r, CASE WHEN n.r IS NOT NULL AND (m.r IS NULL OR n.r > m.r OR m.until <= n.ts) THEN n.ts + INTERVAL 24 HOUR ELSE m.until END,
+                 CASE WHEN m.r IS NULL AND n.r IS NOT NULL THEN 'open' WHEN m.r IS NOT NULL AND n.r IS NULL THEN 'resolve' WHEN m.r IS NULL THEN NULL
+                      WHEN n.r > m.r THEN 'escalate' WHEN m.until <= n.ts THEN 'update' ELSE 'suppress' END, coalesce(n.r, m.r)
+          FROM m JOIN n ON n.k = m.k AND n.i = m.i + 1)
+    SELECT count(*) FILTER (WHERE action = 'open') AS n_open, count(*) FILTER (WHERE action = 'escalate') AS n_escalate, count(*) FILTER (WHERE action = 'update') AS n_update,
+           count(*) FILTER (WHERE action = 'suppress') AS n_suppress, count(*) FILTER (WHERE action = 'resolve') AS n_resolve,
+           count(*) FILTER (WHERE action <> 'suppress' AND told = 0) AS severity_0, count(*) FILTER (WHERE action <> 'suppress' AND told = 1) AS severity_1,
+           count(*) FILTER (WHERE action <> 'suppress' AND told = 2) AS severity_2, count(*) FILTER (WHERE action <> 'suppress' AND told = 3) AS severity_3 FROM m
+""")
+def alert_action_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: alert actions by kind and severity."""
+    e = table(spark, sf_dir, "events")
+    rank = F.when(F.col("event_type") == "error", 2).when(F.col("event_type") == "signup", 1).when(F.col("event_type") == "click", 3)
+    seen = e.select((F.col("user_id") % 40).cast("string").alias("alert_key"), F.col("ts").cast("timestamp").alias("started_at"), F.col("event_id").alias("run_id"), rank.alias("severity_rank"))
+    return AL.action_counts(AL.machine(seen))
+
+
+@query("""
+    WITH h AS (SELECT o_orderkey AS run_id, 0 AS part, o_orderkey AS pos, o_orderstatus AS v FROM orders WHERE o_orderkey % 3 = 0
+               UNION ALL SELECT o_orderkey, 1, o_orderkey, 'new' FROM orders WHERE o_orderkey % 4 = 0 AND o_orderstatus <> 'P')
+    SELECT run_id::VARCHAR AS run_id, arg_max(v, struct_pack(p := part, q := pos)) AS v FROM h GROUP BY run_id ORDER BY min(struct_pack(p := part, q := pos)) DESC LIMIT 400
+""")
+def health_history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final runs replaced in place, the last four hundred kept."""
+    o = table(spark, sf_dir, "orders")
+    run = F.col("o_orderkey")
+    history = o.filter(run % 3 == 0).select(run.cast("string").alias("run_id"), F.lit(None).cast("string").alias("health_phase"), F.col("o_orderstatus").alias("v"), run.alias("pos"))
+    record = o.filter(run % 4 == 0).select(run.cast("string").alias("run_id"), F.when(F.col("o_orderstatus") == "P", "provisional").otherwise("final").alias("health_phase"), F.lit("new").alias("v"), run.alias("pos"))
+    return H.upsert_history(history, record, 400).select("run_id", "v")
+
+
+@query("""
+    SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN floor(value)::BIGINT + 2 ELSE 7 END AS total, event_id % 4 = 0 AS on_switch, event_id % 5 <> 0 AS port_ok FROM events
+""")
+def usage_and_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of usage, switches, ports."""
+    k = F.col("event_id")
+    total = C.tokens_used(F.when(k % 3 == 1, F.floor("value")), F.lit(2), F.when(k % 3 == 2, 7))
+    port = F.when(k % 5 == 0, "70000").otherwise("587")
+    return table(spark, sf_dir, "events").select("event_id", total.alias("total"), T.truthy(F.when(k % 4 == 0, " Yes").otherwise("off")).alias("on_switch"), C.valid_port(port).alias("port_ok"))
+
+
+@query(r"""
+    SELECT doc_id, CASE WHEN n_chars = 0 THEN 'low' WHEN lang = 'en' AND n_chars >= 80 AND doc_id % 3 >= 3 THEN 'high' WHEN doc_id % 4 = 0 THEN 'low' WHEN lang = 'en' AND n_chars >= 80 AND doc_id % 4 >= 3 THEN 'high' ELSE 'medium' END AS quality,
+           contains(lower(text), 'the ') AND length('the ') < length(text) AS grows FROM documents
+""")
+def parser_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """quality by how much was found, and growth of texts."""
+    q, _ = C.parser_quality((F.col("doc_id") % 4).cast("int"), F.col("lang") == "en", F.col("n_chars"), F.lit(0))
+    return table(spark, sf_dir, "documents").select("doc_id", q.alias("quality"), T.grows(F.lit("the "), F.col("text")).alias("grows"))
+
+
+@query(r"""
+    WITH b AS (SELECT doc_id, string_split(lower(text), chr(10)) AS bs FROM documents),
+    m AS (SELECT doc_id, bs, list_filter(bs, lambda x: contains(x, 'tion')) AS ms FROM b),
+    p AS (SELECT *, list_filter(ms, lambda x: regexp_matches(x, 'enti|anti')) AS ps FROM m)
+    SELECT doc_id, CASE WHEN len(ms) > 0 AND len(ms) = len(ps) THEN 'incidental' WHEN len(list_filter(bs[1:3], lambda x: regexp_matches(x, 'the .*tion'))) > 0 THEN 'direct'
+        WHEN len(ps) > 0 THEN 'incidental' WHEN len(ms) = 0 THEN 'not_direct' ELSE 'unknown' END AS relevance FROM p
+""")
+def relevance_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """whether a text is about something, by its blocks."""
+    return table(spark, sf_dir, "documents").select("doc_id", C.relevance(F.lit(""), F.split("text", "\n"), "tion", "enti|anti", "the .*tion").alias("relevance"))
+
+
+@query()
+def embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5, H6: candidates in JSON that pages embed (here added to every third page)."""
+    extra = F.concat(F.col("html"), F.lit('<script type="application/ld+json">{"items": [{"url": "/item/'), F.col("page_id").cast("string"), F.lit('", "name": "An item"}]}</script>'))
+    p = table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 3 == 0, extra).otherwise(F.col("html")).alias("html"))
+    return HT.page_rows(p, "page_id", "json").select("page_id", "pos", F.col("a").alias("url"), F.col("b").alias("title"))
+
+
+@query(r"SELECT event_id, CAST(regexp_extract(props, '\"k\": *(\d+)', 1) AS BIGINT) AS k, coalesce(nullif(CAST(regexp_extract(props, '\"k\": *(\d+)', 1) AS BIGINT), 0), -1) AS k_or FROM events")
+def nested_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of open objects, null-safe, zero falling through."""
+    k = F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint")
+    return table(spark, sf_dir, "events").select("event_id", k.alias("k"), T.truthy_or(k, F.lit(-1).cast("bigint")).alias("k_or"))
+
+
+@query(f"""WITH {_LOG_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at DESC, seq DESC) AS r FROM tl)
+    SELECT record_id, state, CASE WHEN state = 'active' THEN 'normal' WHEN state = 'long_absent' OR streak >= 3 THEN 'high' ELSE 'warning' END AS level FROM f WHERE r = 1""")
+def alert_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level of each record from its state."""
+    s = L.final_states(L.timeline(_log(spark, sf_dir), _POLICY))
+    high = (F.col("state") == "long_absent") | (F.col("streak") >= 3)
+    return s.select("record_id", "state", F.when(F.col("state") == "active", "normal").when(high, "high").otherwise("warning").alias("level"))
+
+
+@query()
+def reconcile_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run planned from its observations; the report of its rules."""
+    from recordwatch.plans.reconcile import plan_run
+
+    return plan_run(_log(spark, sf_dir), _POLICY)["rules"]

@@ -260,3 +260,20 @@ def test_reports(spark):
     once = RP.upsert_section(text, "A", "new")
     assert "old" not in once and "kept" in once and RP.upsert_section(once, "A", "new") == once
     assert RP.upsert_section(text, "C", "x", before="B").index("## C") < text.index("## B") + 20
+
+
+def test_a_run_is_committed_whole(spark, tmp_path):
+    from recordwatch.operators import lifecycle as L
+    from recordwatch.plans.reconcile import commit_run
+
+    schema = "seq long, run_id string, started_at timestamp, record_id string, seen boolean, complete boolean, failed boolean, facts string, detail double"
+    rows = [(k, f"r{k}", datetime(2026, 1, 1 + k), "x", True, True, k == 1, "a", 1.0) for k in range(3)]
+    store = Store(spark, str(tmp_path / "runs"))
+    log = spark.createDataFrame(rows, schema)
+    assert not commit_run(store, "r", log, dry_run=True) and store.current() == {}
+    assert commit_run(store, "r", log)
+    assert store.read("states").first().state == "active" and store.read("events").count() == 3
+    before = sorted(map(str, store.read("events").collect()))
+    assert commit_run(store, "r", log) and sorted(map(str, store.read("events").collect())) == before
+    fresh = L.initialize(log, store.read("states"), "r9", F.lit("2026-01-09"))
+    assert fresh.count() == 0 and L.initialize(log, store.read("states").limit(0), "r9", F.lit("2026-01-09")).count() == 1
