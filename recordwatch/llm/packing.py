@@ -35,7 +35,7 @@ ROUNDS, RATE = 24, 0.15
 #: Rounding ends after so many pricings; so many pieces, or units of pieces, are planned one by one.
 MOST_PASSES, PLANNED = 40, 400_000
 #: Pieces of one length that are ranked together; longer queues are salted.
-RANKED_TOGETHER = 20_000
+RANKED_TOGETHER = 1_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -212,11 +212,9 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     found = cut(found)
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = found.sparkSession.sparkContext.broadcast(plan(histogram, capacity))
-    queues = {size: n // RANKED_TOGETHER + 1 for size, n in histogram.items() if n > RANKED_TOGETHER}
-    salts = F.lit(1)
-    for size, n in queues.items():
-        salts = F.when(F.col("length") == size, F.lit(n)).otherwise(salts)
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), salts))
+    # One row per length: bounded by the capacity, so it may be broadcast.
+    queues = found.sparkSession.createDataFrame([(size, n // RANKED_TOGETHER + 1) for size, n in histogram.items()], "length long, queues long")
+    salted = found.join(F.broadcast(queues), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("queues")))
     counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
