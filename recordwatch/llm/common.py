@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,9 +30,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there."""
+    """Write ``df`` to the shared checkpoint folder and go on from there.
+
+    Shuffle files that nothing refers to any more go when the driver collects its garbage, so it does so here: an
+    operator of several steps then needs the disk of its largest step, not of all.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    del df
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
+    return out
 
 
 def shared_folder(spark: SparkSession) -> str:

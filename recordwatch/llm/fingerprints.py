@@ -1,6 +1,6 @@
 """Document fingerprints: SimHash of weighted terms, and a search by permuted block tables.
 
-A term is a run of words; its weight is the number of its letters. Each term's hash votes on 64 signed bits with its
+A term is a run of words; its weight is 1, 2, 4 or 8, by its length. Each term's hash votes on 64 signed bits with its
 weight. Fingerprints within a Hamming radius r are found by tables that lead with every choice of all but r of the
 blocks a fingerprint is cut into: two within r bits agree on the leading blocks of some table.
 
@@ -30,9 +30,10 @@ def text_fingerprints(rows: DataFrame, keys: list[str], text: str = "text", term
     """``keys`` and ``fp`` of each row; the rows of equal keys count as one text."""
     terms = rows.select(*keys, F.inline_outer(S.windows(S.words(F.col(text)), term_words)))
     parts = [f"w{k}" for k in range(term_words)]
-    weight = sum((F.coalesce(F.char_length(p), F.lit(0)) for p in parts), F.lit(0)).cast("long")
-    hashed = terms.select(*keys, F.xxhash64(*parts).alias("h"), weight.alias("weight"))
-    return hashed.groupBy(*keys).agg(*S.votes(F.col("h"), F.col("weight"))).select(*keys, S.fingerprint().alias("fp"))
+    letters = sum((F.coalesce(F.char_length(p), F.lit(0)) for p in parts), F.lit(0))
+    # A term that inline_outer makes up for a text without words has no hash, and so no vote.
+    hashed = terms.select(*keys, F.when(F.col("w0").isNotNull(), F.xxhash64(*parts)).alias("h"), F.least(F.shiftright(letters, 2), F.lit(3)).cast("int").alias("doublings"))
+    return hashed.groupBy(*keys).agg(*S.votes(F.col("h"), F.col("doublings"))).select(*keys, S.fingerprint().alias("fp"))
 
 
 def _bucket(of: Column) -> Column:

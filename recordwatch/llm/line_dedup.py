@@ -1,12 +1,13 @@
 """Fuzzy line deduplication: SimHash, pigeonhole blocks, edit similarity, one occurrence per connected group.
 
-Lines are compared in a normal form (letters and digits in lower case, runs of anything else as one blank). Two
-different lines are linked if their SimHashes (words weighted by length) differ in at most ``radius`` bits and the edit
+Lines are compared in a normal form (lower case, without ASCII punctuation and control characters). Two different
+lines are linked if the SimHashes of their words, weighted by length, differ in at most ``radius`` bits and the edit
 similarity of their words, 1 - edits / words of the longer, is at least ``similarity``. Candidates share all but
 ``radius`` of the blocks of a SimHash, which no pair within the radius can avoid.
 
-Buckets never emit all their pairs: first every line is compared with the two ends of each of its buckets, linked lines
-become groups, and only lines of different groups are then compared. Of each group the first occurrence stays, by id
+Buckets of up to 64 lines compare their lines directly and emit the near ones. Larger buckets never emit all their pairs:
+first every line is compared with the two ends of each of its buckets, linked lines become groups, and only lines of
+different groups are then compared. Of each group the first occurrence stays, by id
 and then by place in the text.
 
 Edge cases: null texts are empty; lines whose normal form is empty are never dropped; a text without dropped lines is
@@ -26,11 +27,13 @@ from recordwatch.llm.components import connected
 RADIUS, SIMILARITY = 3, 0.8
 #: Keys of lines that are under comparison are broadcast up to so many rows; beyond, rows are shuffled to them.
 BROADCAST_ROWS = 500_000
+#: Lines of a bucket that are compared with each other directly.
+DIRECT = 64
 LAST_ID = (1 << 63) - 1
 
 
 def normal_form(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x00-\x1F!-/:-@\[-`{-\x7F]+", ""))
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,15 +47,16 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def line_fingerprints(found: DataFrame) -> DataFrame:
     """``rid, h1, h2, fp`` of every different line."""
     lines = found.groupBy("h1", "h2").agg(F.max("body").alias("body"))
-    terms = lines.select("h1", "h2", F.explode(F.split("body", " ")).alias("word"))
-    votes = S.votes(F.xxhash64("word"), F.char_length("word").cast("long"))
-    marked = terms.groupBy("h1", "h2").agg(*votes).select("h1", "h2", S.fingerprint().alias("fp"))
+    terms = lines.select("h1", "h2", F.explode(F.split("body", " ")).alias("word")).filter("word <> ''")
+    # Long words say more than the short ones that all lines share, so they weigh up to 16 times as much.
+    doublings = F.least(F.shiftright(F.char_length("word"), 1), F.lit(4))
+    marked = terms.groupBy("h1", "h2").agg(*S.votes(F.xxhash64("word"), doublings)).select("h1", "h2", S.fingerprint().alias("fp"))
     return cut(marked.withColumn("rid", F.monotonically_increasing_id()))
 
 
 def symbols(body: Column) -> Column:
     """One character for each word, so that character edits are word edits; two words share one in 55,000 cases."""
-    coded = F.transform(F.split(body, " "), lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(54_000)) + 1024), 4, "0"))
+    coded = F.transform(F.filter(F.split(body, " "), lambda w: w != ""), lambda w: F.lpad(F.hex(F.pmod(F.xxhash64(w), F.lit(54_000)) + 1024), 4, "0"))
     return F.decode(F.unhex(F.array_join(coded, "")), "UTF-16BE")
 
 
@@ -75,23 +79,31 @@ def line_groups(found: DataFrame, radius: int = RADIUS, similarity: float = SIMI
     lines = line_fingerprints(found)
     masks = S.block_masks(blocks or S.blocks_for(lines.count(), radius), radius)
     bucket = Window.partitionBy("t", "key")
+    near_enough = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= radius
     keyed = S.with_keys(lines.select("rid", "fp"), masks)
     ends = keyed.withColumn("first", F.min(F.struct("rid", "fp")).over(bucket)).withColumn("last", F.max(F.struct("rid", "fp")).over(bucket))
-    shared = cut(ends.filter("first.rid <> last.rid"))
-    wanted = cut(lines.join(shared.select("rid").distinct(), "rid").select("h1", "h2", "rid"))
+    ends = ends.withColumn("n", F.count(F.lit(1)).over(bucket)).filter("n > 1")
+    # Most buckets of two are chance; they are done with as soon as their two lines are seen to be apart.
+    shared = cut(ends.filter((F.col("n") > 2) | near_enough("first.fp", "last.fp")))
+    few = shared.filter(F.col("n") <= DIRECT).select("t", "key", "rid", "fp")
+    other = few.select("t", "key", F.col("rid").alias("rid_b"), F.col("fp").alias("fp_b"))
+    direct = few.join(other, ["t", "key"]).filter("rid > rid_b").filter(near_enough("fp", "fp_b")).select(F.col("rid").alias("a"), F.col("rid_b").alias("b"))
+    crowd = shared.filter(F.col("n") > DIRECT)
+    to_ends = crowd.select("rid", "fp", F.explode(F.array("first", "last")).alias("end")).filter("rid <> end.rid").filter(near_enough("fp", "end.fp"))
+    near = cut(direct.unionByName(to_ends.select(F.greatest("rid", "end.rid").alias("a"), F.least("rid", "end.rid").alias("b"))).distinct())
+    live = near.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(crowd.select("rid")).distinct()
+    wanted = cut(lines.join(live, "rid").select("h1", "h2", "rid"))
     texts = cut(_keyed(found, wanted).groupBy("rid").agg(F.min("body").alias("body")).select("rid", symbols(F.col("body")).alias("coded")))
-    apart = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= radius
-    to_ends = shared.select("rid", "fp", F.explode(F.array("first", "last")).alias("end")).filter("rid <> end.rid").filter(apart("fp", "end.fp"))
-    near = to_ends.select(F.greatest("rid", "end.rid").alias("a"), F.least("rid", "end.rid").alias("b")).distinct()
     links = cut(_verified(near, texts, similarity))
     roots = connected(links)
-    named = shared.select("t", "key", "rid", "fp").join(roots, shared.rid == roots.node, "left").select("t", "key", "rid", "fp", F.coalesce("root", "rid").alias("grp"))
+    named = crowd.select("t", "key", "rid", "fp").join(roots, F.col("rid") == F.col("node"), "left").select("t", "key", "rid", "fp", F.coalesce("root", "rid").alias("grp"))
     mixed = named.withColumn("low", F.min("grp").over(bucket)).withColumn("high", F.max("grp").over(bucket)).filter("low <> high")
     left = cut(mixed.select("t", "key", "rid", "fp", "grp"))
-    right = left.select("t", "key", *[F.col(c).alias(f"{c}_b") for c in ("rid", "fp", "grp")])
-    across = left.join(right, ["t", "key"]).filter("rid > rid_b and grp <> grp_b").filter(apart("fp", "fp_b"))
-    more = _verified(across.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct(), texts, similarity)
-    roots = connected(links.unionByName(more))
+    if not left.isEmpty():
+        right = left.select("t", "key", *[F.col(c).alias(f"{c}_b") for c in ("rid", "fp", "grp")])
+        across = left.join(right, ["t", "key"]).filter("rid > rid_b and grp <> grp_b").filter(near_enough("fp", "fp_b"))
+        more = _verified(across.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct(), texts, similarity)
+        roots = connected(links.unionByName(more))
     return lines.join(roots, lines.rid == roots.node, "left").select("h1", "h2", F.coalesce("root", "rid").alias("line_group"))
 
 

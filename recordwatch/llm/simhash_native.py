@@ -28,10 +28,14 @@ def windows(found: Column, size: int) -> Column:
     return F.arrays_zip(found.alias("w0"), *rest) if rest else F.transform(found, lambda w: F.struct(w.alias("w0")))
 
 
-def votes(term_hash: Column, weight: Column) -> list[Column]:
-    """Sums that count, for each bit, the weight of the terms whose hash has it, and the whole weight."""
-    bits = [F.sum(F.shiftrightunsigned(term_hash, k).bitwiseAND(F.lit(PAIR)) * weight).alias(f"v{k}") for k in range(LANES)]
-    return [*bits, F.sum(weight).alias("whole")]
+def votes(term_hash: Column, doublings: Column | None = None) -> list[Column]:
+    """Sums that count, for each bit, the weight of the terms whose hash has it, and the whole weight.
+
+    A term weighs 1, or 1 doubled ``doublings`` times: shifting both counters costs little, multiplying them much.
+    """
+    weigh = lambda c: c if doublings is None else F.call_function("shiftleft", c, doublings)
+    bits = [F.sum(weigh(F.shiftrightunsigned(term_hash, k).bitwiseAND(F.lit(PAIR)))).alias(f"v{k}") for k in range(LANES)]
+    return [*bits, F.sum(weigh(F.lit(1).cast("long"))).alias("whole")]
 
 
 def fingerprint() -> Column:

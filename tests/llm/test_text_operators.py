@@ -216,7 +216,9 @@ def line_corpus():
     return texts
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("direct", [64, 2])
+def test_line_dedup(spark, monkeypatch, direct):
+    monkeypatch.setattr(line_dedup, "DIRECT", direct)
     texts = line_corpus()
     rows = docs_of(spark, texts)
     found = line_dedup.occurrences(rows, "doc_id", "text")
