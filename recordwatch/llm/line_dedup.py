@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordwatch.llm import line_edits
 from recordwatch.llm import simhash_native as S
 from recordwatch.llm.common import cut, text_or_empty
 from recordwatch.llm.components import connected
@@ -107,16 +108,22 @@ def line_groups(found: DataFrame, radius: int = RADIUS, similarity: float = SIMI
     return lines.join(roots, lines.rid == roots.node, "left").select("h1", "h2", F.coalesce("root", "rid").alias("line_group"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
-    """``id, pos`` of every line that isn't the first of its group (a null id shows as the largest long)."""
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
+    """``id, pos`` of every line that isn't the first of its group (a null id shows as the largest long).
+
+    With a radius of None the edit similarity alone links lines, whatever their SimHashes.
+    """
     found = occurrences(docs, id_col, text_col)
-    groups = line_groups(found, radius, similarity, blocks)
+    if radius is None:
+        groups = line_edits.line_groups(found, occurrences(docs.sample(line_edits.SAMPLE, seed=1), id_col, text_col), similarity)
+    else:
+        groups = line_groups(found, radius, similarity, blocks)
     of_line = cut(found.select("h1", "h2", "id", "pos").join(groups, ["h1", "h2"]).select("line_group", "id", "pos"))
     first = of_line.groupBy("line_group").agg(F.min(F.struct("id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     return of_line.join(first, "line_group").filter("id <> first.id or pos <> first.pos").select("id", "pos")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
     """``id_col, n_lines, n_kept, text_col`` of each row, the text without its dropped lines."""
     gone = dropped_lines(docs, id_col, text_col, radius, similarity, blocks).groupBy(F.col("id").alias("__id")).agg(F.collect_set("pos").alias("gone"))
     rows = docs.select(docs[id_col].alias(id_col), text_or_empty(text_col).alias("text"))

@@ -18,7 +18,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), radius=None)
     return found.select("doc_id", "n_lines", "n_kept", F.sha2("text", 256).alias("text_sha256"))
 
 
