@@ -17,6 +17,8 @@ treated as one text with that id; an empty table gives an empty result; other co
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +39,16 @@ def normal_form(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[\x00-\x1F!-/:-@\[-`{-\x7F]+", ""))
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def words_form(line: Column) -> Column:
+    """Letters and digits in lower case, every run of anything else as one blank."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+
+
+def occurrences(docs: DataFrame, id_col: str, text_col: str, form: Callable[[Column], Column] = normal_form) -> DataFrame:
     """``id, pos, body, h1, h2`` of every line with a normal form; the two hashes identify it."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text_or_empty(text_col).alias("text"))
     lines = rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    found = lines.select("id", "pos", normal_form(F.col("line")).alias("body")).filter("body <> ''")
+    found = lines.select("id", "pos", form(F.col("line")).alias("body")).filter("body <> ''")
     return found.select("*", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit("line"), "body").alias("h2"))
 
 
@@ -111,12 +118,13 @@ def line_groups(found: DataFrame, radius: int = RADIUS, similarity: float = SIMI
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
     """``id, pos`` of every line that isn't the first of its group (a null id shows as the largest long).
 
-    With a radius of None the edit similarity alone links lines, whatever their SimHashes.
+    With a radius of None the edit similarity of ``words_form`` alone links lines, whatever their SimHashes.
     """
-    found = occurrences(docs, id_col, text_col)
     if radius is None:
-        groups = line_edits.line_groups(found, occurrences(docs.sample(line_edits.SAMPLE, seed=1), id_col, text_col), similarity)
+        found, sample = (occurrences(d, id_col, text_col, words_form) for d in (docs, docs.sample(line_edits.SAMPLE, seed=1)))
+        groups = line_edits.line_groups(found, sample, similarity)
     else:
+        found = occurrences(docs, id_col, text_col)
         groups = line_groups(found, radius, similarity, blocks)
     of_line = cut(found.select("h1", "h2", "id", "pos").join(groups, ["h1", "h2"]).select("line_group", "id", "pos"))
     first = of_line.groupBy("line_group").agg(F.min(F.struct("id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")

@@ -58,3 +58,10 @@ def test_lines_are_linked_by_edits_alone(spark, monkeypatch, common):
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(rows, radius=None).collect()}
     assert [got[k] for k in range(len(lines))] == expected
     assert 20 < sum(e == "" for e in expected) < len(lines) - 20
+
+
+def test_other_characters_are_blanks_between_words(spark):
+    same = [("foo,bar baz", "foo, bar baz"), ("a well-known thing", "a well known thing"), ("tab\tin line", "tab in line"), ("\u201cso\u201d \u2013 he\u00a0said", '"so" - he said')]
+    rows = spark.createDataFrame([(k, "\n".join(pair)) for k, pair in enumerate(same)], DOCS)
+    got = {r.doc_id: (r.text, r.n_kept) for r in line_dedup.dedup_lines(rows, radius=None).collect()}
+    assert got == {k: (pair[0], 1) for k, pair in enumerate(same)}
