@@ -11,8 +11,8 @@ different groups are then compared. Of each group the first occurrence stays, by
 and then by place in the text.
 
 Edge cases: null texts are empty; lines whose normal form is empty are never dropped; a text without dropped lines is
-returned as it is; of repeated rows (same id and text) each keeps the same lines; rows with null ids come last and are
-treated as one text with that id; an empty table gives an empty result; other columns are ignored.
+returned as it is; of repeated rows (same id and text) each keeps the same lines; rows with null ids come last, and rows
+of one id with different texts are different rows, in the order of their texts' hashes; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,10 +45,10 @@ def words_form(line: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str, form: Callable[[Column], Column] = normal_form) -> DataFrame:
-    """``id, pos, body, h1, h2`` of every line with a normal form; the two hashes identify it."""
+    """``id, row, pos, body, h1, h2`` of every line with a normal form; the two hashes identify it, and ``row`` the text."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text_or_empty(text_col).alias("text"))
-    lines = rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    found = lines.select("id", "pos", form(F.col("line")).alias("body")).filter("body <> ''")
+    lines = rows.select("id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    found = lines.select("id", "row", "pos", form(F.col("line")).alias("body")).filter("body <> ''")
     return found.select("*", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit("line"), "body").alias("h2"))
 
 
@@ -116,7 +116,7 @@ def line_groups(found: DataFrame, radius: int = RADIUS, similarity: float = SIMI
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
-    """``id, pos`` of every line that isn't the first of its group (a null id shows as the largest long).
+    """``id, row, pos`` of every line that isn't the first of its group (a null id shows as the largest long).
 
     With a radius of None the edit similarity of ``words_form`` alone links lines, whatever their SimHashes.
     """
@@ -126,16 +126,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     else:
         found = occurrences(docs, id_col, text_col)
         groups = line_groups(found, radius, similarity, blocks)
-    of_line = cut(found.select("h1", "h2", "id", "pos").join(groups, ["h1", "h2"]).select("line_group", "id", "pos"))
-    first = of_line.groupBy("line_group").agg(F.min(F.struct("id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return of_line.join(first, "line_group").filter("id <> first.id or pos <> first.pos").select("id", "pos")
+    of_line = cut(found.select("h1", "h2", "id", "row", "pos").join(groups, ["h1", "h2"]).select("line_group", "id", "row", "pos"))
+    first = of_line.groupBy("line_group").agg(F.min(F.struct("id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return of_line.join(first, "line_group").filter("id <> first.id or row <> first.row or pos <> first.pos").select("id", "row", "pos")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
     """``id_col, n_lines, n_kept, text_col`` of each row, the text without its dropped lines."""
-    gone = dropped_lines(docs, id_col, text_col, radius, similarity, blocks).groupBy(F.col("id").alias("__id")).agg(F.collect_set("pos").alias("gone"))
+    gone = dropped_lines(docs, id_col, text_col, radius, similarity, blocks).groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_set("pos").alias("gone"))
     rows = docs.select(docs[id_col].alias(id_col), text_or_empty(text_col).alias("text"))
-    joined = rows.join(gone, F.coalesce(rows[id_col].cast("long"), F.lit(LAST_ID)) == gone["__id"], "left")
+    same = (F.coalesce(rows[id_col].cast("long"), F.lit(LAST_ID)) == gone["__id"]) & (F.xxhash64(rows["text"]) == gone["__row"])
+    joined = rows.join(gone, same, "left")
     lines = F.split("text", "\n")
     stay = F.filter(lines, lambda line, k: ~F.array_contains("gone", k))
     return joined.select(

@@ -65,3 +65,12 @@ def test_other_characters_are_blanks_between_words(spark):
     rows = spark.createDataFrame([(k, "\n".join(pair)) for k, pair in enumerate(same)], DOCS)
     got = {r.doc_id: (r.text, r.n_kept) for r in line_dedup.dedup_lines(rows, radius=None).collect()}
     assert got == {k: (pair[0], 1) for k, pair in enumerate(same)}
+
+
+@pytest.mark.parametrize("radius", [3, None])
+def test_rows_of_one_id_are_told_apart(spark, radius):
+    rows = [(None, "first words here\nshared line of these rows\nonly in one"), (None, "shared line of these rows\nother end\nquite different third"), (4, "p q r\ns t u"), (4, "p q r\nv w x")]
+    got = sorted((str(r.doc_id), r.n_kept, r.text) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), radius=radius).collect())
+    kept = sorted(line for _, _, text in got for line in text.split("\n"))
+    assert kept == sorted({line for _, text in rows for line in text.split("\n")})
+    assert [n for _, n, _ in got] == [text.count("\n") + 1 for _, _, text in got]
