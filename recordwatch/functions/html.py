@@ -1,6 +1,6 @@
 """HTML: one small event parser on the standard library, as Arrow UDFs and as a table function's rows.
 
-Caps guard executors against hostile pages: so many blocks, links and levels of embedded JSON per page.
+Caps guard executors against hostile pages: so many levels and children of embedded JSON. Links and blocks have none.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ SKIPPED = {"script", "style", "noscript", "svg"}
 CHROME = {"nav", "footer", "form"}
 BLOCKS = {"p", "h1", "h2", "h3", "time", "li"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-MOST_LINKS, MOST_BLOCKS, DEPTH, CHILDREN, BLOCK_CHARS, LEAST_CHARS = 500, 2000, 8, 200, 1200, 20
+DEPTH, CHILDREN, BLOCK_CHARS, LEAST_CHARS = 8, 200, 1200, 20
 # What pages show instead of their content.
 CHALLENGES = ("just a moment", "checking your browser", "access denied", "captcha")
 
@@ -37,6 +37,7 @@ class Page(HTMLParser):
         self.stack: list[str] = []
         self.text: dict[str, list[str]] = {"all": [], "main": [], "article": [], "title": [], "h1": []}
         self.blocks: dict[str, list[str]] = {"all": [], "main": [], "article": []}
+        self._seen: dict[str, set[str]] = {root: set() for root in self.blocks}
         self.links: list[tuple[str, str]] = []
         self.meta: dict[str, str] = {}
         self.scripts: list[tuple[str, str]] = []
@@ -56,7 +57,7 @@ class Page(HTMLParser):
         if tag == "script":
             self.has_script = True
             self._script = (has.get("type", "").lower() or has.get("id", "").lower(), [])
-        if tag == "a" and has.get("href") and len(self.links) < MOST_LINKS:
+        if tag == "a" and has.get("href"):
             self._open_link = (has["href"], [])
         if tag in BLOCKS:
             self._close_block()
@@ -100,9 +101,10 @@ class Page(HTMLParser):
             return
         text = _flat(self._open_block)[:BLOCK_CHARS]
         self._open_block = None
-        if len(text) >= LEAST_CHARS and len(self.blocks["all"]) < MOST_BLOCKS:
+        if len(text) >= LEAST_CHARS:
             for root in ("all", "main", "article"):
-                if (root == "all" or root in self.stack) and text not in self.blocks[root]:
+                if (root == "all" or root in self.stack) and text not in self._seen[root]:
+                    self._seen[root].add(text)
                     self.blocks[root].append(text)
 
     def main_text(self) -> str:
