@@ -7,15 +7,19 @@ similar lines share a key. The order puts long words first, as few lines have th
 common last; it decides the cost, never the result.
 
 Lines that share a key are verified by their edits: every line is compared with the two ends of each of its keys first,
-linked lines become groups, and then all lines of a key that are of different groups are compared.
+linked lines become groups, and then all lines of a key that are of different groups are compared. An edit changes at
+most two of the parities of a line's words by 128 classes, so most pairs that meet by chance are told apart by number
+before their texts are fetched. Keys are dealt in ``PASSES`` parts, one after the other, to hold less on disk at a time.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordwatch.llm.common import cut
+from recordwatch.llm.common import cut, shared_folder
 from recordwatch.llm.components import connected
 
 SPAN = 2
@@ -24,6 +28,8 @@ SAMPLE, COMMON, MOST_COMMON = 1 / 32, 8, 4000
 #: Below this a pair of similar lines need not have a run of two words in common.
 LEAST_SIMILARITY = 0.7
 HASH_BITS, LENGTHS = 54, 255
+PASSES = 4
+MARKS = ["rid", "n", "odd0", "odd1"]
 
 
 def most_edits(n: Column, similarity: float) -> Column:
@@ -45,6 +51,26 @@ def runs(words: Column, span: int) -> Column:
     return F.array_distinct(F.transform(F.arrays_zip(*parts), key))
 
 
+def parities(words: Column, half: int) -> Column:
+    """Whether the number of words of each of 64 classes is odd, as bits; the other half has 64 other classes."""
+    bit = lambda h: F.when(h.bitwiseAND(F.lit(64)) == 64 * half, F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("long"))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda odd, w: odd.bitwiseXOR(bit(F.xxhash64(w))))
+
+
+def may_be_similar(a: list[Column], b: list[Column], similarity: float) -> Column:
+    """False only for lines (``MARKS`` without the first) whose sizes or parities rule the similarity out."""
+    longer = F.greatest(a[0], b[0])
+    changed = F.bit_count(a[1].bitwiseXOR(b[1])) + F.bit_count(a[2].bitwiseXOR(b[2]))
+    return (F.least(a[0], b[0]) >= longer * similarity - 1e-9) & (changed <= 2 * (longer * (1 - similarity) + 1e-9))
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, in columns, which take less room than a checkpoint's rows."""
+    path = f"{shared_folder(df.sparkSession)}/lines-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def common_runs(found: DataFrame) -> list[int]:
     """Runs that many lines of ``found`` (``h1``, ``body``) share."""
     lines = found.dropDuplicates(["h1"]).select(F.explode(runs(F.split("body", " "), SPAN)).alias("run"))
@@ -53,14 +79,15 @@ def common_runs(found: DataFrame) -> list[int]:
 
 
 def keyed_lines(found: DataFrame, common: list[int], similarity: float) -> DataFrame:
-    """``rid, h1, h2, n, keys`` of every different line of ``found``."""
+    """``rid, h1, h2, n, odd0, odd1, keys`` of every different line of ``found``."""
     lines = found.groupBy("h1", "h2").agg(F.max("body").alias("body")).select("h1", "h2", F.split("body", " ").alias("words"))
     n = F.size("words")
     late = lambda run: F.when(run.isin(common), run.bitwiseOR(F.lit(1 << 62))).otherwise(run)
     told = runs(F.col("words"), SPAN)
     ordered = F.sort_array(F.transform(told, late) if common else told)
     keys = F.slice(ordered, F.lit(1), F.when(most_edits(n, similarity) > 0, most_edits(n, similarity) * SPAN + 1).otherwise(0))
-    return cut(lines.select("h1", "h2", n.alias("n"), keys.alias("keys")).withColumn("rid", F.monotonically_increasing_id()))
+    marks = [n.alias("n"), parities(F.col("words"), 0).alias("odd0"), parities(F.col("words"), 1).alias("odd1")]
+    return kept(lines.select("h1", "h2", *marks, keys.alias("keys")).withColumn("rid", F.monotonically_increasing_id()))
 
 
 def symbols(body: Column) -> Column:
@@ -85,23 +112,31 @@ def line_groups(found: DataFrame, sample: DataFrame, similarity: float) -> DataF
         raise ValueError(f"similarity below {LEAST_SIMILARITY}")
     lines = keyed_lines(found, common_runs(sample), similarity)
     bucket = Window.partitionBy("key")
-    sized = lambda a, b: F.least(a, b) >= F.greatest(a, b) * similarity - 1e-9
-    keyed = lines.select("rid", "n", F.explode("keys").alias("key"))
-    ends = keyed.withColumn("first", F.min(F.struct("rid", "n")).over(bucket)).withColumn("last", F.max(F.struct("rid", "n")).over(bucket))
-    shared = cut(ends.filter("first.rid <> last.rid"))
-    to_ends = shared.select("rid", "n", F.explode(F.array("first", "last")).alias("end")).filter("rid <> end.rid").filter(sized(F.col("n"), F.col("end.n")))
-    near = cut(to_ends.select(F.greatest("rid", "end.rid").alias("a"), F.least("rid", "end.rid").alias("b")).distinct())
-    wanted = cut(lines.join(shared.select("rid").distinct(), "rid").select("h1", "h2", "rid"))
+    alike = lambda x, y: may_be_similar([F.col(f"{x}{c}") for c in MARKS[1:]], [F.col(y.format(c)) for c in MARKS[1:]], similarity)
+    met = None
+    for turn in range(PASSES):
+        turns = F.filter("keys", lambda key: key.bitwiseAND(F.lit(PASSES - 1)) == turn)
+        keyed = lines.select(*MARKS, F.explode(turns).alias("key"))
+        ends = keyed.withColumn("first", F.min(F.struct(*MARKS)).over(bucket)).withColumn("last", F.max(F.struct(*MARKS)).over(bucket))
+        ends = ends.withColumn("lines", F.count(F.lit(1)).over(bucket)).filter("lines > 1")
+        to = [F.when((F.col("rid") != F.col(f"{e}.rid")) & alike("", e + ".{}"), F.col(f"{e}.rid")).alias(e) for e in ("first", "last")]
+        # Three lines of a key have all met at its ends.
+        part = ends.select(F.when(F.col("lines") > 3, F.col("key")).alias("key"), *MARKS, *to).filter("key is not null or first is not null or last is not null")
+        met = kept(part) if met is None else met.unionByName(kept(part))
+    pairs = met.select("rid", F.explode(F.array("first", "last")).alias("end")).filter("end is not null")
+    near = cut(pairs.select(F.greatest("rid", "end").alias("a"), F.least("rid", "end").alias("b")).distinct())
+    shared = met.filter("key is not null").select("key", *MARKS)
+    live = near.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(shared.select("rid")).distinct()
+    wanted = cut(lines.join(live, "rid").select("h1", "h2", "rid"))
     texts = cut(found.join(wanted, ["h1", "h2"]).groupBy("rid").agg(F.min("body").alias("body")).select("rid", symbols(F.col("body")).alias("coded")))
     links = cut(verified(near, texts, similarity))
     roots = connected(links)
-    named = shared.select("key", "rid", "n").join(roots, F.col("rid") == F.col("node"), "left").select("key", "rid", "n", F.coalesce("root", "rid").alias("grp"))
-    # Three lines of a key have all met at its ends.
-    mixed = named.withColumn("low", F.min("grp").over(bucket)).withColumn("high", F.max("grp").over(bucket)).withColumn("lines", F.count(F.lit(1)).over(bucket))
-    left = cut(mixed.filter("low <> high and lines > 3").select("key", "rid", "n", "grp"))
+    named = shared.join(roots, F.col("rid") == F.col("node"), "left").select("key", *MARKS, F.coalesce("root", "rid").alias("grp"))
+    mixed = named.withColumn("low", F.min("grp").over(bucket)).withColumn("high", F.max("grp").over(bucket))
+    left = kept(mixed.filter("low <> high").select("key", *MARKS, "grp"))
     if not left.isEmpty():
-        right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rid", "n", "grp")])
-        across = left.join(right, "key").filter("rid > rid_b and grp <> grp_b").filter(sized(F.col("n"), F.col("n_b")))
+        right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in (*MARKS, "grp")])
+        across = left.join(right, "key").filter("rid > rid_b and grp <> grp_b").filter(alike("", "{}_b"))
         fresh = across.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
         roots = connected(links.unionByName(cut(verified(fresh, texts, similarity))))
     return lines.join(roots, lines.rid == roots.node, "left").select("h1", "h2", F.coalesce("root", "rid").alias("line_group"))
