@@ -1,9 +1,13 @@
-"""Licence scan: lines and whole texts compared with licence templates by the Dice coefficient of their word bigrams.
+"""Licence scan: lines, blocks of lines and whole texts compared with licence templates by the Dice coefficient of their word bigrams.
 
 Bigrams are sets, of words in a normal form (letters and digits in lower case). Two sets of a and b bigrams share at most
 the smaller number, so a coefficient of d needs a >= b * d / (2 - d) and the same for b: a piece of text is taken up only
 if a template of such a size exists, and it meets only templates whose bigrams it shares.
 
+A block is any run of lines; its place is its first line. Of each licence, blocks count where neither the whole text nor a
+line of the block is like it, the best first and none that overlaps a better one. Only texts that hold d / (2 - d) of a
+template's bigrams are searched for blocks, from lines that share a bigram with it up to b * (2 - d) / d bigrams.
+
 Edge cases: null and empty texts have no match (count 0, null licence); of equal coefficients the first licence by name
 wins, then the first line; a line that is the whole text counts once; a repeated row is scanned again; an empty table
 gives an empty result; other columns are ignored; templates of fewer than two words match nothing.
@@ -11,6 +15,8 @@ gives an empty result; other columns are ignored; templates of fewer than two wo
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +40,9 @@ TEMPLATES: dict[str, str] = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: Standard texts and headers as they are published, by file name.
+STANDARD: dict[str, str] = {p.stem: p.read_text() for p in sorted(Path(__file__).with_name("licenses").glob("*.txt"))}
+
 
 def normal_form(text: Column) -> Column:
     """Words of letters and digits in lower case, one blank between them."""
@@ -50,27 +59,71 @@ def bigrams(body: str = "body") -> Column:
 def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_DICE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, pos, license, dice`` of every line (pos >= 0) and whole text (pos -1) that is like a template.
 
-    ``id`` is the input's id column. Templates are a parameter of at most a few thousand short texts.
+    ``id`` is the input's id column. Templates are a parameter of at most a few dozen texts.
     """
     spark = docs.sparkSession
-    told = spark.createDataFrame(list((TEMPLATES if templates is None else templates).items()), "license string, text string")
+    told = spark.createDataFrame(list((TEMPLATES | STANDARD if templates is None else templates).items()), "license string, text string")
     told = told.select("license", normal_form(F.col("text")).alias("body")).filter("size(split(body, ' ')) > 1").select("license", bigrams().alias("grams"))
-    sizes = [r[0] for r in told.select(F.size("grams")).collect()]
+    grams_of = {r.license: list(r.grams) for r in told.collect()}
+    sizes = [len(g) for g in grams_of.values()]
+    known = sorted({g for grams in grams_of.values() for g in grams})
     low, high = (min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least) if sizes else (1, 0)
     rows = docs.select(docs[id_col].alias("id"), text_or_empty(text_col).alias("text"))
     lines = rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    # A whole text is a piece of its own where it has several lines and may be short enough for some template.
-    longest = int(high + 1) * 400 if sizes else 0
-    whole = rows.filter((F.instr("text", "\n") > 0) & (F.char_length("text") <= longest)).select("id", F.lit(-1).alias("pos"), F.col("text").alias("line"))
+    # A whole text is a piece of its own where it has several lines.
+    whole = rows.filter(F.instr("text", "\n") > 0).select("id", F.lit(-1).alias("pos"), F.col("text").alias("line"))
     units = lines.select("id", "pos", "line").unionByName(whole).select("id", "pos", normal_form(F.col("line")).alias("body"))
     words = F.size(F.split("body", " "))
     fit = units.filter((words >= low + 1) & (F.col("body") != "")).select("id", "pos", F.monotonically_increasing_id().alias("unit"), bigrams().alias("grams"))
-    fit = fit.filter((F.size("grams") >= low) & (F.size("grams") <= high)).select("id", "pos", "unit", F.size("grams").alias("a"), F.explode("grams").alias("gram"))
+    fit = fit.filter((F.size("grams") >= low) & (F.size("grams") <= high)).select("id", "pos", "unit", F.size("grams").alias("a"), F.filter("grams", lambda g: g.isin(known)).alias("grams"))
+    fit = fit.filter(F.size("grams") >= low).select("id", "pos", "unit", "a", F.explode("grams").alias("gram"))
     index = told.select("license", F.size("grams").alias("b"), F.explode("grams").alias("gram"))
     bound = (F.col("a") >= F.col("b") * (least / (2 - least)) - 1e-9) & (F.col("b") >= F.col("a") * (least / (2 - least)) - 1e-9)
     shared = fit.join(F.broadcast(index), "gram").filter(bound).groupBy("unit", "id", "pos", "license", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     dice = 2 * F.col("n") / (F.col("a") + F.col("b"))
-    return shared.select("id", "pos", "license", dice.alias("dice")).filter(F.col("dice") >= least - 1e-9)
+    alone = shared.select("id", "pos", "license", dice.alias("dice")).filter(F.col("dice") >= least - 1e-9)
+    return alone.unionByName(blocks(rows, told, grams_of, known, least))
+
+
+def blocks(rows: DataFrame, told: DataFrame, grams_of: dict[str, list[int]], known: list[int], least: float) -> DataFrame:
+    """``id, pos, license, dice`` of the blocks of two lines or more in ``rows`` (``id, text``)."""
+    share = least / (2 - least)
+    hold = lambda grams: F.size(F.filter("hits", lambda g: g.isin(grams))) >= len(grams) * share - 1e-9
+    texts = rows.filter(F.instr("text", "\n") > 0).select("id", "text", normal_form(F.col("text")).alias("body"))
+    texts = texts.select("id", "text", F.filter(bigrams(), lambda g: g.isin(known)).alias("hits")).filter(F.size("hits") >= min(map(len, grams_of.values()), default=1) * share - 1e-9)
+    held = F.array(*[F.when(hold(grams), F.lit(name)) for name, grams in grams_of.items()]).cast("array<string>")
+    found = texts.select("id", "text", F.explode(F.array_compact(held)).alias("license")).join(F.broadcast(told.select("license", F.col("grams").alias("theirs"))), "license")
+    split = F.transform(F.split("text", "\n"), lambda line, k: F.struct(k.alias("pos"), F.split(normal_form(line), " ").alias("words")))
+    found = found.select("id", "license", "theirs", F.filter(split, lambda x: x["words"][0] != "").alias("lines"))
+    # ``own`` are the bigrams in a line, ``link`` the one that joins it to the line before.
+    own = lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: F.when(i < F.size(w), F.xxhash64(F.element_at(w, i), F.get(w, i)))))
+    link = lambda k: F.when(k > 0, F.xxhash64(F.element_at(F.get("lines", k - 1)["words"], -1), F.get("lines", k)["words"][0]))
+    parts = F.transform("lines", lambda x, k: F.struct(x["pos"].alias("pos"), F.array_compact(own(x["words"])).alias("own"), link(k).alias("link")))
+    found = found.select("id", "license", "theirs", parts.alias("parts"), F.size("theirs").alias("b"))
+    every = F.array_distinct(F.flatten(F.transform("parts", lambda x: F.array_compact(F.concat(x["own"], F.array(x["link"]))))))
+    like = lambda grams: 2 * F.size(F.array_intersect(grams, F.col("theirs"))) / (F.size(grams) + F.col("b"))
+    found = found.filter(like(every) < least - 1e-9)
+
+    def longer(state: Column, part: Column) -> Column:
+        grams = F.when(state["last"] < 0, part["own"]).otherwise(F.array_union(state["grams"], F.array_compact(F.concat(part["own"], F.array(part["link"])))))
+
+        def step(g: Column) -> Column:
+            dice = F.when(F.size(g) > 0, like(g)).otherwise(F.lit(0.0))
+            better = dice > state["dice"] + 1e-12
+            return F.struct(g.alias("grams"), F.when(better, dice).otherwise(state["dice"]).alias("dice"), F.when(better, part["pos"]).otherwise(state["end"]).alias("end"), part["pos"].alias("last"))
+
+        return F.when(F.size(state["grams"]) > F.col("b") / share + 1e-9, state).otherwise(F.transform(F.array(grams), step)[0])
+
+    nothing = F.struct(F.array().cast("array<bigint>").alias("grams"), F.lit(0.0).alias("dice"), F.lit(-1).alias("end"), F.lit(-1).alias("last"))
+    after = lambda k: F.slice("parts", k + 1, F.size("parts"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda k: F.arrays_overlap(F.concat(F.get("parts", k)["own"], F.coalesce(F.array(F.get("parts", k + 1)["link"]), F.array().cast("array<bigint>"))), F.col("theirs")))
+    best = F.transform(starts, lambda k: F.struct(F.get("parts", k)["pos"].alias("pos"), F.aggregate(after(k), nothing, longer, lambda s: F.struct(s["dice"].alias("dice"), s["end"].alias("end"))).alias("to")))
+    single = F.transform(F.filter("parts", lambda x: (F.size(x["own"]) > 0) & (like(x["own"]) >= least - 1e-9)), lambda x: F.struct(F.lit(0).alias("kind"), (-like(x["own"])).alias("d"), x["pos"].alias("pos"), x["pos"].alias("end")))
+    several = F.transform(F.filter(best, lambda x: (x["to"]["dice"] >= least - 1e-9) & (x["to"]["end"] > x["pos"])), lambda x: F.struct(F.lit(1).alias("kind"), (-x["to"]["dice"]).alias("d"), x["pos"].alias("pos"), x["to"]["end"].alias("end")))
+    none = F.slice(F.array(F.struct(F.lit(0).alias("kind"), F.lit(0.0).alias("d"), F.lit(0).alias("pos"), F.lit(0).alias("end"))), 1, 0)
+    apart = lambda chosen, x: ~F.exists(chosen, lambda y: (y["pos"] <= x["end"]) & (x["pos"] <= y["end"]))
+    chosen = F.aggregate(F.array_sort(F.concat(single, several)), none, lambda got, x: F.when(apart(got, x), F.concat(got, F.array(x))).otherwise(got))
+    return found.select("id", "license", F.explode(chosen).alias("block")).filter("block.kind = 1").select("id", F.col("block.pos").alias("pos"), "license", (-F.col("block.d")).alias("dice"))
 
 
 def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_DICE) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from recordwatch.llm import line_dedup, line_edits
+from recordwatch.llm import license_scan, line_dedup, line_edits
 
 DOCS = "doc_id long, text string"
 
@@ -74,3 +74,17 @@ def test_rows_of_one_id_are_told_apart(spark, radius):
     kept = sorted(line for _, _, text in got for line in text.split("\n"))
     assert kept == sorted({line for _, text in rows for line in text.split("\n")})
     assert [n for _, n, _ in got] == [text.count("\n") + 1 for _, _, text in got]
+
+
+def test_standard_licences_are_found(spark):
+    mit, apache = license_scan.STANDARD["MIT-full"], license_scan.STANDARD["Apache-2.0-header"]
+    code = "\n".join(f"x{k} = call_{k}(y{k}, z{k})" for k in range(40))
+    texts = [
+        f"The MIT License (MIT)\n\nCopyright (c) 2020 Somebody\n\n{mit}", f"{code}\n{mit}\n{code}", "# " + apache.replace("\n", "\n# ") + f"\n{code}", " ".join(mit.split()), code,
+        license_scan.STANDARD["GPL-3.0-full"], f"{code}\n{mit}\n{code}\n{mit}",
+    ]
+    got = {r.doc_id: r for r in license_scan.scan_documents(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    for k, name in enumerate(["MIT-full", "MIT-full", "Apache-2.0-header", "MIT-full", "", "GPL-3.0-full", "MIT-full"]):
+        assert name in got[k].licenses.split(","), k
+    assert (got[1].best_line, got[1].best_dice) == (40, 1.0)
+    assert got[2].best_line == 0 and got[4].n_matches == 0 and got[5].best_line == -1 and got[6].n_matches >= 2
