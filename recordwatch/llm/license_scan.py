@@ -56,6 +56,11 @@ def bigrams(body: str = "body") -> Column:
     return F.array_distinct(F.transform(pairs, lambda p: F.xxhash64(p["a"], p["b"])))
 
 
+def among(array: str, values: list[int]) -> Column:
+    """The elements of an array column that are among many ``values``; as SQL, since each literal of a Column is a call to the JVM."""
+    return F.expr(f"filter({array}, g -> g IN ({', '.join(f'{v}L' if v > -(1 << 63) else 'CAST(-9223372036854775808 AS BIGINT)' for v in values)}))") if values else F.array().cast("array<bigint>")
+
+
 def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_DICE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, pos, license, dice`` of every line (pos >= 0) and whole text (pos -1) that is like a template.
 
@@ -75,7 +80,7 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
     units = lines.select("id", "pos", "line").unionByName(whole).select("id", "pos", normal_form(F.col("line")).alias("body"))
     words = F.size(F.split("body", " "))
     fit = units.filter((words >= low + 1) & (F.col("body") != "")).select("id", "pos", F.monotonically_increasing_id().alias("unit"), bigrams().alias("grams"))
-    fit = fit.filter((F.size("grams") >= low) & (F.size("grams") <= high)).select("id", "pos", "unit", F.size("grams").alias("a"), F.filter("grams", lambda g: g.isin(known)).alias("grams"))
+    fit = fit.filter((F.size("grams") >= low) & (F.size("grams") <= high)).select("id", "pos", "unit", F.size("grams").alias("a"), among("grams", known).alias("grams"))
     fit = fit.filter(F.size("grams") >= low).select("id", "pos", "unit", "a", F.explode("grams").alias("gram"))
     index = told.select("license", F.size("grams").alias("b"), F.explode("grams").alias("gram"))
     bound = (F.col("a") >= F.col("b") * (least / (2 - least)) - 1e-9) & (F.col("b") >= F.col("a") * (least / (2 - least)) - 1e-9)
@@ -88,9 +93,9 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
 def blocks(rows: DataFrame, told: DataFrame, grams_of: dict[str, list[int]], known: list[int], least: float) -> DataFrame:
     """``id, pos, license, dice`` of the blocks of two lines or more in ``rows`` (``id, text``)."""
     share = least / (2 - least)
-    hold = lambda grams: F.size(F.filter("hits", lambda g: g.isin(grams))) >= len(grams) * share - 1e-9
+    hold = lambda grams: F.size(among("hits", grams)) >= len(grams) * share - 1e-9
     texts = rows.filter(F.instr("text", "\n") > 0).select("id", "text", normal_form(F.col("text")).alias("body"))
-    texts = texts.select("id", "text", F.filter(bigrams(), lambda g: g.isin(known)).alias("hits")).filter(F.size("hits") >= min(map(len, grams_of.values()), default=1) * share - 1e-9)
+    texts = texts.select("id", "text", bigrams().alias("grams")).select("id", "text", among("grams", known).alias("hits")).filter(F.size("hits") >= min(map(len, grams_of.values()), default=1) * share - 1e-9)
     held = F.array(*[F.when(hold(grams), F.lit(name)) for name, grams in grams_of.items()]).cast("array<string>")
     found = texts.select("id", "text", F.explode(F.array_compact(held)).alias("license")).join(F.broadcast(told.select("license", F.col("grams").alias("theirs"))), "license")
     split = F.transform(F.split("text", "\n"), lambda line, k: F.struct(k.alias("pos"), F.split(normal_form(line), " ").alias("words")))
