@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body or a function within it refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Leave ``spark.checkpoint.dir`` as the cluster names it; make one only for a local master without it."""
     sc = spark.sparkContext
@@ -29,20 +36,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files that nothing refers to any more, so that an operator of several steps needs the disk of its largest step, not of all."""
+    gc.collect()
+    spark._jvm.System.gc()
+
 
-    Shuffle files that nothing refers to any more go when the driver collects its garbage, so it does so here: an
-    operator of several steps then needs the disk of its largest step, not of all.
-    """
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder, go on from there and release what led to it."""
     ensure_checkpoint_dir(df.sparkSession)
     out = df.checkpoint()
     del df
-    gc.collect()
-    out.sparkSession._jvm.System.gc()
+    release(out.sparkSession)
     return out
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, in compressed columns, which take less room than a checkpoint's rows."""
+    path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables that :func:`kept` wrote and that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 1)[-1].startswith("kept-"):
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share."""
     ensure_checkpoint_dir(spark)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from recordwatch.llm import line_edits
 from recordwatch.llm import simhash_native as S
-from recordwatch.llm.common import cut, text_or_empty
+from recordwatch.llm.common import cut, kept, text_or_empty
 from recordwatch.llm.components import connected
 
 RADIUS, SIMILARITY = 3, 0.8
@@ -115,28 +115,49 @@ def line_groups(found: DataFrame, radius: int = RADIUS, similarity: float = SIMI
     return lines.join(roots, lines.rid == roots.node, "left").select("h1", "h2", F.coalesce("root", "rid").alias("line_group"))
 
 
+def stored_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One table of two kinds of rows: ``rid, h1, h2, body`` of each different line, and ``h1, h2, id, row, pos`` of each place it stands at.
+
+    Lines are told apart by their text in a hash aggregation that first merges copies within tasks. Texts are read and normalized only here.
+    """
+    found = occurrences(docs, id_col, text_col, words_form)
+    none = {"body": "string", "id": "bigint", "row": "bigint", "pos": "int"}
+    of = lambda *names: F.struct("h1", "h2", *[F.col(c).alias(c) if c in names else F.lit(None).cast(kind).alias(c) for c, kind in none.items()])
+    both = found.select(F.inline(F.array(of("body"), of("id", "row", "pos")))).distinct()
+    return kept(both.withColumn("rid", F.monotonically_increasing_id()))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` broadcast where it is counted to be small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
     """``id, row, pos`` of every line that isn't the first of its group (a null id shows as the largest long).
 
     With a radius of None the edit similarity of ``words_form`` alone links lines, whatever their SimHashes.
+    The first places are taken out by place, so a group of any size is dealt out over all tasks.
     """
     if radius is None:
-        found, sample = (occurrences(d, id_col, text_col, words_form) for d in (docs, docs.sample(line_edits.SAMPLE, seed=1)))
-        groups = line_edits.line_groups(found, sample, similarity)
+        stored = stored_lines(docs, id_col, text_col)
+        lines = stored.filter("body is not null").select("rid", "h1", "h2", "body")
+        places = stored.filter("pos is not null").select("h1", "h2", "id", "row", "pos")
+        groups = kept(lines.select("rid", "h1", "h2").join(line_edits.line_groups(lines, similarity), "rid").drop("rid"))
     else:
-        found = occurrences(docs, id_col, text_col)
-        groups = line_groups(found, radius, similarity, blocks)
-    of_line = cut(found.select("h1", "h2", "id", "row", "pos").join(groups, ["h1", "h2"]).select("line_group", "id", "row", "pos"))
-    first = of_line.groupBy("line_group").agg(F.min(F.struct("id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return of_line.join(first, "line_group").filter("id <> first.id or row <> first.row or pos <> first.pos").select("id", "row", "pos")
+        places = occurrences(docs, id_col, text_col)
+        groups = cut(line_groups(places, radius, similarity, blocks))
+    of_group = [F.coalesce("line_group", "h1").alias("g1"), F.when(F.col("line_group").isNull(), F.col("h2")).alias("g2")]
+    grouped = places.join(_small(groups), ["h1", "h2"], "left").select(*of_group, "id", "row", "pos")
+    first = grouped.groupBy("g1", "g2").agg(F.min(F.struct("id", "row", "pos")).alias("first")).select("first.*")
+    return places.select("id", "row", "pos").join(first, ["id", "row", "pos"], "left_anti")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int | None = RADIUS, similarity: float = SIMILARITY, blocks: int | None = None) -> DataFrame:
     """``id_col, n_lines, n_kept, text_col`` of each row, the text without its dropped lines."""
-    gone = dropped_lines(docs, id_col, text_col, radius, similarity, blocks).groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_set("pos").alias("gone"))
+    gone = kept(dropped_lines(docs, id_col, text_col, radius, similarity, blocks).groupBy(F.col("id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_set("pos").alias("gone")))
     rows = docs.select(docs[id_col].alias(id_col), text_or_empty(text_col).alias("text"))
     same = (F.coalesce(rows[id_col].cast("long"), F.lit(LAST_ID)) == gone["__id"]) & (F.xxhash64(rows["text"]) == gone["__row"])
-    joined = rows.join(gone, same, "left")
+    joined = rows.join(_small(gone), same, "left")
     lines = F.split("text", "\n")
     stay = F.filter(lines, lambda line, k: ~F.array_contains("gone", k))
     return joined.select(

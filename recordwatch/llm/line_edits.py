@@ -1,12 +1,12 @@
 """Groups of lines by edit similarity alone: no pair of lines that is similar enough is missed.
 
-One edit of a word changes at most ``SPAN`` of a line's runs of ``SPAN`` words, so of the runs of a line at most
-``SPAN * edits`` are missing from a line within so many edits, and at least one is common to both. In any order of all
-runs, the first common one is therefore among the first ``SPAN * edits + 1`` of each line: these are a line's keys, and
-similar lines share a key. The order puts long words first, as few lines have them, and runs that a sample shows to be
-common last; it decides the cost, never the result.
+An edit of a word changes at most k of a line's runs of k words, so a line loses at most ``lost`` of its runs to any line
+that is similar enough, and keeps at least one. In any order of all runs, the first one that both lines have is therefore
+among the first ``lost + 1`` of each: these are a line's keys, and similar lines share a key. The order puts runs that a
+sample shows to be common last; it decides the cost, never the result. Runs have three words, in lines below
+``LONG`` words two; lines of lengths that can be similar to both kinds have keys of both.
 
-Lines that share a key are verified by their edits: every line is compared with the two ends of each of its keys first,
+Lines that share a key are verified by their edits: every line is compared with two lines of each of its keys first,
 linked lines become groups, and then all lines of a key that are of different groups are compared. An edit changes at
 most two of the parities of a line's words by 128 classes, so most pairs that meet by chance are told apart by number
 before their texts are fetched. Keys are dealt in ``PASSES`` parts, one after the other, to hold less on disk at a time.
@@ -14,47 +14,59 @@ before their texts are fetched. Keys are dealt in ``PASSES`` parts, one after th
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordwatch.llm.common import cut, shared_folder
+from recordwatch.llm.common import dropped, kept, let, release
 from recordwatch.llm.components import connected
 
-SPAN = 2
-#: Share of the rows whose runs are counted, the count that makes one common, and how many common ones are told apart.
-SAMPLE, COMMON, MOST_COMMON = 1 / 32, 8, 4000
-#: Below this a pair of similar lines need not have a run of two words in common.
-LEAST_SIMILARITY = 0.7
-HASH_BITS, LENGTHS = 54, 255
+#: Lines of so many words or more have keys of three words.
+LONG = 12
+#: One line in so many is counted, the count that makes a run common, and how many common ones are told apart.
+SAMPLE, COMMON, MOST_COMMON = 32, 3, 10_000
+#: Below this a pair of similar lines need not have a run of three words in common.
+LEAST_SIMILARITY = 0.8
 PASSES = 4
+LATE = 1 << 62
 MARKS = ["rid", "n", "odd0", "odd1"]
 
 
-def most_edits(n: Column, similarity: float) -> Column:
-    """Edits that a line of ``n`` words and one of at most ``n / similarity`` can be apart."""
-    return F.floor(F.floor(n / similarity + 1e-9) * (1 - similarity) + 1e-9).cast("int")
+def lost(n: Column, span: int, similarity: float) -> Column:
+    """Runs of ``span`` words that a line of ``n`` words can lack in a similar one: ``span`` for each edit, one less for each word the other has more."""
+    edits = lambda words: F.floor(words * (1 - similarity) + 1e-9)
+    return F.greatest(*[edits(n + more) * span - more for more in range(span)]).cast("int")
+
 
+def runs(words: str, span: int) -> Column:
+    """Hashes of the runs of ``span`` of an array of word hashes."""
+    found = let(F.col(words), lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, span)])))
+    return F.slice(found, F.lit(1), F.greatest(F.size(words) - (span - 1), F.lit(0)))
 
-def runs(words: Column, span: int) -> Column:
-    """The different runs of ``span`` words, as longs that are smaller for longer words."""
-    n = F.greatest(F.size(words) - (span - 1), F.lit(0))
-    parts = [F.slice(words, F.lit(k + 1), n).alias(f"w{k}") for k in range(span)]
 
-    def key(run: Column) -> Column:
-        of = [run[f"w{k}"] for k in range(span)]
-        size = sum((F.char_length(w) for w in of[1:]), F.char_length(of[0]))
-        length = F.lit(LENGTHS) - F.least(size, F.lit(LENGTHS))
-        return F.shiftleft(length.cast("long"), HASH_BITS).bitwiseOR(F.xxhash64(*of).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+def spans(n: Column, similarity: float) -> dict[int, Column]:
+    """Whether a line of ``n`` words has keys of two and of three words; none where it is too short to be similar to another."""
+    some = F.floor(F.floor(n / similarity + 1e-9) * (1 - similarity) + 1e-9) > 0
+    return {2: some & (n <= int((LONG - 1) / similarity + 1e-9)), 3: some & (n >= LONG)}
 
-    return F.array_distinct(F.transform(F.arrays_zip(*parts), key))
 
+def keyed_lines(lines: DataFrame, common: list[int], similarity: float) -> DataFrame:
+    """``MARKS`` and ``keys`` of each line of ``lines`` (``rid, body``)."""
+    words, n = lines.select("rid", hashes().alias("words")), F.size("words")
+    on = spans(n, similarity)
+    none = F.array().cast("array<bigint>")
+    told = [F.when(on[k], runs("words", k)).otherwise(none).alias(f"runs{k}") for k in on]
+    found = words.select("rid", n.alias("n"), parities("words", 0).alias("odd0"), parities("words", 1).alias("odd1"), *told)
+    # In SQL, since each literal of a Column is a call to the JVM.
+    late = f"if(g IN ({', '.join(f'{v}L' for v in common)}), {LATE}L, 0L)" if common else "0L"
+    ordered = {k: F.sort_array(F.expr(f"transform(runs{k}, g -> (g & {LATE - 1}L) | {late})")) for k in on}
+    keys = F.concat(*[F.slice(ordered[k], F.lit(1), lost(F.col("n"), k, similarity) + 1) for k in on])
+    return found.select(*MARKS, F.array_distinct(keys).alias("keys"))
 
-def parities(words: Column, half: int) -> Column:
+
+def parities(words: str, half: int) -> Column:
     """Whether the number of words of each of 64 classes is odd, as bits; the other half has 64 other classes."""
     bit = lambda h: F.when(h.bitwiseAND(F.lit(64)) == 64 * half, F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("long"))
-    return F.aggregate(words, F.lit(0).cast("long"), lambda odd, w: odd.bitwiseXOR(bit(F.xxhash64(w))))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda odd, w: odd.bitwiseXOR(bit(w)))
 
 
 def may_be_similar(a: list[Column], b: list[Column], similarity: float) -> Column:
@@ -64,30 +76,16 @@ def may_be_similar(a: list[Column], b: list[Column], similarity: float) -> Colum
     return (F.least(a[0], b[0]) >= longer * similarity - 1e-9) & (changed <= 2 * (longer * (1 - similarity) + 1e-9))
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, in columns, which take less room than a checkpoint's rows."""
-    path = f"{shared_folder(df.sparkSession)}/lines-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
+def hashes(body: str = "body") -> Column:
+    return F.transform(F.split(body, " "), lambda w: F.xxhash64(w))
 
-def common_runs(found: DataFrame) -> list[int]:
-    """Runs that many lines of ``found`` (``h1``, ``body``) share."""
-    lines = found.dropDuplicates(["h1"]).select(F.explode(runs(F.split("body", " "), SPAN)).alias("run"))
-    counts = lines.groupBy("run").count().filter(F.col("count") >= COMMON)
-    return [r.run for r in counts.orderBy(F.desc("count"), "run").limit(MOST_COMMON).collect()]
 
-
-def keyed_lines(found: DataFrame, common: list[int], similarity: float) -> DataFrame:
-    """``rid, h1, h2, n, odd0, odd1, keys`` of every different line of ``found``."""
-    lines = found.groupBy("h1", "h2").agg(F.max("body").alias("body")).select("h1", "h2", F.split("body", " ").alias("words"))
-    n = F.size("words")
-    late = lambda run: F.when(run.isin(common), run.bitwiseOR(F.lit(1 << 62))).otherwise(run)
-    told = runs(F.col("words"), SPAN)
-    ordered = F.sort_array(F.transform(told, late) if common else told)
-    keys = F.slice(ordered, F.lit(1), F.when(most_edits(n, similarity) > 0, most_edits(n, similarity) * SPAN + 1).otherwise(0))
-    marks = [n.alias("n"), parities(F.col("words"), 0).alias("odd0"), parities(F.col("words"), 1).alias("odd1")]
-    return kept(lines.select("h1", "h2", *marks, keys.alias("keys")).withColumn("rid", F.monotonically_increasing_id()))
+def common_runs(lines: DataFrame) -> list[int]:
+    """Runs that many of a sample of the ``lines`` share; at most ``MOST_COMMON`` reach the driver."""
+    sample = lines.filter(F.pmod("h2", F.lit(SAMPLE)) == 0).select(hashes().alias("words"))
+    each = F.array_distinct(F.concat(runs("words", 2), runs("words", 3)))
+    counts = sample.select(F.explode(each).alias("run")).groupBy("run").count().filter(F.col("count") >= COMMON)
+    return sorted(r.run for r in counts.orderBy(F.desc("count"), "run").limit(MOST_COMMON).collect())
 
 
 def symbols(body: Column) -> Column:
@@ -96,47 +94,60 @@ def symbols(body: Column) -> Column:
     return F.decode(F.unhex(F.array_join(coded, "")), "UTF-16BE")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts are similar enough."""
+def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose ``lines`` (``rid, body``) are similar enough."""
+    of = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    texts = kept(lines.join(of, "rid").select("rid", symbols(F.col("body")).alias("coded")))
     a, b = (texts.select(F.col("rid").alias(k), F.col("coded").alias(f"of_{k}")) for k in "ab")
     longer = F.greatest(F.char_length("of_a"), F.char_length("of_b"))
-    return pairs.join(a, "a").join(b, "b").filter(F.levenshtein("of_a", "of_b") <= longer * (1 - similarity) + 1e-9).select("a", "b")
-
+    told = pairs.join(a, "a").join(b, "b").withColumn("most", F.floor(longer * (1 - similarity) + 1e-9).cast("int"))
+    links = kept(told.filter("levenshtein(of_a, of_b, most) >= 0").select("a", "b"))
+    dropped(texts)
+    return links
 
-def line_groups(found: DataFrame, sample: DataFrame, similarity: float) -> DataFrame:
-    """``h1, h2, line_group`` of every different line of ``found`` (``h1, h2, body``); linked lines share the group.
 
-    ``sample`` holds some of the rows of ``found``.
-    """
-    if similarity < LEAST_SIMILARITY:
-        raise ValueError(f"similarity below {LEAST_SIMILARITY}")
-    lines = keyed_lines(found, common_runs(sample), similarity)
+def met_lines(lines: DataFrame, similarity: float) -> DataFrame:
+    """``key`` (null where no more than three lines have it), ``MARKS``, and the ``first`` and ``last`` line of the key that may be similar."""
+    keyed = kept(keyed_lines(lines, common_runs(lines), similarity))
     bucket = Window.partitionBy("key")
-    alike = lambda x, y: may_be_similar([F.col(f"{x}{c}") for c in MARKS[1:]], [F.col(y.format(c)) for c in MARKS[1:]], similarity)
+    alike = lambda e: may_be_similar([F.col(c) for c in MARKS[1:]], [F.col(f"{e}.{c}") for c in MARKS[1:]], similarity)
     met = None
     for turn in range(PASSES):
-        turns = F.filter("keys", lambda key: key.bitwiseAND(F.lit(PASSES - 1)) == turn)
-        keyed = lines.select(*MARKS, F.explode(turns).alias("key"))
-        ends = keyed.withColumn("first", F.min(F.struct(*MARKS)).over(bucket)).withColumn("last", F.max(F.struct(*MARKS)).over(bucket))
-        ends = ends.withColumn("lines", F.count(F.lit(1)).over(bucket)).filter("lines > 1")
-        to = [F.when((F.col("rid") != F.col(f"{e}.rid")) & alike("", e + ".{}"), F.col(f"{e}.rid")).alias(e) for e in ("first", "last")]
+        rows = keyed.select(*MARKS, F.explode("keys").alias("key")).filter(F.col("key").bitwiseAND(F.lit(PASSES - 1)) == turn)
+        # Any two of a key's lines will do, if they are the same two for all of its lines.
+        line = F.struct(*MARKS)
+        ends = rows.select("*", F.first(line).over(bucket).alias("first"), F.last(line).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("lines")).filter("lines > 1")
+        to = [F.when((F.col("rid") != F.col(f"{e}.rid")) & alike(e), F.col(f"{e}.rid")).alias(e) for e in ("first", "last")]
         # Three lines of a key have all met at its ends.
         part = ends.select(F.when(F.col("lines") > 3, F.col("key")).alias("key"), *MARKS, *to).filter("key is not null or first is not null or last is not null")
-        met = kept(part) if met is None else met.unionByName(kept(part))
-    pairs = met.select("rid", F.explode(F.array("first", "last")).alias("end")).filter("end is not null")
-    near = cut(pairs.select(F.greatest("rid", "end").alias("a"), F.least("rid", "end").alias("b")).distinct())
-    shared = met.filter("key is not null").select("key", *MARKS)
-    live = near.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(shared.select("rid")).distinct()
-    wanted = cut(lines.join(live, "rid").select("h1", "h2", "rid"))
-    texts = cut(found.join(wanted, ["h1", "h2"]).groupBy("rid").agg(F.min("body").alias("body")).select("rid", symbols(F.col("body")).alias("coded")))
-    links = cut(verified(near, texts, similarity))
+        part = kept(part)
+        met = part if met is None else met.unionByName(part)
+        release(lines.sparkSession)
+    dropped(keyed)
+    return met
+
+
+def line_groups(lines: DataFrame, similarity: float) -> DataFrame:
+    """``rid, line_group`` of the lines that are similar to another, of ``lines`` (``rid, h2, body``, each line once); linked lines share the group."""
+    if similarity < LEAST_SIMILARITY:
+        raise ValueError(f"similarity below {LEAST_SIMILARITY}")
+    met = met_lines(lines, similarity)
+    alike = may_be_similar([F.col(c) for c in MARKS[1:]], [F.col(f"{c}_b") for c in MARKS[1:]], similarity)
+    ends = met.select("rid", F.explode(F.array("first", "last")).alias("end")).filter("end is not null")
+    near = kept(ends.select(F.greatest("rid", "end").alias("a"), F.least("rid", "end").alias("b")).distinct())
+    links = verified(near, lines, similarity)
     roots = connected(links)
+    shared = met.filter("key is not null").select("key", *MARKS)
     named = shared.join(roots, F.col("rid") == F.col("node"), "left").select("key", *MARKS, F.coalesce("root", "rid").alias("grp"))
+    bucket = Window.partitionBy("key")
     mixed = named.withColumn("low", F.min("grp").over(bucket)).withColumn("high", F.max("grp").over(bucket))
     left = kept(mixed.filter("low <> high").select("key", *MARKS, "grp"))
-    if not left.isEmpty():
-        right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in (*MARKS, "grp")])
-        across = left.join(right, "key").filter("rid > rid_b and grp <> grp_b").filter(alike("", "{}_b"))
-        fresh = across.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
-        roots = connected(links.unionByName(cut(verified(fresh, texts, similarity))))
-    return lines.join(roots, lines.rid == roots.node, "left").select("h1", "h2", F.coalesce("root", "rid").alias("line_group"))
+    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in (*MARKS, "grp")])
+    across = left.join(right, "key").filter("rid > rid_b and grp <> grp_b").filter(alike)
+    fresh = kept(across.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct().join(near, ["a", "b"], "left_anti"))
+    more = verified(fresh, lines, similarity)
+    if not more.isEmpty():
+        roots = connected(links.unionByName(more))
+    dropped(met, near, left, fresh, links, more)
+    release(lines.sparkSession)
+    return roots.select(F.col("node").alias("rid"), F.col("root").alias("line_group"))
