@@ -15,12 +15,13 @@ gives an empty result; other columns are ignored; templates of fewer than two wo
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordwatch.llm.common import text_or_empty
+from recordwatch.llm.common import kept, let, text_or_empty
 
 LEAST_DICE = 0.8
 
@@ -49,11 +50,18 @@ def normal_form(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def bigrams(body: str = "body") -> Column:
-    """Array of the different hashes of two words in a row."""
-    found = F.split(body, " ")
-    pairs = F.slice(F.arrays_zip(found.alias("a"), F.slice(found, F.lit(2), F.size(found)).alias("b")), F.lit(1), F.size(found) - 1)
-    return F.array_distinct(F.transform(pairs, lambda p: F.xxhash64(p["a"], p["b"])))
+def every_bigram(words: str = "words") -> Column:
+    """Array of the hashes of two words in a row, of a column of word arrays."""
+    found = let(F.col(words), lambda ws: F.transform(ws, lambda w, k: F.xxhash64(w, F.get(ws, k + 1))))
+    return F.slice(found, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+
+
+def bigrams(words: str = "words") -> Column:
+    return F.array_distinct(every_bigram(words))
+
+
+def split_words(body: Column) -> Column:
+    return F.split(body, " ").alias("words")
 
 
 def among(array: str, values: list[int]) -> Column:
@@ -68,18 +76,17 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
     """
     spark = docs.sparkSession
     told = spark.createDataFrame(list((TEMPLATES | STANDARD if templates is None else templates).items()), "license string, text string")
-    told = told.select("license", normal_form(F.col("text")).alias("body")).filter("size(split(body, ' ')) > 1").select("license", bigrams().alias("grams"))
+    told = told.select("license", split_words(normal_form(F.col("text")))).filter("size(words) > 1").select("license", bigrams().alias("grams"))
     grams_of = {r.license: list(r.grams) for r in told.collect()}
     sizes = [len(g) for g in grams_of.values()]
     known = sorted({g for grams in grams_of.values() for g in grams})
     low, high = (min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least) if sizes else (1, 0)
-    rows = docs.select(docs[id_col].alias("id"), text_or_empty(text_col).alias("text"))
-    lines = rows.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    texts = kept(likely_texts(docs.select(docs[id_col].alias("id"), text_or_empty(text_col).alias("text")), grams_of, known, least))
+    lines = texts.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     # A whole text is a piece of its own where it has several lines.
-    whole = rows.filter(F.instr("text", "\n") > 0).select("id", F.lit(-1).alias("pos"), F.col("text").alias("line"))
-    units = lines.select("id", "pos", "line").unionByName(whole).select("id", "pos", normal_form(F.col("line")).alias("body"))
-    words = F.size(F.split("body", " "))
-    fit = units.filter((words >= low + 1) & (F.col("body") != "")).select("id", "pos", F.monotonically_increasing_id().alias("unit"), bigrams().alias("grams"))
+    whole = texts.filter(F.instr("text", "\n") > 0).select("id", F.lit(-1).alias("pos"), F.col("text").alias("line"))
+    units = lines.select("id", "pos", "line").unionByName(whole).select("id", "pos", split_words(normal_form(F.col("line"))))
+    fit = units.filter(F.size("words") >= low + 1).select("id", "pos", F.monotonically_increasing_id().alias("unit"), bigrams().alias("grams"))
     fit = fit.filter((F.size("grams") >= low) & (F.size("grams") <= high)).select("id", "pos", "unit", F.size("grams").alias("a"), among("grams", known).alias("grams"))
     fit = fit.filter(F.size("grams") >= low).select("id", "pos", "unit", "a", F.explode("grams").alias("gram"))
     index = told.select("license", F.size("grams").alias("b"), F.explode("grams").alias("gram"))
@@ -87,48 +94,86 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
     shared = fit.join(F.broadcast(index), "gram").filter(bound).groupBy("unit", "id", "pos", "license", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     dice = 2 * F.col("n") / (F.col("a") + F.col("b"))
     alone = shared.select("id", "pos", "license", dice.alias("dice")).filter(F.col("dice") >= least - 1e-9)
-    return alone.unionByName(blocks(rows, told, grams_of, known, least))
+    return alone.unionByName(blocks(texts, told, least))
+
 
+def likely_texts(rows: DataFrame, grams_of: dict[str, list[int]], known: list[int], least: float) -> DataFrame:
+    """``id, text, held, uid`` of the ``rows`` (``id, text``) that hold d / (2 - d) of the bigrams of some templates, by name.
 
-def blocks(rows: DataFrame, told: DataFrame, grams_of: dict[str, list[int]], known: list[int], least: float) -> DataFrame:
-    """``id, pos, license, dice`` of the blocks of two lines or more in ``rows`` (``id, text``)."""
+    No piece of another text can be like a template. Texts are read, normalized and hashed once, here.
+    """
     share = least / (2 - least)
     hold = lambda grams: F.size(among("hits", grams)) >= len(grams) * share - 1e-9
-    texts = rows.filter(F.instr("text", "\n") > 0).select("id", "text", normal_form(F.col("text")).alias("body"))
-    texts = texts.select("id", "text", bigrams().alias("grams")).select("id", "text", among("grams", known).alias("hits")).filter(F.size("hits") >= min(map(len, grams_of.values()), default=1) * share - 1e-9)
-    held = F.array(*[F.when(hold(grams), F.lit(name)) for name, grams in grams_of.items()]).cast("array<string>")
-    found = texts.select("id", "text", F.explode(F.array_compact(held)).alias("license")).join(F.broadcast(told.select("license", F.col("grams").alias("theirs"))), "license")
-    split = F.transform(F.split("text", "\n"), lambda line, k: F.struct(k.alias("pos"), F.split(normal_form(line), " ").alias("words")))
-    found = found.select("id", "license", "theirs", F.filter(split, lambda x: x["words"][0] != "").alias("lines"))
-    # ``own`` are the bigrams in a line, ``link`` the one that joins it to the line before.
-    own = lambda w: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: F.when(i < F.size(w), F.xxhash64(F.element_at(w, i), F.get(w, i)))))
-    link = lambda k: F.when(k > 0, F.xxhash64(F.element_at(F.get("lines", k - 1)["words"], -1), F.get("lines", k)["words"][0]))
-    parts = F.transform("lines", lambda x, k: F.struct(x["pos"].alias("pos"), F.array_compact(own(x["words"])).alias("own"), link(k).alias("link")))
-    found = found.select("id", "license", "theirs", parts.alias("parts"), F.size("theirs").alias("b"))
-    every = F.array_distinct(F.flatten(F.transform("parts", lambda x: F.array_compact(F.concat(x["own"], F.array(x["link"]))))))
-    like = lambda grams: 2 * F.size(F.array_intersect(grams, F.col("theirs"))) / (F.size(grams) + F.col("b"))
-    found = found.filter(like(every) < least - 1e-9)
-
-    def longer(state: Column, part: Column) -> Column:
-        grams = F.when(state["last"] < 0, part["own"]).otherwise(F.array_union(state["grams"], F.array_compact(F.concat(part["own"], F.array(part["link"])))))
-
-        def step(g: Column) -> Column:
-            dice = F.when(F.size(g) > 0, like(g)).otherwise(F.lit(0.0))
-            better = dice > state["dice"] + 1e-12
-            return F.struct(g.alias("grams"), F.when(better, dice).otherwise(state["dice"]).alias("dice"), F.when(better, part["pos"]).otherwise(state["end"]).alias("end"), part["pos"].alias("last"))
-
-        return F.when(F.size(state["grams"]) > F.col("b") / share + 1e-9, state).otherwise(F.transform(F.array(grams), step)[0])
-
-    nothing = F.struct(F.array().cast("array<bigint>").alias("grams"), F.lit(0.0).alias("dice"), F.lit(-1).alias("end"), F.lit(-1).alias("last"))
-    after = lambda k: F.slice("parts", k + 1, F.size("parts"))
-    starts = F.filter(F.sequence(F.lit(0), F.size("parts") - 1), lambda k: F.arrays_overlap(F.concat(F.get("parts", k)["own"], F.coalesce(F.array(F.get("parts", k + 1)["link"]), F.array().cast("array<bigint>"))), F.col("theirs")))
-    best = F.transform(starts, lambda k: F.struct(F.get("parts", k)["pos"].alias("pos"), F.aggregate(after(k), nothing, longer, lambda s: F.struct(s["dice"].alias("dice"), s["end"].alias("end"))).alias("to")))
-    single = F.transform(F.filter("parts", lambda x: (F.size(x["own"]) > 0) & (like(x["own"]) >= least - 1e-9)), lambda x: F.struct(F.lit(0).alias("kind"), (-like(x["own"])).alias("d"), x["pos"].alias("pos"), x["pos"].alias("end")))
-    several = F.transform(F.filter(best, lambda x: (x["to"]["dice"] >= least - 1e-9) & (x["to"]["end"] > x["pos"])), lambda x: F.struct(F.lit(1).alias("kind"), (-x["to"]["dice"]).alias("d"), x["pos"].alias("pos"), x["to"]["end"].alias("end")))
+    hits = rows.select("id", "text", split_words(normal_form(F.col("text")))).select("id", "text", every_bigram().alias("grams"))
+    hits = hits.select("id", "text", F.array_distinct(among("grams", known)).alias("hits")).filter(F.size("hits") >= min(map(len, grams_of.values()), default=1) * share - 1e-9)
+    held = F.array_compact(F.array(*[F.when(hold(grams), F.lit(name)) for name, grams in grams_of.items()]).cast("array<string>"))
+    return hits.select("id", "text", held.alias("held")).filter(F.size("held") > 0).withColumn("uid", F.monotonically_increasing_id())
+
+
+def _occurrences(texts: DataFrame) -> DataFrame:
+    """``uid, id, held, q, pos, gram, last, earlier`` of every bigram of every line that has words, the q-th such line of its text.
+
+    ``last`` is the last line at which a block can begin and still hold this occurrence: q, or q - 1 for the bigram that
+    joins a line to the one before. ``earlier`` is the greatest ``last`` of the same bigram before it, or -1: a block
+    counts the occurrence as a new bigram if it begins after ``earlier`` and not after ``last``.
+    """
+    split = F.transform(F.split("text", "\n"), lambda line, k: F.struct(k.alias("pos"), split_words(normal_form(line))))
+    lines = texts.select("uid", "id", "held", F.filter(split, lambda x: x["words"][0] != "").alias("lines"))
+    word_before = lambda all_lines, k: F.when(k > 0, F.element_at(F.get(all_lines, k - 1)["words"], -1))
+    joined = let(F.col("lines"), lambda xs: F.transform(xs, lambda x, k: F.struct(x["pos"].alias("pos"), x["words"].alias("words"), word_before(xs, k).alias("before"))))
+    each = lines.select("uid", "id", "held", F.posexplode(joined).alias("q", "x")).select("uid", "id", "held", "q", "x.pos", "x.words", "x.before")
+    link = F.when(F.col("before").isNotNull(), F.array(F.struct(F.xxhash64("before", F.col("words")[0]).alias("gram"), (F.col("q") - 1).alias("last"))))
+    own = F.transform(bigrams(), lambda g: F.struct(g.alias("gram"), F.col("q").alias("last")))
+    none = F.array().cast("array<struct<gram: bigint, last: int>>")
+    found = each.select("uid", "id", "held", "q", "pos", F.inline(F.concat(own, F.coalesce(link, none))))
+    before = Window.partitionBy("uid", "gram").orderBy("q", F.desc("last")).rowsBetween(Window.unboundedPreceding, -1)
+    return found.withColumn("earlier", F.coalesce(F.max("last").over(before), F.lit(-1)))
+
+
+def blocks(texts: DataFrame, told: DataFrame, least: float) -> DataFrame:
+    """``id, pos, license, dice`` of the blocks of two lines or more in ``texts`` (see :func:`likely_texts`, with a ``uid``)."""
+    share = least / (2 - least)
+    licenses = F.broadcast(told.select("license", F.size("grams").cast("int").alias("b")))
+    index = F.broadcast(told.select("license", F.explode("grams").alias("gram"), F.lit(True).alias("hit")))
+    each = _occurrences(texts.filter(F.instr("text", "\n") > 0)).select("uid", "id", "q", "pos", "gram", "last", "earlier", F.explode("held").alias("license"))
+    each = each.join(index, ["license", "gram"], "left").select("uid", "id", "license", "q", "pos", F.struct("last", "earlier", F.coalesce("hit", F.lit(False)).alias("hit")).alias("g"))
+    lines = each.groupBy("uid", "id", "license", "q", "pos").agg(F.collect_list("g").alias("grams"))
+    parts = lines.groupBy("uid", "id", "license").agg(F.array_sort(F.collect_list(F.struct("q", "pos", "grams"))).alias("parts")).join(licenses, "license")
+    like = lambda counted: 2 * F.size(F.filter(counted, lambda g: g["hit"])) / (F.size(counted) + F.col("b"))
+    every = F.flatten(F.transform("parts", lambda x: F.filter(x["grams"], lambda g: g["earlier"] < 0)))
+    parts = parts.filter(like(every) < least - 1e-9)
+    best = "struct<a: int, n: int, dice: double, end: int>"
+
+    def longer(first: Column) -> Callable[[Column, Column], Column]:
+        def add(state: Column, x: Column) -> Column:
+            new = F.filter(x["grams"], lambda g: (g["earlier"] < first) & (first <= g["last"]))
+            counts = F.struct((state["a"] + F.size(new)).alias("a"), (state["n"] + F.size(F.filter(new, lambda g: g["hit"]))).alias("n"))
+
+            def step(c: Column) -> Column:
+                dice = F.when(c["a"] > 0, 2 * c["n"] / (c["a"] + F.col("b"))).otherwise(F.lit(0.0))
+                better = dice > state["dice"] + 1e-12
+                return F.struct(c["a"].alias("a"), c["n"].alias("n"), F.when(better, dice).otherwise(state["dice"]).alias("dice"), F.when(better, x["pos"]).otherwise(state["end"]).alias("end")).cast(best)
+
+            # No longer block can be like the template once this one has too many bigrams.
+            return F.when((state["a"] > F.col("b") / share + 1e-9) | (x["q"] < first), state).otherwise(F.transform(F.array(counts), step)[0])
+
+        return add
+
+    nothing = F.struct(F.lit(0).alias("a"), F.lit(0).alias("n"), F.lit(0.0).alias("dice"), F.lit(-1).alias("end")).cast(best)
+    starts = F.array_distinct(F.flatten(F.transform("parts", lambda x: F.transform(F.filter(x["grams"], lambda g: g["hit"]), lambda g: g["last"]))))
+    place = F.map_from_entries(F.transform("parts", lambda x: F.struct(x["q"], x["pos"])))
+    ends = let(F.col("parts"), lambda xs: F.transform(starts, lambda first: F.struct(first.alias("first"), F.aggregate(xs, nothing, longer(first)).alias("to"))))
+    own = lambda x: F.filter(x["grams"], lambda g: g["last"] == x["q"])
+    alone = F.transform(F.filter("parts", lambda x: like(own(x)) >= least - 1e-9), lambda x: F.struct(F.lit(0).alias("kind"), (-like(own(x))).alias("d"), x["pos"].alias("pos"), x["pos"].alias("end")))
+    parts = parts.select("id", "license", alone.alias("alone"), place.alias("place"), F.filter(ends, lambda x: x["to"]["dice"] >= least - 1e-9).alias("ends"))
+    # A line without bigrams of its own is known by the next one's link alone; its place is the one before.
+    at = lambda places, first: F.coalesce(F.element_at(places, first), F.element_at(places, first + 1) - 1)
+    told_ends = let(F.col("place"), lambda places: F.transform("ends", lambda x: F.struct(F.lit(1).alias("kind"), (-x["to"]["dice"]).alias("d"), at(places, x["first"]).alias("pos"), x["to"]["end"].alias("end"))))
+    several = F.filter(told_ends, lambda x: x["end"] > x["pos"])
     none = F.slice(F.array(F.struct(F.lit(0).alias("kind"), F.lit(0.0).alias("d"), F.lit(0).alias("pos"), F.lit(0).alias("end"))), 1, 0)
     apart = lambda chosen, x: ~F.exists(chosen, lambda y: (y["pos"] <= x["end"]) & (x["pos"] <= y["end"]))
-    chosen = F.aggregate(F.array_sort(F.concat(single, several)), none, lambda got, x: F.when(apart(got, x), F.concat(got, F.array(x))).otherwise(got))
-    return found.select("id", "license", F.explode(chosen).alias("block")).filter("block.kind = 1").select("id", F.col("block.pos").alias("pos"), "license", (-F.col("block.d")).alias("dice"))
+    chosen = F.aggregate(F.array_sort(F.concat("alone", several)), none, lambda got, x: F.when(apart(got, x), F.concat(got, F.array(x))).otherwise(got))
+    return parts.select("id", "license", F.explode(chosen).alias("block")).filter("block.kind = 1").select("id", F.col("block.pos").alias("pos"), "license", (-F.col("block.d")).alias("dice"))
 
 
 def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_DICE) -> DataFrame:
