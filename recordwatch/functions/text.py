@@ -46,10 +46,11 @@ def _semantic(values: pd.Series) -> pd.Series:
 def semantic_text(text: Column) -> Column:
     """Semantic normal form: entities, NFKC, typographic characters, blanks. Null becomes empty.
 
-    An Arrow UDF over whole batches. Where texts are known to be ASCII without entities, use
-    :func:`semantic_text_ascii`, which stays in the JVM.
+    ASCII texts without an ampersand have neither entities nor other letters and are done in the JVM; only the rest is handed to an
+    Arrow UDF over whole batches.
     """
-    return _semantic(text)
+    plain = F.coalesce(text.rlike(r"^[\x00-%'-\x7F]*$"), F.lit(True))
+    return F.when(plain, semantic_text_ascii(text)).otherwise(_semantic(F.when(~plain, text)))
 
 
 def is_empty(value: Column) -> Column:

@@ -1,11 +1,15 @@
 """Alerts: conditions, notifications, and the open/escalate/update/suppress/resolve machine.
 
-The machine is a fold per alert key, since what a run does depends on when the key last notified. It runs in the JVM as
-an ``aggregate`` over the key's observations in order; a key has one observation per run.
+The machine is a fold per alert key, since what a run does depends on when the key last notified. Observations are dealt
+out by key, sorted within tasks and streamed in Arrow batches past a state of three numbers, so a key's history is never
+gathered; a key has one observation per run.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,19 +17,28 @@ from recordwatch.functions.ids import alert_key, digest, joined
 
 # Lifecycle events that are told once, with severity and category.
 NOTIFIED = {
-    "semantic_content_changed": ("info", "content"),
-    "item_discovered": ("info", "content"),
-    "reappeared": ("info", "collection"),
+    "item_discovered": ("info", "collection"),
+    "semantic_content_changed": ("warning", "content_review"),
+    "extraction_improved": ("info", "extraction"),
     "detail_fetch_recovered": ("info", "collection"),
-    "extraction_degraded": ("warning", "extraction"),
+    "reappeared": ("info", "collection"),
 }
 COOLDOWN_HOURS = 24
 
 
-def notifications(events: DataFrame, processed: DataFrame, rules: dict[str, tuple[str, str]] = NOTIFIED) -> DataFrame:
-    """Events that haven't been processed and have a rule, with severity and category. The rules are a few rows."""
+def notifications(events: DataFrame, processed: DataFrame, rules: dict[str, tuple[str, str]] = NOTIFIED, initialized: bool = True) -> DataFrame:
+    """Events that haven't been processed and have a rule, with severity and category. The rules are a few rows.
+
+    The first evaluation of all (``initialized`` false) tells nothing; afterwards every event counts as :func:`processed_after`.
+    """
     told = events.sparkSession.createDataFrame([(k, *v) for k, v in rules.items()], "event_type string, severity string, category string")
-    return events.join(processed.select("event_id"), "event_id", "left_anti").join(F.broadcast(told), "event_type")
+    fresh = events.join(processed.select("event_id"), "event_id", "left_anti").join(F.broadcast(told), "event_type")
+    return fresh if initialized else fresh.filter(F.lit(False))
+
+
+def processed_after(events: DataFrame, processed: DataFrame) -> DataFrame:
+    """Ids that count as processed after an evaluation: all there were and all it saw, told or not."""
+    return processed.select("event_id").unionByName(events.filter(F.coalesce("event_id", F.lit("")) != "").select("event_id")).distinct()
 
 
 def lifecycle_conditions(states: DataFrame) -> DataFrame:
@@ -50,32 +63,38 @@ def machine(observed: DataFrame, cooldown_hours: int = COOLDOWN_HOURS) -> DataFr
     ``observed`` has one row per key and run that looked for it: ``alert_key, started_at, run_id, severity_rank``, where a null
     rank means that the condition is not met. Runs that didn't look for a key have no row and leave it as it is.
     """
-    pause = cooldown_hours * 3600
-    seen = F.struct(F.unix_timestamp("started_at").alias("at"), F.col("run_id").cast("string").alias("run_id"), F.col("severity_rank").cast("int").alias("rank"))
-    runs = observed.groupBy("alert_key").agg(F.array_sort(F.collect_list(seen)).alias("runs"))
-    step = "struct<at: bigint, run_id: string, action: string, rank: int>"
-    start = F.struct(
-        F.lit(None).cast("int").alias("rank"), F.lit(None).cast("bigint").alias("until"), F.lit(None).cast("string").alias("run_id"), F.array().cast(f"array<{step}>").alias("done")
-    )
-
-    def fold(acc: Column, x: Column) -> Column:
-        is_open, met, same = acc["rank"].isNotNull(), x["rank"].isNotNull(), acc["run_id"].eqNullSafe(x["run_id"])
-        action = (
-            F.when(~is_open & met, "open")
-            .when(is_open & ~met, "resolve")
-            .when(is_open & met & (x["rank"] > acc["rank"]), "escalate")
-            .when(is_open & met & ~same & (acc["until"] <= x["at"]), "update")
-            .when(is_open & met & ~same, "suppress")
-        )
-        told = F.coalesce(action.isin("open", "escalate", "update"), F.lit(False))
-        entry = F.struct(x["at"].alias("at"), x["run_id"].alias("run_id"), action.alias("action"), F.coalesce(x["rank"], acc["rank"]).alias("rank")).cast(step)
-        return F.struct(
-            x["rank"].alias("rank"), F.when(told, x["at"] + pause).otherwise(acc["until"]).alias("until"), x["run_id"].alias("run_id"),
-            F.when(action.isNotNull(), F.concat(acc["done"], F.array(entry))).otherwise(acc["done"]).alias("done"),
-        )
-
-    folded = runs.select("alert_key", F.explode(F.aggregate("runs", start, fold, lambda acc: acc["done"])).alias("d"))
-    return folded.select("alert_key", F.col("d.run_id").alias("run_id"), F.timestamp_seconds("d.at").alias("started_at"), F.col("d.action").alias("action"), F.col("d.rank").cast("long").alias("severity_rank"))
+    pause = cooldown_hours * 3_600_000_000
+    rows = observed.select("alert_key", F.unix_micros("started_at").alias("at"), F.col("run_id").cast("string").alias("run_id"), F.col("severity_rank").cast("long").alias("rank"))
+    dealt = rows.repartition("alert_key").sortWithinPartitions("alert_key", "at", "run_id", "rank")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = open_rank = until = last_run = None
+        for batch in batches:
+            out: list[list] = [[] for _ in range(5)]
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                now, at, run_id, rank = row
+                if now != key:
+                    key, open_rank, until, last_run = now, None, None, None
+                action = None
+                if open_rank is None:
+                    action = "open" if rank is not None else None
+                elif rank is None:
+                    action = "resolve"
+                elif rank > open_rank:
+                    action = "escalate"
+                elif run_id != last_run:
+                    action = "update" if until <= at else "suppress"
+                if action in ("open", "escalate", "update"):
+                    until = at + pause
+                if action:
+                    for column, value in zip(out, (key, run_id, at, action, open_rank if rank is None else rank)):
+                        column.append(value)
+                open_rank, last_run = rank, run_id
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], ["alert_key", "run_id", "at", "action", "severity_rank"])
+
+    told = dealt.mapInArrow(run, "alert_key string, run_id string, at long, action string, severity_rank long")
+    return told.select("alert_key", "run_id", F.timestamp_micros("at").alias("started_at"), "action", "severity_rank")
 
 
 def alert_event_id(run_id: Column, key: Column, action: Column) -> Column:

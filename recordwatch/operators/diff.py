@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordwatch.functions.classify import QUALITY, rank
-from recordwatch.functions.text import excerpt, grows, is_empty
+from recordwatch.functions.text import collapse, excerpt, grows, is_empty
 
 GROWING = ("summary", "evidence")
 
@@ -135,3 +135,63 @@ def merge_by_rank(a: DataFrame, b: DataFrame, key: str, fields: list[str], rank_
     value = lambda l, r: F.when(is_empty(l), r).when(is_empty(r), l).when(better, r).otherwise(l)  # noqa: E731, E741
     conflict = F.array_compact(F.array(*[F.when(~is_empty(l) & ~is_empty(r) & (l != r), F.lit(f)) for f, (l, r) in pick.items()]))
     return both.select(F.coalesce(F.col(f"x.{key}"), F.col(f"y.{key}")).alias(key), *[value(*p).alias(f) for f, p in pick.items()], conflict.alias("conflicts"))
+
+
+def titles_agree(before: Column, after: Column) -> Column:
+    """Whether two titles are the same but for case, or one continues the other after a colon."""
+    old, new = (F.lower(collapse(t)) for t in (before, after))
+    continues = lambda a, b: (a != "") & b.startswith(F.concat(a, F.lit(":")))
+    return (old == new) | continues(old, new) | continues(new, old)
+
+
+def baseline_changes(current: DataFrame, existing: DataFrame, failures: DataFrame, sources: DataFrame, fields: list[str]) -> DataFrame:
+    """``current`` items with ``change_status, extraction_change_status, change_reason, first_seen_at, last_changed_at, previous_content_hash``.
+
+    ``current``: ``id, source_id, reused, fetched_at, parser_version, semantic_hash, extraction_hash, title, published`` and
+    ``fields``; ``existing``: the same without ``reused``, with ``content_hash, first_seen_at, last_changed_at``;
+    ``failures``: ``id`` of candidates that failed before; ``sources``: ``source_id, bootstrapped, previous_parser_version``.
+
+    What was read from an earlier success stays unchanged. Until its source has a baseline an item is part of it. An item
+    without a record is new, unless a failure or another parser explains why it wasn't known. Otherwise facts decide: after a
+    change of parser only titles that disagree or two different dates, else the fields, or the hashes where there is no record of fields.
+    """
+    was = existing.select(F.col("id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in ("parser_version", "semantic_hash", "content_hash", "extraction_hash", "title", "published", "first_seen_at", "last_changed_at", *[f for f in fields if f not in ("title", "published")])])
+    rows = current.join(was, current["id"] == was["__id"], "left")
+    rows = rows.join(failures.select(F.col("id").alias("__failed")).distinct(), rows["id"] == F.col("__failed"), "left")
+    told = sources.select(F.col("source_id").alias("__source"), "bootstrapped", "previous_parser_version")
+    rows = rows.join(F.broadcast(told), rows["source_id"] == told["__source"], "left")
+    known, failed = F.col("__id").isNotNull(), F.col("__failed").isNotNull()
+    upgraded = F.coalesce((F.coalesce("previous_parser_version", F.lit("")) != "") & ~F.col("previous_parser_version").eqNullSafe(F.col("parser_version")), F.lit(False))
+    reparsed = known & ~F.col("__parser_version").eqNullSafe(F.col("parser_version"))
+    changed = lambda f: field_change(f, F.col(f"__{f}"), F.col(f)) == "changed"
+    by_fields = F.coalesce(F.greatest(*[F.coalesce(changed(f), F.lit(False)) for f in fields], F.lit(False)), F.lit(False))
+    dated = ~is_empty(F.col("__published")) & ~is_empty(F.col("published")) & (F.col("__published") != F.col("published"))
+    facts = (
+        F.when(reparsed, ~titles_agree(F.col("__title"), F.col("title")) | F.coalesce(dated, F.lit(False)))
+        .when(~is_empty(F.col("__semantic_hash")), by_fields)
+        .otherwise(~F.col("__content_hash").eqNullSafe(F.col("semantic_hash")))
+    )
+    enriched = reparsed | ~F.col("__extraction_hash").eqNullSafe(F.col("extraction_hash"))
+    cases = [
+        (F.col("reused"), "unchanged", "failed", "detail_fetch_failed_reused_previous_success"),
+        (~F.coalesce("bootstrapped", F.lit(False)), "baseline", "unchanged", "baseline_established"),
+        (~known & failed, "unchanged", "improved", "detail_failure_recovered"),
+        (~known & upgraded, "unchanged", "improved", "parser_enrichment_discovery"),
+        (~known, "new", "unchanged", "new_item"),
+        (facts, "changed", "unchanged", "semantic_content_changed"),
+        (enriched, "unchanged", "improved", "parser_enrichment"),
+        (F.lit(True), "unchanged", "unchanged", "no_semantic_change"),
+    ]
+    case = F.coalesce(*[F.when(on, F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"))) for on, a, b, c in cases])
+    rows = rows.withColumn("__case", case)
+    first = F.coalesce("__first_seen_at", "fetched_at")
+    reason = F.col("__case.c")
+    last = (
+        F.when(reason == "baseline_established", F.coalesce("__last_changed_at", "fetched_at"))
+        .when(reason.isin("new_item", "semantic_content_changed", "detail_failure_recovered", "parser_enrichment_discovery"), F.col("fetched_at"))
+        .otherwise(F.coalesce(F.col("__last_changed_at"), first))
+    )
+    return rows.select(
+        *[current[c] for c in current.columns], F.col("__case.a").alias("change_status"), F.col("__case.b").alias("extraction_change_status"), reason.alias("change_reason"),
+        first.alias("first_seen_at"), last.alias("last_changed_at"), F.col("__content_hash").alias("previous_content_hash"),
+    )

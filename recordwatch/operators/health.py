@@ -49,7 +49,7 @@ def overall(components: DataFrame, keys: list[str], runtime: str | None = None,
 
 def duration_seconds(started: Column, finished: Column, given: Column) -> Column:
     """Seconds of a run: what is given, else the difference, never below 0."""
-    return F.coalesce(given, F.greatest(F.lit(0.0), F.unix_timestamp(finished) - F.unix_timestamp(started)).cast("double"))
+    return F.coalesce(given, F.greatest(F.lit(0.0), (F.unix_micros(finished) - F.unix_micros(started)) / 1_000_000))
 
 
 def upsert_history(history: DataFrame, record: DataFrame, keep: int) -> DataFrame:
@@ -59,3 +59,75 @@ def upsert_history(history: DataFrame, record: DataFrame, keep: int) -> DataFram
     final = record.filter(F.coalesce("health_phase", F.lit("final")) == "final")
     old = history.withColumn("health_phase", F.coalesce("health_phase", F.lit("final")))
     return union_last_value([old, final], "run_id").orderBy(F.desc("position")).limit(keep)
+
+
+#: Steps after the run itself, and whether their failure is critical; before the run's end all of them are pending.
+STEPS = {"output_validation": True, "project_audit": True, "email": False, "mirror_sync": False, "workflow_core": True}
+INTERNAL = ("source_collection", "candidate_discovery", "detail_extraction", "lifecycle", "summarizer")
+RATE, RUNTIME_SECONDS = 0.5, 900.0
+
+
+def run_components(runs: DataFrame, least_rate: float = RATE) -> DataFrame:
+    """``runs`` with a column for the status of each component, and ``success_rate``.
+
+    Needs ``health_phase, reachable_sources, complete_sources, total_sources, success, failed, stale, attention_items,
+    model_status, validation_status`` and, for each of ``STEPS``, the outcome in a column of its name with ``_outcome``.
+    """
+    from recordwatch.functions.classify import component_health, step_outcome
+
+    share = lambda n: F.when(F.col("total_sources") == 0, "unknown").when(F.col(n) == F.col("total_sources"), "healthy").otherwise("degraded")
+    rate = success_rate(F.col("success"), F.col("failed"))
+    off = F.col("model_status").isin("skipped_disabled", "disabled", "not_enabled")
+    fine = (F.col("model_status") == "generated") & (F.col("validation_status") == "passed")
+    provisional = F.col("health_phase") == "provisional"
+
+    def step(name: str, critical: bool) -> Column:
+        found = component_health(step_outcome(F.col(f"{name}_outcome")), F.lit(critical))
+        # An outcome that still says pending at the end is as good as unknown.
+        return F.when(provisional, "pending_at_render_time").otherwise(F.when(found == "pending", "unknown").otherwise(found))
+
+    return runs.withColumns(
+        {
+            "success_rate": rate,
+            "source_collection": share("reachable_sources"),
+            "candidate_discovery": share("complete_sources"),
+            "detail_extraction": F.when(rate.isNull(), "unknown").when(rate >= least_rate, "healthy").otherwise("degraded"),
+            "lifecycle": F.when(F.col("stale") | (F.col("attention_items") > 0), "degraded").otherwise("healthy"),
+            "summarizer": F.when(off | fine, "healthy").when(F.col("validation_status") == "failed", "degraded").otherwise("unknown"),
+            **{name: step(name, critical) for name, critical in STEPS.items()},
+        }
+    )
+
+
+def run_health(runs: DataFrame, least_rate: float = RATE, runtime_limit: float = RUNTIME_SECONDS) -> DataFrame:
+    """Health of each run in its phase: :func:`run_components`, ``duration_seconds``, ``overall_health, is_final, write_allowed, warning``.
+
+    Besides what components need: ``started_at, finished_at, duration_given, open_warning, open_high, open_critical`` and
+    ``latest_started_at`` of all other runs. A run without valid times or phase is unhealthy and one that started before
+    the latest is degraded; neither may be written, whatever its components say.
+    """
+    known = F.col("health_phase").isin("provisional", "final")
+    timed = F.col("run_id").isNotNull() & F.col("started_at").isNotNull() & F.col("finished_at").isNotNull()
+    late = F.coalesce(F.col("started_at") < F.col("latest_started_at"), F.lit(False))
+    rows = run_components(runs, least_rate).withColumn("duration_seconds", duration_seconds(F.col("started_at"), F.col("finished_at"), F.when(F.col("duration_given").isNotNull(), F.greatest(F.lit(0.0), F.col("duration_given")))))
+    every = [F.col(c) for c in (*INTERNAL, *STEPS)]
+    some = lambda status: F.array_contains(F.array(*every), status)
+    slow = F.col("duration_seconds") > runtime_limit
+    doubtful = (F.col("open_high") > 0) | (F.col("open_warning") > 0) | ((F.col("health_phase") == "final") & some("unknown")) | some("degraded") | slow
+    whole = F.when((F.col("open_critical") > 0) | some("unhealthy"), "unhealthy").when(doubtful, "degraded").otherwise("healthy")
+    warning = F.when(~F.coalesce(known, F.lit(False)), "invalid_health_phase").when(~timed, "invalid_run_context").when(late, "stale_run_ignored").when(slow, "runtime_above_threshold")
+    return rows.withColumns(
+        {
+            "warning": warning,
+            "overall_health": F.when(F.coalesce(F.col("health_phase"), F.lit("")).isin("provisional", "final") & timed, F.when(late, "degraded").otherwise(whole)).otherwise("unhealthy"),
+            "is_final": F.coalesce((F.col("health_phase") == "final") & timed, F.lit(False)),
+            "write_allowed": F.coalesce(known & timed & ~late, F.lit(False)),
+        }
+    )
+
+
+def alert_status(alerts: DataFrame, keys: list[str]) -> DataFrame:
+    """``overall_alert_status`` of each run from its open conditions and its actions (``severity_rank, action``, null for open ones): suppressed actions don't count."""
+    counts = F.max(F.when(F.coalesce(F.col("action") != "suppress", F.lit(True)), F.col("severity_rank")))
+    name = F.when(counts >= 3, "critical").when(counts == 2, "high_attention").when(counts == 1, "attention").otherwise("normal")
+    return alerts.groupBy(*keys).agg(name.alias("overall_alert_status"))

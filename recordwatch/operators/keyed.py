@@ -102,26 +102,45 @@ def ordered_unique(values: Column) -> Column:
 
 
 def merge_candidates(df: DataFrame, key: list[str]) -> DataFrame:
-    """One candidate per key: first title that isn't blank, longest evidence, all keywords, best origin. Needs ``pos``."""
+    """One candidate per key: the first title that isn't blank, the longest evidence (the first of equals), the first origin but anchors, and all keywords. Needs ``pos``.
+
+    Keywords are made distinct by a shuffle of their own before they are listed, so no key's lists are gathered whole.
+    """
     title = F.min(F.when(F.trim(F.coalesce("title", F.lit(""))) != "", F.struct("pos", "title")))
-    evidence = F.max(F.struct(F.char_length("evidence").alias("n"), (-F.col("pos")).alias("p"), "evidence"))
-    return df.groupBy(*key).agg(
-        title["title"].alias("title"), evidence["evidence"].alias("evidence"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("keywords")))).alias("keywords"),
-        F.max(F.when(F.col("origin") == "anchor", 0).otherwise(1)).alias("structured"), F.min("pos").alias("pos"),
+    evidence = F.min(F.struct((-F.char_length(F.coalesce("evidence", F.lit("")))).alias("n"), "pos", "evidence"))
+    origin = F.min(F.when(F.col("origin") != "anchor", F.struct("pos", "origin")))
+    rows = df.filter(F.col(key[-1]).isNotNull())
+    merged = rows.groupBy(*key).agg(
+        F.coalesce(title["title"], F.lit("")).alias("title"), evidence["evidence"].alias("evidence"), F.coalesce(origin["origin"], F.lit("anchor")).alias("origin"), F.min("pos").alias("pos"),
     )
+    words = rows.select(*[F.col(k).alias(f"__{k}") for k in key], F.explode("keywords").alias("word")).distinct()
+    listed = words.groupBy(*[f"__{k}" for k in key]).agg(F.array_sort(F.collect_list("word")).alias("keywords"))
+    same = F.lit(True)
+    for k in key:
+        same = same & merged[k].eqNullSafe(listed[f"__{k}"])
+    return merged.join(listed, same, "left").select(*merged.columns, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
 
 
 def running_max_before(df: DataFrame, seq: str, value: str, bits: int = 12) -> DataFrame:
     """``df`` with ``max_before``: the greatest ``value`` of all rows with a smaller ``seq`` (a whole number).
 
-    Rows are ordered in buckets of 2**bits numbers; a running maximum over the buckets' own maxima joins them, so
-    no task sees all rows.
+    Rows are ordered in buckets of numbers, wide enough to hold about 2**bits rows each where numbers are sparse; a running
+    maximum over the buckets' own maxima joins them, and is taken the same way, so no task sees all rows or all buckets.
     """
-    rows = df.withColumn("__b", F.shiftright(seq, bits))
+    ends = df.agg(F.min(seq).alias("low"), F.max(seq).alias("high"), F.count(seq).alias("n")).first()
+    apart = ((ends.high - ends.low) // ends.n).bit_length() if ends.n else 0
+    return _max_before(df, seq, value, bits + apart, bits, (ends.high or 0) - (ends.low or 0))
+
+
+def _max_before(df: DataFrame, seq: str, value: str, shift: int, bits: int, span: int) -> DataFrame:
+    """:func:`running_max_before` with buckets of 2**shift numbers; ``span`` is the distance of the greatest number from the least."""
+    rows = df.withColumn("__b", F.shiftright(seq, min(shift, 63)))
     tops = rows.groupBy("__b").agg(F.max(value).alias("__top"))
-    over = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    before = tops.select("__b", F.max("__top").over(over).alias("__before"))
+    if span >> shift > 1 << bits:
+        before = _max_before(tops, "__b", "__top", bits, bits, (span >> shift) + 1).select("__b", F.col("max_before").alias("__before"))
+    else:
+        over = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        before = tops.select("__b", F.max("__top").over(over).alias("__before"))
     inside = F.max(value).over(Window.partitionBy("__b").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1))
     joined = rows.withColumn("__inside", inside).join(before, "__b")
     return joined.withColumn("max_before", F.greatest("__inside", "__before")).drop("__b", "__inside", "__before")

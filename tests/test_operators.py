@@ -32,7 +32,11 @@ def value(spark, column):
     [
         ("https://example.com/news/?utm_source=test#top", "https://example.com/news"),
         ("https://EXAMPLE.com/news", "https://example.com/news"),
-        ("HTTPS://Example.com", "https://example.com/"),
+        ("HTTPS://Example.com", "https://example.com"),
+        ("https://example.com/a?a-b=1&a=1&x=%7e%2F+z&b", "https://example.com/a?a=1&a-b=1&b=&x=~%2F+z"),
+        ("https://example.com:0443/", "https://example.com:443/"),
+        ("https://example.com:x/", "https://example.com:x/"),
+        ("https://example.com/a?x=50%&fbclid=1", "https://example.com/a?x=50%25"),
         ("https://example.com/a?b=2&a=1&UTM_Medium=x", "https://example.com/a?a=1&b=2"),
         ("https://example.com/?id=1", "https://example.com/?id=1"),
         ("https://User:Pass@Example.com:8080/x/", "https://User:Pass@example.com:8080/x"),
@@ -86,18 +90,26 @@ def test_ids(spark):
 
 
 def test_classes(spark):
-    error = lambda *a: value(spark, C.fetch_error(*[F.lit(x) for x in a]))
-    assert error(True, 500, "text/html", 1) == "redirect_outside_source" and error(False, 404, "x", 0) == "http_4xx"
-    assert error(False, 200, "image/png", 1) == "content_type_unsupported" and error(False, 200, "text/html", 3_000_000) == "response_too_large"
-    assert error(False, 200, "text/html", 0) == "empty_response" and error(False, 200, "text/html", 10) is None
+    error = lambda valid=True, failure=None, landed="inside", status=200, kind="text/html", size=10, blank=False: value(spark, C.fetch_error(F.lit(valid), F.lit(failure).cast("string"), *[F.lit(x) for x in (landed, status, kind, size, blank)]))
+    assert error() is None and error(valid=False, status=404) == "invalid_candidate_url" and error(failure="timeout") == "request_timeout" and error(failure="x") == "request_error"
+    assert error(landed="index", status=500) == "redirect_to_index_page" and error(landed="outside") == "redirect_outside_allowed_domain" and error(status=404, kind="x") == "http_4xx" and error(status=503) == "http_5xx"
+    assert error(kind="image/png", size=3_000_000) == "invalid_content_type" and error(size=3_000_000) == "response_too_large" and error(blank=True) == "empty_response"
     quality = lambda *a: tuple(value(spark, c) for c in C.parser_quality(*[F.lit(x) for x in a]))
-    assert quality(0, True, 100, 0) == ("low", 0.35) and quality(3, True, 100, 0) == ("high", 0.9)
-    assert quality(2, False, 10, 0) == ("medium", 0.75)
+    assert quality(False, 3, True, 100, 0) == ("low", 0.35) and quality(True, 3, True, 100, 0) == ("high", 0.9)
+    assert quality(True, 2, False, 10, 0) == ("medium", 0.75) and quality(True, 0, False, 10, 0) == ("medium", 0.65) and quality(True, 4, True, 10, 0) == ("medium", 0.84)
+    render = lambda mode, err, static: value(spark, C.render_decision(F.lit(mode), F.lit(err).cast("string"), F.lit(static)))
+    assert [render("never", "missing_title", False), render("always", "http_4xx", False), render("always", None, True), render("auto", "javascript_shell", False), render("auto", "javascript_shell", True), render("auto", "http_5xx", False)] == [False, False, True, True, False, False]
+    assert [value(spark, C.warning_category(F.lit(w))) for w in ("Bad date", "发布时间", "Field_conflict:Title", "other")] == ["unparsed_date", "unparsed_date", "field_conflict:title", "parser_warning"]
+    assert [value(spark, C.method_rank(F.lit(m))) for m in ("static_json_ld_headline", "rendered_h1", "static_main", "static_meta_description", "", None)] == [5, 4, 3, 2, 1, 1]
+    level = lambda *a: value(spark, C.candidate_level(*[F.lit(x) for x in a]))
+    assert level("next_data", False, "t", "e" * 60) == "item_level" and level("embedded_json", False, "t", "e" * 60) == "link_level" and level("json_ld", True, "t", "e" * 60) == "link_level"
     assert value(spark, C.step_outcome(F.lit(" Canceled "))) == "cancelled" and value(spark, C.step_outcome(F.lit(None))) == "unknown"
     blocks = F.array(F.lit("the network grows"), F.lit("as seen with orbit before"))
-    about = lambda title, b: value(spark, C.relevance(F.lit(title), b, "orbit", "as seen with", "targeting .* orbit"))
+    about = lambda title, b: value(spark, C.relevance(F.lit(title), b, "orbit", ("as seen with",), "targeting .* orbit"))
     assert about("Orbit news", blocks) == "direct" and about("x", blocks) == "incidental"
     assert about("x", F.array(F.lit("targeting a low orbit"))) == "direct" and about("x", F.array(F.lit("none"))) == "not_direct"
+    later = F.array(*[F.lit(t) for t in ("a", "b", "c", "orbit at last")])
+    assert about("orbital news", F.array(F.lit("none"))) == "unknown" and about("x", later) == "not_direct" and about("", F.array(F.lit("none"))) == "unknown"
     assert value(spark, C.rank(F.lit("HIGH"), C.QUALITY)) == 3 and value(spark, C.rank(F.lit("odd"), C.QUALITY)) == 0
     assert value(spark, C.valid_email(F.lit("a@b.cd"))) and not value(spark, C.valid_port(F.lit("70000")))
 
@@ -125,7 +137,7 @@ def test_siblings_and_candidates(spark):
     assert filled[("k", 2)] == ("x", "full") and filled[("k", 1)] == ("old", "full") and filled[("j", 1)] == (None, "q")
     found = spark.createDataFrame([("u", 0, "", "short", ["b"], "anchor"), ("u", 1, "T", "much longer", ["a", "b"], "json_ld"), ("u", 2, "S", "mid", ["c"], "anchor")], "url string, pos long, title string, evidence string, keywords array<string>, origin string")
     r = K.merge_candidates(found, ["url"]).first()
-    assert (r.title, r.evidence, r.keywords, r.structured) == ("T", "much longer", ["a", "b", "c"], 1)
+    assert (r.title, r.evidence, r.keywords, r.origin) == ("T", "much longer", ["a", "b", "c"], "json_ld")
 
 
 def test_diffs(spark):
@@ -205,12 +217,12 @@ PAGE = """<html><head><title>Site</title><meta property="og:title" content="A ti
 def test_html(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, "<p>Please enable JavaScript to go on</p><script>1</script>"), (3, ""), (4, None), (5, "<div><p>unclosed <b>tags")], "page_id long, html string")
     f = {r.page_id: r for r in HT.page_features(pages, "page_id").collect()}
-    assert (f[1].title, f[1].title_from, f[1].published, f[1].error) == ("A title", "og:title", "2026-02-03", None)
+    assert (f[1].title, f[1].sources["title"], f[1].published_at, f[1].error, f[1].complete) == ("Named item", "static_json_ld_name", "2026-02-03T00:00:00+00:00", "missing_evidence", False)
     assert (f[2].error, f[3].error, f[4].error) == ("javascript_shell", "empty_response", "empty_response")
     blocks = [r.a for r in HT.page_rows(pages, "page_id", "blocks").filter("page_id = 1").orderBy("pos").collect()]
     assert len(blocks) == 2 and blocks[0].startswith("A first")
     assert [(r.a, r.b) for r in HT.page_rows(pages, "page_id", "links").collect()] == [("/x?y=1", "a link")]
-    assert [(r.a, r.b) for r in HT.page_rows(pages, "page_id", "json").collect()] == [("/u", "Named item")]
+    assert [(r.a, r.b) for r in HT.page_rows(pages, "page_id", "json").collect()] == [("/u", "Named item"), ("/u", "")]
     assert pages.filter("page_id = 1").select(HT.title_native(F.col("html")).alias("t")).first().t == "Site"
 
 
