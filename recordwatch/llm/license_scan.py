@@ -50,14 +50,13 @@ def normal_form(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def every_bigram(words: str = "words") -> Column:
-    """Array of the hashes of two words in a row, of a column of word arrays."""
-    found = let(F.col(words), lambda ws: F.transform(ws, lambda w, k: F.xxhash64(w, F.get(ws, k + 1))))
-    return F.slice(found, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+def every_bigram(words: Column) -> Column:
+    """Array of the hashes of two words in a row."""
+    return let(words, lambda ws: F.slice(F.transform(ws, lambda w, k: F.xxhash64(w, F.get(ws, k + 1))), F.lit(1), F.greatest(F.size(ws) - 1, F.lit(0))))
 
 
 def bigrams(words: str = "words") -> Column:
-    return F.array_distinct(every_bigram(words))
+    return F.array_distinct(every_bigram(F.col(words)))
 
 
 def split_words(body: Column) -> Column:
@@ -104,10 +103,13 @@ def likely_texts(rows: DataFrame, grams_of: dict[str, list[int]], known: list[in
     """
     share = least / (2 - least)
     hold = lambda grams: F.size(among("hits", grams)) >= len(grams) * share - 1e-9
-    hits = rows.select("id", "text", split_words(normal_form(F.col("text")))).select("id", "text", every_bigram().alias("grams"))
-    hits = hits.select("id", "text", F.array_distinct(among("grams", known)).alias("hits")).filter(F.size("hits") >= min(map(len, grams_of.values()), default=1) * share - 1e-9)
+    enough = min(map(len, grams_of.values()), default=1) * share - 1e-9
+    # Exploded, not filtered: filters would be pushed down to the text and work everything out once more for each use.
+    some = lambda array, least_size: F.explode(F.filter(F.array(array), lambda h: F.size(h) >= least_size))
+    texts = rows.select("id", "text", every_bigram(split_words(normal_form(F.col("text")))).alias("grams"))
+    hits = texts.select("id", "text", some(F.array_distinct(among("grams", known)), max(enough, 0.5)).alias("hits"))
     held = F.array_compact(F.array(*[F.when(hold(grams), F.lit(name)) for name, grams in grams_of.items()]).cast("array<string>"))
-    return hits.select("id", "text", held.alias("held")).filter(F.size("held") > 0).withColumn("uid", F.monotonically_increasing_id())
+    return hits.select("id", "text", some(held, 1).alias("held")).withColumn("uid", F.monotonically_increasing_id())
 
 
 def _occurrences(texts: DataFrame) -> DataFrame:
