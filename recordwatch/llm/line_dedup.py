@@ -48,7 +48,9 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str, form: Callable[[Col
     """``id, row, pos, body, h1, h2`` of every line with a normal form; the two hashes identify it, and ``row`` the text."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text_or_empty(text_col).alias("text"))
     lines = rows.select("id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    found = lines.select("id", "row", "pos", form(F.col("line")).alias("body")).filter("body <> ''")
+    # Exploded, not filtered: a filter would be pushed below and work out the normal form twice.
+    told = F.explode(F.filter(F.array(form(F.col("line"))), lambda body: body != ""))
+    found = lines.select("id", "row", "pos", told.alias("body"))
     return found.select("*", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit("line"), "body").alias("h2"))
 
 
