@@ -71,7 +71,9 @@ class Bpe:
         self.token = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         self.names = [self.token.get(i, "") for i in range(max(self.token, default=-1) + 1)]
         self.words = _Cache(self.encode_word, cache_entries)
-        self.far = re.compile("[\u0130\u0250-\U0010ffff]")
+        # Letters from U+0250 on, and those below whose lower cases lie beyond.
+        beyond = "".join(c for c in map(chr, range(0x250)) if max(c.lower()) > "\u024f")
+        self.far = re.compile(f"[{beyond}\u0250-\U0010ffff]")
         # After lower-casing; letters, digits and marks up to U+024F, where all versions of Unicode agree.
         self.near = re.compile(
             "'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
@@ -139,7 +141,7 @@ class Bpe:
         """All ids of ``text`` as packed 32-bit integers."""
         if not text:
             return b""
-        if "<|" not in text and not self.far.search(text):
+        if "<|" not in text and (text.isascii() or not self.far.search(text)):
             plain = text if text.isascii() else unicodedata.normalize("NFC", text)
             return b"".join(map(self.words.__getitem__, self.near.findall(plain.lower())))
         # White space parts words, so chunks between it can be taken one by one.
