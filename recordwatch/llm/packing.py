@@ -2,10 +2,12 @@
 
 The pieces' lengths form a histogram of at most ``capacity`` counts, whatever the number of documents. On it
 the configuration programme (fewest sequences whose configurations cover every length as often as it occurs)
-is solved by multiplicative weights: each round prices lengths, a knapsack dynamic programme finds for each
-length the most valuable configuration with it, and prices of lengths that the configurations cover too often
-fall. Rounding then takes configurations of the best price a whole number of times while stock lasts, and what
-is left, in price order, goes where it fits best. The result is a table of runs: so many sequences of one
+is solved by multiplicative weights: each round prices lengths by how badly they are covered so far, a knapsack dynamic
+programme finds for every length the most valuable configuration with it, and what is still uncovered takes a share of
+each. Prices over the value of the best configuration are a dual solution, so each round also gives a bound that no packing
+can beat. All shares together are the fractional solution; it is rounded down,
+then by greatest fraction up while stock lasts, what is left is solved again, and the little that no configuration uses
+goes, longest first, where it fits best. The result is a table of runs: so many sequences of one
 configuration. Documents join it by length and by their rank among the pieces of that length, counted in
 salted groups, so no length gathers in one task.
 
@@ -16,10 +18,12 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,12 @@ from recordwatch.llm.bpe import load, read_spec
 from recordwatch.llm.common import cut, text_or_empty
 
 CAPACITY, END_ID = 4096, 1
-#: Rounds of multiplicative weights, and the share by which a price may change in a round.
-ROUNDS, RATE = 24, 0.15
-#: Rounding ends after so many pricings; so many pieces, or units of pieces, are planned one by one.
-MOST_PASSES, PLANNED = 40, 400_000
+#: Rounds of multiplicative weights for all lengths and for what a rounding leaves, and how fast weights change.
+ROUNDS, MORE_ROUNDS, RATE = 24, 8, 0.05
+#: How often what is left is solved again at most; configurations within so much of the best value are worth rounding up.
+SOLVED, SLACK = 6, 1e-3
+#: Values that differ by so much count as equal in the knapsack programme.
+TIE = 1e-4
 #: Pieces of one length that are ranked together; longer queues are salted.
 RANKED_TOGETHER = 1_000
 
@@ -59,54 +65,108 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     return source.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _priced(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best value for each room, and the length to take first there (0: leave one place empty)."""
-    sizes = np.flatnonzero(prices > 0)
+@dataclass
+class Priced:
+    """Best configurations at given prices: for each room their ``value``, and a run of ``count`` pieces of length ``take``.
+
+    ``fall`` is the largest room up to this one where something is worth taking, or 0.
+    """
+
+    value: np.ndarray
+    take: np.ndarray
+    count: np.ndarray
+    fall: np.ndarray
+
+
+def priced(prices: np.ndarray, wanted: np.ndarray, capacity: int, draw: np.random.Generator) -> Priced:
+    """The knapsack programme; a room takes one of the lengths that are worth most there, drawn by how much of each is ``wanted``."""
+    sizes = np.flatnonzero(prices > 0)[::-1]
     values = prices[sizes]
-    best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+    likely = np.log(wanted[sizes])
+    chance = draw.gumbel(size=len(sizes) + capacity + 1)
+    fits = np.searchsorted(-sizes, -np.arange(capacity + 1)).tolist()
+    value, take = np.zeros(capacity + 1), [0] * (capacity + 1)
+    count, fall = [0] * (capacity + 1), [0] * (capacity + 1)
     for room in range(1, capacity + 1):
-        k = np.searchsorted(sizes, room, "right")
-        best[room] = best[room - 1]
-        if k:
-            gains = values[:k] + best[room - sizes[:k]]
-            i = int(gains.argmax())
-            if gains[i] > best[room]:
-                best[room], take[room] = gains[i], sizes[i]
-    return best, take
-
-
-def _configuration(first: int, take: np.ndarray, capacity: int) -> dict[int, int]:
-    found, room = {first: 1}, capacity - first
-    while room > 0:
-        size = int(take[room])
-        if size:
-            found[size] = found.get(size, 0) + 1
-        room -= size or 1
-    return found
-
-
-def solve_prices(stock: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = RATE) -> np.ndarray:
-    """Prices (dual values) of the lengths by multiplicative weights; ``stock[l]`` pieces have length l."""
+        value[room], fall[room] = value[room - 1], fall[room - 1]
+        if fits[room] < len(sizes):
+            first = fits[room]
+            gains = values[first:] + value[room - sizes[first:]]
+            most = gains.max()
+            if most > value[room]:
+                ties = np.flatnonzero(gains >= most * (1 - TIE))
+                size = int(sizes[first + ties[(likely[first + ties] + chance[first + ties + room]).argmax()]])
+                value[room], take[room], fall[room] = most, size, room
+                count[room] = 1 + (count[room - size] if take[room - size] == size else 0)
+    return Priced(value, np.array(take), np.array(count), np.array(fall))
+
+
+def _with_each(sizes: np.ndarray, found: Priced, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and counts, a column for each of ``sizes``, of the best configuration with it."""
+    lengths, counts, room = [sizes], [np.ones(len(sizes), np.int64)], found.fall[capacity - sizes]
+    while room.any():
+        lengths.append(found.take[room])
+        counts.append(found.count[room])
+        room = found.fall[room - lengths[-1] * counts[-1]]
+    return np.stack(lengths), np.stack(counts)
+
+
+@dataclass
+class Solution:
+    """A fractional cover of all lengths: (length, count), ... -> sequences; ``bound`` is the best dual value, ``prices`` its solution."""
+
+    sequences: dict[tuple[tuple[int, int], ...], float]
+    bound: float
+    prices: np.ndarray
+
+    @property
+    def value(self) -> float:
+        return sum(self.sequences.values())
+
+
+def solve(stock: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = RATE) -> Solution:
+    """The configuration programme for ``stock[l]`` pieces of each length l, by multiplicative weights over the lengths.
+
+    No round covers more of a length than is still uncovered, so rare lengths that fit many gaps are not used up on paper.
+    """
     sizes = np.flatnonzero(stock)
-    prices = np.zeros(capacity + 1)
-    prices[sizes] = (sizes / capacity) ** 1.02
-    total = np.zeros(capacity + 1)
-    for _ in range(rounds):
-        best, take = _priced(prices, capacity)
-        covered = np.zeros(capacity + 1)
-        used = 0.0
-        # A length's own best configuration, as often as its share of the sequences asks for.
-        for size in sizes[:: max(1, len(sizes) // 256)]:
-            found = _configuration(int(size), take, capacity)
-            weight = stock[size] * size / capacity * (prices[size] + best[capacity - size]) / max(best[capacity], 1e-12)
-            used += weight
-            for k, n in found.items():
-                covered[k] += n * weight
-        total += covered / max(used, 1e-12)
-        excess = total[sizes] * stock.sum() / max(total.sum(), 1e-12) / stock[sizes] - 1
-        prices[sizes] *= np.clip(1 - rate * np.clip(excess, -1, 1) * 0.1, 0.5, 1.5)
-        prices[sizes] /= max(best[capacity], 1e-12)
-    return prices
+    need = stock.astype(float)
+    left = need.copy()
+    weight = need * np.arange(capacity + 1)
+    bound, dual, slack = 0.0, np.zeros(capacity + 1), SLACK
+    sequences: dict[tuple[tuple[int, int], ...], float] = {}
+    draw = np.random.default_rng(1)
+    for turn in range(rounds):
+        open_ = sizes[left[sizes] > 1e-6 * need[sizes]]
+        if not len(open_):
+            break
+        prices = np.zeros(capacity + 1)
+        prices[open_] = weight[open_] / need[open_]
+        found = priced(prices, left, capacity, draw)
+        best = found.value[capacity]
+        if weight[open_].sum() / best > bound:
+            bound, dual = weight[open_].sum() / best, prices / best
+        lengths, counts = _with_each(open_[::-1], found, capacity)
+        worth = prices[lengths[0]] + found.value[capacity - lengths[0]]
+        share, before = 0.5 if turn < rounds - 1 else 1.0, left.sum()
+        for size, count in zip(lengths.T[worth >= best * (1 - slack)].tolist(), counts.T[worth >= best * (1 - slack)].tolist()):
+            key: dict[int, int] = {}
+            for k, n in zip(size, count):
+                if n:
+                    key[k] = key.get(k, 0) + n
+            x = share * min(left[k] / n for k, n in key.items())
+            if x > 1e-9:
+                told = tuple(sorted(key.items(), reverse=True))
+                sequences[told] = sequences.get(told, 0.0) + x
+                for k, n in told:
+                    left[k] -= n * x
+        # Where hardly anything is worth the best value any more, less will do.
+        slack = slack * 2 if left.sum() > 0.9 * before else slack
+        weight[sizes] *= np.exp(rate * left[sizes] / need[sizes])
+    for size in sizes[left[sizes] > 0].tolist():
+        told = ((size, capacity // size),)
+        sequences[told] = sequences.get(told, 0.0) + left[size] / (capacity // size)
+    return Solution(sequences, bound, dual)
 
 
 class _Plan:
@@ -115,50 +175,44 @@ class _Plan:
     def __init__(self, capacity: int) -> None:
         self.capacity, self.sequences = capacity, 0
         self.rows: list[tuple[int, int, int, int, int]] = []
-        self.used = np.zeros(capacity + 1, np.int64)
+        self.used = [0] * (capacity + 1)
 
-    def put(self, found: dict[int, int], times: int) -> None:
-        """``times`` sequences of one configuration (length -> count)."""
+    def put(self, found: tuple[tuple[int, int], ...], times: int) -> None:
+        """``times`` sequences of one configuration of (length, count)."""
         offset = 0
-        for size, n in sorted(found.items(), reverse=True):
-            self.rows.append((size, int(self.used[size]), n, self.sequences, offset))
+        for size, n in found:
+            self.rows.append((size, self.used[size], n, self.sequences, offset))
             self.used[size] += n * times
             offset += n * size
         self.sequences += times
 
-    def round_down(self, stock: np.ndarray, prices: np.ndarray, unit: int) -> np.ndarray:
-        """Whole multiples of full configurations, priced again as stock runs out; returns what is left."""
-        plenty, stock, capacity = np.maximum(stock, 1), stock.copy(), self.capacity
-        goal = stock.sum() / 50
-        for k in range(MOST_PASSES):
-            if stock.sum() <= goal:
-                break
-            # A length gets dearer while more of it is left than of others; the ripple parts equal values.
-            ripple = 1 + 0.01 * np.sin(np.arange(capacity + 1) * (k + 1))
-            _, take = _priced(np.where(stock > 0, prices * ripple * (1 + 0.05 * stock / plenty), 0), capacity)
-            placed = 0
-            for size in np.flatnonzero(stock)[::-1].tolist():
-                if not stock[size]:
-                    continue
-                found = _configuration(size, take, capacity)
-                times = min(int(stock[k]) // n for k, n in found.items())
-                if times and sum(k * n for k, n in found.items()) == capacity:
-                    times = -(-times // 2)
-                    self.put(found, times * unit)
-                    for k, n in found.items():
-                        stock[k] -= n * times
-                    placed += times
-            if not placed:
-                break
-        return stock
-
-    def best_fit(self, stock: np.ndarray, unit: int) -> None:
+    def round(self, stock: list[int], found: Solution) -> int:
+        """Takes the solution's configurations from ``stock``, rounded down, then up from the greatest fraction; returns how many sequences that gave."""
+        before = self.sequences
+        order = sorted(found.sequences.items(), key=lambda x: (-x[1], x[0]))
+
+        def take(key: tuple[tuple[int, int], ...], most: int) -> None:
+            times = min(most, *(stock[size] // n for size, n in key))
+            if times > 0:
+                self.put(key, times)
+                for size, n in key:
+                    stock[size] -= n * times
+
+        tight = [(key, x) for key, x in order if sum(found.prices[size] * n for size, n in key) >= 1 - SLACK]
+        for key, x in tight:
+            if x >= 1:
+                take(key, int(x))
+        for key, x in sorted(tight, key=lambda x: (-(x[1] % 1), x[0])):
+            take(key, 1)
+        return self.sequences - before
+
+    def best_fit(self, stock: list[int]) -> None:
         """Largest first, each to the open sequence with the least room that still holds it."""
         open_by_room: dict[int, list[dict[int, int]]] = {}
         rooms = np.zeros(self.capacity + 1, bool)
         opened: list[dict[int, int]] = []
-        for size in np.flatnonzero(stock)[::-1].tolist():
-            for _ in range(int(stock[size])):
+        for size in range(self.capacity, 0, -1):
+            for _ in range(stock[size]):
                 fit = int(rooms[size:].argmax()) + size
                 if rooms[fit]:
                     found = open_by_room[fit].pop()
@@ -171,47 +225,54 @@ class _Plan:
                     open_by_room.setdefault(fit - size, []).append(found)
                     rooms[fit - size] = True
         for found, times in Counter(tuple(x.items()) for x in opened).items():
-            self.put(dict(found), times * unit)
+            self.put(found, times)
+
+
+@dataclass
+class Plan:
+    """``rows`` (length, first rank, count in a sequence, first sequence, offset), sorted; ``sequences``, of them ``rounded`` from the solution; ``bound``."""
+
+    rows: np.ndarray
+    sequences: int
+    rounded: int
+    bound: int
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
-    """Rows (length, first rank, count in a sequence, first sequence, offset), sorted: where the pieces of a length go.
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """Where the pieces of each length go. The run of a row ends at the first rank of the length's next row.
 
-    The run of a row ends at the first rank of the length's next row. A stock beyond ``PLANNED`` pieces is planned
-    in units of so many sequences at once, and what a unit doesn't divide in units of a hundredth, and so on.
+    The work depends on the number of lengths and configurations, not on the number of pieces: rounding leaves
+    at most about one sequence for each configuration of the solution.
     """
-    stock = np.zeros(capacity + 1, np.int64)
+    stock = [0] * (capacity + 1)
     for size, n in histogram.items():
-        stock[size] = n
-    out = _Plan(capacity)
+        stock[size] = int(n)
+    out, bound = _Plan(capacity), 0.0
     if stock[capacity]:
-        out.put({capacity: 1}, int(stock[capacity]))
+        bound = float(stock[capacity])
+        out.put(((capacity, 1),), stock[capacity])
         stock[capacity] = 0
-    if stock.any():
-        prices = solve_prices(stock, capacity)
-        unit = 1
-        while stock.sum() > PLANNED * unit:
-            unit *= 100
-        while unit:
-            left = out.round_down(stock // unit, prices, unit)
-            stock -= stock // unit * unit
-            if unit == 1:
-                out.best_fit(left, 1)
-            else:
-                stock += left * unit
-            unit //= 100
-    return np.array(sorted(out.rows), np.int64).reshape(-1, 5)
+    for turn in range(SOLVED):
+        if not any(stock):
+            break
+        found = solve(np.array(stock), capacity, MORE_ROUNDS if turn else ROUNDS)
+        bound += 0 if turn else found.bound
+        if not out.round(stock, found):
+            break
+    rounded = out.sequences
+    out.best_fit(stock)
+    return Plan(np.array(sorted(out.rows), np.int64).reshape(-1, 5), out.sequences, rounded, math.ceil(bound - 1e-6))
 
 
 def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``found`` (pieces, see :func:`pieces`) with ``sequence_id`` and ``offset``.
 
-    The histogram (at most ``capacity`` rows) and the plan (whose size depends on the number of lengths, hardly
+    The histogram (at most ``capacity`` rows) and the plan (whose size depends on the number of lengths and rounds, not
     on the number of pieces) pass through the driver.
     """
     found = cut(found)
     histogram = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    runs = found.sparkSession.sparkContext.broadcast(plan(histogram, capacity))
+    runs = found.sparkSession.sparkContext.broadcast(plan(histogram, capacity).rows)
     # One row per length: bounded by the capacity, so it may be broadcast.
     queues = found.sparkSession.createDataFrame([(size, n // RANKED_TOGETHER + 1) for size, n in histogram.items()], "length long, queues long")
     salted = found.join(F.broadcast(queues), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("queues")))
