@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many more underscores as no column of ``df`` has."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def text_or_empty(name: str = "text") -> Column:
     """A text column with null read as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -26,6 +33,41 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: A key is hot if it has more rows than this and than a ``MOST_HOT``-th of all: so at most ``MOST_HOT`` keys are.
+HOT_ROWS, MOST_HOT = 1_000, 100_000
+
+
+def by_hot_key(rows: DataFrame, groups: DataFrame, key: str, n: str, spread: Column, how: str = "inner") -> DataFrame:
+    """``rows`` joined by ``key`` with ``groups``, which has one row a key and the number ``n`` of its rows.
+
+    The rows of a hot key are dealt out by ``spread`` over as many tasks as they need, each with a copy of its group. The
+    hot keys are broadcast; there are at most ``MOST_HOT``.
+    """
+    least = max(HOT_ROWS, (groups.agg(F.sum(n)).first()[0] or 0) // MOST_HOT)
+    hot = groups.filter(F.col(n) > least).select(F.col(key).alias("__hot"), F.ceil(F.col(n) / least).cast("int").alias("__salts"))
+    if hot.isEmpty():
+        return rows.join(groups, key, how)
+    hot = F.broadcast(hot)
+    salt = F.when(F.col("__salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(spread), F.col("__salts"))).cast("int")
+    dealt = rows.join(hot, rows[key] == hot["__hot"], "left").withColumn("__salt", salt).drop("__hot", "__salts")
+    copies = groups.join(hot, groups[key] == hot["__hot"], "left")
+    copies = copies.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__hot", "__salts")
+    return dealt.join(copies, [key, "__salt"], how).drop("__salt")
+
+
+def without_repeats(rows: DataFrame, keys: list[Column], repeated: DataFrame) -> DataFrame:
+    """``rows`` with one row only for each of the ``repeated`` values of ``keys`` (its columns, in that order); rows with other values are left alone."""
+    if repeated.isEmpty():
+        return rows
+    names = [free_name(rows, f"__key{k}") for k in range(len(keys))]
+    keyed = rows.select("*", *[c.alias(name) for c, name in zip(keys, names)])
+    same = F.lit(True)
+    for name, c in zip(names, repeated.columns):
+        same = same & keyed[name].eqNullSafe(repeated[c])
+    once = keyed.join(repeated, same, "left_semi").dropDuplicates(names)
+    return keyed.join(repeated, same, "left_anti").unionByName(once).drop(*names)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Leave ``spark.checkpoint.dir`` as the cluster names it; make one only for a local master without it."""
     sc = spark.sparkContext
@@ -68,6 +110,12 @@ def dropped(*tables: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+def complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to its end there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share."""
     ensure_checkpoint_dir(spark)

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordwatch.llm.common import cut, text_or_empty
+from recordwatch.llm.common import by_hot_key, cut, kept, text_or_empty, without_repeats
 
 #: Salts over which the copies of one text are first combined; each holds a share of the map tasks.
 SALTS = 16
@@ -51,7 +51,9 @@ def exact_groups(
             F.count(F.lit(1)).alias("bodies"), F.min("keep_id").alias("keep_id"), F.min("group_size").alias("group_size")
         )
     )
-    out = rows.select("id", "digest", F.sha2("body", 256).alias("sha")).join(by_digest.filter("bodies = 1").drop("bodies"), "digest")
+    place = F.struct(F.spark_partition_id(), "id")
+    each = rows.select("id", "digest", F.sha2("body", 256).alias("sha"), F.xxhash64(place).alias("place"))
+    out = by_hot_key(each, by_digest.filter("bodies = 1").drop("bodies"), "digest", "group_size", F.col("place")).drop("place")
     if not by_digest.filter("bodies > 1").isEmpty():
         shared = rows.join(by_digest.filter("bodies > 1").select("digest"), "digest", "left_semi")
         compared = shared.join(merged, ["digest", "body"]).withColumn("sha", F.sha2("body", 256))
@@ -62,10 +64,13 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that lose to an equal text; all columns stay.
+    """``docs`` with one row of each group of equal texts, the one of the smallest id; all columns stay.
 
-    The rows to drop are found by id and text, in an anti join; of repeated rows with the id that stays, all stay.
+    The rows to drop are found by id and text, in an anti join; of repeated rows with the id that stays, any one stays.
     """
-    lost = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("__lost"), F.col("text_sha256").alias("__sha"))
-    same = docs[id_col].eqNullSafe(lost["__lost"]) & (F.sha2(squeezed(F.coalesce(docs[text_col].cast("string"), F.lit(""))), 256) == lost["__sha"])
-    return docs.join(lost, same, "left_anti")
+    found = kept(exact_groups(docs, id_col, text_col).select(F.col(id_col).alias("lost"), "kept", F.col("text_sha256").alias("sha")))
+    body = lambda df: F.sha2(squeezed(F.coalesce(df[text_col].cast("string"), F.lit(""))), 256)
+    lost = found.filter(~F.col("kept"))
+    stay = docs.join(lost, docs[id_col].eqNullSafe(lost["lost"]) & (body(docs) == lost["sha"]), "left_anti")
+    repeated = found.filter("kept").groupBy("lost", "sha").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("lost", "sha")
+    return without_repeats(stay, [stay[id_col], body(stay)], repeated)

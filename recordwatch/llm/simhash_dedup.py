@@ -23,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordwatch.llm.common import cut, text_or_empty
+from recordwatch.llm.common import by_hot_key, cut, kept, text_or_empty, without_repeats
 from recordwatch.llm.components import connected
 
 SHINGLE_WORDS, SEED, RADIUS = 4, 42, 4
@@ -179,13 +179,14 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, radius: int, bucket: int) -> DataFrame:
-    """``id, mark, fp, component_id`` of each row."""
+    """``id, mark, fp, root, component_id`` of each row; rows of equal ``root`` are of one group."""
     rows = cut(fingerprints(docs, id_col, text_col))
-    first = cut(rows.groupBy("fp").agg(F.min("id").alias("first_id")))
+    first = cut(rows.groupBy("fp").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
     roots = cut(connected(near_links(first.select("fp"), radius, bucket)))
-    named = first.join(roots, first.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(named.join(least, "root").select("fp", "component_id"), "fp")
+    named = first.join(roots, first.fp == roots.node, "left").select("fp", "first_id", "copies", F.coalesce("root", "fp").alias("root"))
+    least = cut(named.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("fingerprints")))
+    told = cut(by_hot_key(named, least, "root", "fingerprints", F.col("fp")).select("fp", "copies", "root", "component_id"))
+    return by_hot_key(rows, told, "fp", "copies", F.struct("id", "mark")).select("id", "mark", "fp", "root", "component_id")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
@@ -195,8 +196,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """``docs`` with one document of each group, the one of the smallest id; all columns stay. Rows to drop are found by id and text."""
-    found = _grouped(docs, id_col, text_col, radius, bucket)
-    lost = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__lost"), F.col("mark").alias("__mark"))
-    same = docs[id_col].eqNullSafe(lost["__lost"]) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == lost["__mark"])
-    return docs.join(lost, same, "left_anti")
+    """``docs`` with one row of each group; all columns stay.
+
+    It is the row of the smallest id, of null ids and of equal ids that of the smallest hash of the text, and of
+    repeated rows any one.
+    """
+    found = kept(_grouped(docs, id_col, text_col, radius, bucket))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("r")).select(F.col("r.id").alias("id"), F.col("r.mark").alias("mark"))
+    same = lambda df: df[id_col].eqNullSafe(first["id"]) & (_mark(df, text_col) == first["mark"])
+    stay = docs.join(first, same(docs), "left_semi")
+    counted = found.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "mark")
+    repeated = counted.join(first, counted["id"].eqNullSafe(first["id"]) & (counted["mark"] == first["mark"]), "left_semi")
+    return without_repeats(stay, [stay[id_col], _mark(stay, text_col)], repeated)
+
+
+def _mark(df: DataFrame, text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit("")))
