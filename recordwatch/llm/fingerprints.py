@@ -5,7 +5,7 @@ weight. Fingerprints within a Hamming radius r are found by tables that lead wit
 blocks a fingerprint is cut into: two within r bits agree on the leading blocks of some table.
 
 Edge cases: null and empty texts, and those of white space only, have fingerprint zero; repeated rows have equal
-fingerprints, and follow one another; rows with null ids come last, in the order of their texts; the document next
+fingerprints, and follow one another; rows with null ids come last, in the order of their texts' hashes; the document next
 to the only one is itself; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -20,7 +20,7 @@ from recordwatch.llm.common import cut, text_or_empty
 TERM_WORDS, RADIUS = 2, 3
 #: Search queries are the rows whose id this divides.
 QUERY_EVERY = 50
-#: Ids of one bucket, and buckets of one block, as powers of two: the order of all ids without one task that sees them all.
+#: Ids of one bucket, as a power of two: the order of all ids without one task that sees them all.
 BUCKET_BITS = 10
 
 NO_BUCKET = -(1 << 63)
@@ -36,33 +36,36 @@ def text_fingerprints(rows: DataFrame, keys: list[str], text: str = "text", term
     return hashed.groupBy(*keys).agg(*S.votes(F.col("h"), F.col("doublings"))).select(*keys, S.fingerprint().alias("fp"))
 
 
-def _bucket(of: Column) -> Column:
-    return F.coalesce(F.shiftright(of, BUCKET_BITS), F.lit(NO_BUCKET))
-
-
 def _next_buckets(rows: DataFrame) -> DataFrame:
-    """``bucket, next_bucket``: the next lower bucket that has rows, for the lowest the highest."""
-    buckets = rows.select("bucket").distinct().withColumn("block", F.shiftright("bucket", BUCKET_BITS))
-    blocks = buckets.groupBy("block").agg(F.max("bucket").alias("top"))
-    high = Window.orderBy(F.desc("block"))  # one row per 2**20 ids
-    around = high.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    blocks = blocks.select("block", F.coalesce(F.lead("top").over(high), F.max("top").over(around)).alias("below"))
-    following = F.lead("bucket").over(Window.partitionBy("block").orderBy(F.desc("bucket")))
-    return buckets.withColumn("following", following).join(blocks, "block").select("bucket", F.coalesce("following", "below").alias("next_bucket"))
+    """``bucket, next_bucket``: the next lower bucket that has rows, for the lowest the highest.
+
+    The buckets are dealt out by ranges, whatever the ids are like; only the ends of the ranges, one row a partition, are ordered in one task.
+    """
+    ranges = cut(rows.select("bucket").distinct().repartitionByRange(F.desc("bucket")).select("bucket", F.spark_partition_id().alias("part")))
+    tops = ranges.groupBy("part").agg(F.max("bucket").alias("top"))
+    order = Window.orderBy("part")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = tops.select("part", F.coalesce(F.lead("top").over(order), F.max("top").over(whole)).alias("below"))
+    following = F.lead("bucket").over(Window.partitionBy("part").orderBy(F.desc("bucket")))
+    return ranges.withColumn("following", following).join(F.broadcast(ends), "part").select("bucket", F.coalesce("following", "below").alias("next_bucket"))
 
 
 def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``bucket, place, guest, id, text, next_text``: each row and the next one in descending id, the last one's is the first.
 
-    Rows are ordered in buckets of 1024 ids. The first row of the next bucket is a guest at the end of each, so
-    texts are shuffled once; guests have no next text.
+    Rows are ordered in buckets of 1024 ids, those of null ids in buckets of hashes. The first row of the next bucket is a
+    guest at the end of each, so texts are shuffled once, or twice at most where ids are so sparse that each has a bucket; guests have no next text.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.withColumn("bucket", _bucket(F.col("id"))).withColumn("guest", F.lit(0))
-    order = [F.desc_nulls_last("id"), F.asc("text")]
+    nulls = docs.filter(F.col(id_col).isNull()).count()
+    bits = max(0, nulls.bit_length() - BUCKET_BITS)
+    hashed = F.when(F.col("id").isNull(), F.shiftrightunsigned(F.xxhash64("text"), 1))
+    among_nulls = F.lit(NO_BUCKET) + F.shiftright(hashed, 63 - bits) if bits else F.lit(NO_BUCKET)
+    rows = rows.withColumn("hashed", hashed).withColumn("bucket", F.coalesce(F.shiftright("id", BUCKET_BITS), among_nulls)).withColumn("guest", F.lit(0))
+    order = [F.desc_nulls_last("id"), F.desc("hashed"), F.asc("text")]
     heads = rows.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).filter("n = 1")
-    heads = heads.select(F.col("bucket").alias("next_bucket"), "id", "text")
-    guests = heads.join(_next_buckets(rows), "next_bucket").select("id", "text", "bucket", F.lit(1).alias("guest"))
+    heads = heads.select(F.col("bucket").alias("next_bucket"), "id", "hashed", "text")
+    guests = heads.join(_next_buckets(rows), "next_bucket").select("id", "hashed", "text", "bucket", F.lit(1).alias("guest"))
     place = Window.partitionBy("bucket").orderBy("guest", *order)
     both = rows.unionByName(guests)
     return both.select("bucket", F.row_number().over(place).alias("place"), "guest", "id", "text", F.lead("text").over(place).alias("next_text"))
