@@ -20,7 +20,7 @@ def training_labels(labels: DataFrame, label: str, rows: int = TRAINING_ROWS) ->
     usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     n = usable.count()
     if n > rows:
-        usable = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1e6 * rows / n))
+        usable = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < rows)
     found = usable.groupBy(F.col("doc_id").alias("__id")).agg(F.max(F.col(label).cast("int")).alias("__label"))
     return F.broadcast(found)
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from recordwatch.llm.common import cut, text_or_empty
+from recordwatch.llm.common import cut, free_name, text_or_empty
 from recordwatch.llm.logistic import TRAINING_ROWS, fit, held_out, sigmoid, training_labels
 
 #: A document stays if its probability of being good reaches this.
@@ -182,8 +182,12 @@ def drop_poor(docs: DataFrame, labels: DataFrame, host: str = "source", path: st
     The measures are taken twice, for the sums and for the decision, so that no text is shuffled.
     """
     model = train(docs, labels, rows)
-    narrow = evidence(docs.select(F.col(host).alias("h"), F.col(path).alias("s"), "text"), model, "__evidence").drop("text")
-    found, mean = posteriors(narrow, "h", "s", "__evidence")
-    found = found.withColumnsRenamed({"host_posterior": "__host_posterior", "path_posterior": "__path_posterior"})
-    rows_ = with_posteriors(evidence(docs, model, "__evidence"), found, host, path)
-    return rows_.filter(combined(F.col("__evidence"), F.col("__path_posterior"), mean) >= KEEP_FROM).select(*docs.columns)
+    narrow = evidence(docs.select(F.col(host).alias("h"), F.col(path).alias("s"), "text"), model, "evidence").drop("text")
+    found, mean = posteriors(narrow, "h", "s", "evidence")
+    names = {c: free_name(docs, c) for c in ("__host", "__path", "__evidence", "__posterior")}
+    found = found.select(F.col("__host").alias(names["__host"]), F.col("__path").alias(names["__path"]), F.col("path_posterior").alias(names["__posterior"]))
+    if found.count() <= BROADCAST_GROUPS:
+        found = F.broadcast(found)
+    scored = evidence(docs, model, names["__evidence"])
+    joined = scored.join(found, scored[host].eqNullSafe(found[names["__host"]]) & scored[path].eqNullSafe(found[names["__path"]]))
+    return joined.filter(combined(F.col(names["__evidence"]), F.col(names["__posterior"]), mean) >= KEEP_FROM).select(*[scored[c] for c in docs.columns])

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from recordwatch.llm.common import text_or_empty
+from recordwatch.llm.common import free_name, text_or_empty
 from recordwatch.llm.logistic import TRAINING_ROWS, fit, held_out, sigmoid, training_labels
 
 THRESHOLD = 0.3
@@ -176,4 +176,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROW
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> DataFrame:
     """``docs`` without the texts that are predicted toxic; all columns stay and no row moves."""
-    return score_column(docs, train(docs, labels, rows), "__toxic_score").filter(predicted(F.col("__toxic_score")) == 0).drop("__toxic_score")
+    score = free_name(docs, "__toxic_score")
+    return score_column(docs, train(docs, labels, rows), score).filter(predicted(F.col(score)) == 0).drop(score)
