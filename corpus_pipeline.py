@@ -2,7 +2,8 @@
 
 Quality, toxicity, exact copies and near copies take documents away; the last stage packs what is left. Each
 function takes (spark, docs, sf_dir); all but the last return the columns of documents. SQL can't express the
-classifiers, so ORACLE_SQL is None and the tests hold the result against a plain version.
+classifiers, so ORACLE_SQL is None; the tests hold the two stages of copies against brute force, packing against the
+library's ids and the bound, and the classifiers against labels.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from recordwatch.llm import exact_dedup, packing, quality, simhash_dedup, toxicity
-from recordwatch.llm.common import shared_folder, table
+from recordwatch.llm.common import complete, shared_folder, table
 from recordwatch.llm.queries import tokenizer_path
 
 
@@ -48,11 +49,15 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; each result is a table in the shared folder."""
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over the documents of ``sf_dir``; each result is a table in ``folder``, by default a new one in the shared folder.
+
+    Stages whose tables are complete there are not done again, so a run that was broken off goes on from where it was.
+    """
+    folder = folder or f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        if not complete(spark, f"{folder}/{name}"):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
