@@ -137,7 +137,8 @@ def _max_before(df: DataFrame, seq: str, value: str, shift: int, bits: int, span
     rows = df.withColumn("__b", F.shiftright(seq, min(shift, 63)))
     tops = rows.groupBy("__b").agg(F.max(value).alias("__top"))
     if span >> shift > 1 << bits:
-        before = _max_before(tops, "__b", "__top", bits, bits, (span >> shift) + 1).select("__b", F.col("max_before").alias("__before"))
+        of_tops = _max_before(tops.toDF("seq", "value"), "seq", "value", bits, bits, (span >> shift) + 1)
+        before = of_tops.select(F.col("seq").alias("__b"), F.col("max_before").alias("__before"))
     else:
         over = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
         before = tops.select("__b", F.max("__top").over(over).alias("__before"))
