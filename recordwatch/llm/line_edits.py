@@ -26,7 +26,7 @@ LONG = 12
 SAMPLE, COMMON, MOST_COMMON = 32, 3, 10_000
 #: Below this a pair of similar lines need not have a run of three words in common.
 LEAST_SIMILARITY = 0.8
-PASSES = 8
+PASSES = 16
 LATE = 1 << 62
 MARKS = ["rid", "n", "odd0", "odd1"]
 
