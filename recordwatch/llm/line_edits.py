@@ -14,6 +14,8 @@ before their texts are fetched. Keys are dealt in ``PASSES`` parts, one after th
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ SAMPLE, COMMON, MOST_COMMON = 32, 3, 10_000
 #: Below this a pair of similar lines need not have a run of three words in common.
 LEAST_SIMILARITY = 0.8
 PASSES = 16
+#: Parts of 64 classes each by which pairs are told apart before their texts are fetched.
+FINE = 4
 LATE = 1 << 62
 MARKS = ["rid", "n", "odd0", "odd1"]
 
@@ -63,16 +67,17 @@ def keyed_lines(lines: DataFrame, common: list[int], similarity: float) -> DataF
     return found.select(*MARKS, F.array_distinct(keys).alias("keys"))
 
 
-def parities(words: str, half: int) -> Column:
-    """Whether the number of words of each of 64 classes is odd, as bits; the other half has 64 other classes."""
-    bit = lambda h: F.when(h.bitwiseAND(F.lit(64)) == 64 * half, F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("long"))
+def parities(words: str, part: int, parts: int = 2) -> Column:
+    """Whether the number of words of each of 64 classes is odd, as bits; each of the ``parts`` has other classes."""
+    mine = lambda h: h.bitwiseAND(F.lit(64 * (parts - 1))) == 64 * part
+    bit = lambda h: F.when(mine(h), F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("long"))
     return F.aggregate(words, F.lit(0).cast("long"), lambda odd, w: odd.bitwiseXOR(bit(w)))
 
 
 def may_be_similar(a: list[Column], b: list[Column], similarity: float) -> Column:
-    """False only for lines (``MARKS`` without the first) whose sizes or parities rule the similarity out."""
+    """False only for lines (their numbers of words and parities) whose sizes or parities rule the similarity out."""
     longer = F.greatest(a[0], b[0])
-    changed = F.bit_count(a[1].bitwiseXOR(b[1])) + F.bit_count(a[2].bitwiseXOR(b[2]))
+    changed = reduce(lambda x, y: x + y, [F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a[1:], b[1:])])
     return (F.least(a[0], b[0]) >= longer * similarity - 1e-9) & (changed <= 2 * (longer * (1 - similarity) + 1e-9))
 
 
@@ -95,14 +100,23 @@ def symbols(body: Column) -> Column:
 
 
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose ``lines`` (``rid, body``) are similar enough."""
-    of = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    texts = kept(lines.join(of, "rid").select("rid", symbols(F.col("body")).alias("coded")))
-    a, b = (texts.select(F.col("rid").alias(k), F.col("coded").alias(f"of_{k}")) for k in "ab")
-    longer = F.greatest(F.char_length("of_a"), F.char_length("of_b"))
-    told = pairs.join(a, "a").join(b, "b").withColumn("most", F.floor(longer * (1 - similarity) + 1e-9).cast("int"))
-    links = kept(told.filter("levenshtein(of_a, of_b, most) >= 0").select("a", "b"))
-    dropped(texts)
+    """Those of ``pairs`` (a, b) whose ``lines`` (``rid, body``) are similar enough.
+
+    Long lines are told apart by the parities of 256 classes first, so that texts go only to pairs that are likely.
+    """
+    wanted = lambda of: of.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    marks = ["n", *[f"m{k}" for k in range(FINE)]]
+    found = lines.join(wanted(pairs), "rid").select("rid", hashes().alias("words"))
+    sized = kept(found.select("rid", F.size("words").alias("n"), *[parities("words", k, FINE).alias(f"m{k}") for k in range(FINE)]))
+    side = lambda df, k, columns: df.select(F.col("rid").alias(k), *[F.col(c).alias(f"{k}_{c}") for c in columns])
+    met = pairs.join(side(sized, "a", marks), "a").join(side(sized, "b", marks), "b")
+    likely = kept(met.filter(may_be_similar(*[[F.col(f"{k}_{c}") for c in marks] for k in "ab"], similarity)).select("a", "b"))
+    texts = kept(lines.join(wanted(likely), "rid").select("rid", symbols(F.col("body")).alias("coded")))
+    longer = F.greatest(F.char_length("a_coded"), F.char_length("b_coded"))
+    told = likely.join(side(texts, "a", ["coded"]), "a").join(side(texts, "b", ["coded"]), "b").withColumn("most", F.floor(longer * (1 - similarity) + 1e-9).cast("int"))
+    links = kept(told.filter("levenshtein(a_coded, b_coded, most) >= 0").select("a", "b"))
+    dropped(sized, likely, texts)
+    release(lines.sparkSession)
     return links
 
 
