@@ -156,12 +156,14 @@ def line_groups(lines: DataFrame, similarity: float) -> DataFrame:
     bucket = Window.partitionBy("key")
     mixed = named.withColumn("low", F.min("grp").over(bucket)).withColumn("high", F.max("grp").over(bucket))
     left = kept(mixed.filter("low <> high").select("key", *MARKS, "grp"))
+    dropped(met)
+    release(lines.sparkSession)
     right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in (*MARKS, "grp")])
     across = left.join(right, "key").filter("rid > rid_b and grp <> grp_b").filter(alike)
     fresh = kept(across.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct().join(near, ["a", "b"], "left_anti"))
     more = verified(fresh, lines, similarity)
     if not more.isEmpty():
         roots = connected(links.unionByName(more))
-    dropped(met, near, left, fresh, links, more)
+    dropped(near, left, fresh, links, more)
     release(lines.sparkSession)
     return roots.select(F.col("node").alias("rid"), F.col("root").alias("line_group"))
