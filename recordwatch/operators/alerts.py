@@ -42,11 +42,12 @@ def processed_after(events: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def lifecycle_conditions(states: DataFrame) -> DataFrame:
-    """``alert_key, alert_type, severity`` of records that are missing, absent or failing."""
+    """``alert_key, alert_type, severity`` of records that are missing, absent or failing; keys hold ``source_id`` where states have it."""
     kind = F.when(F.col("state") == "temporarily_missing", "temporarily_missing").when(F.col("state") == "long_absent", "long_absent").when(F.col("state") == "fetch_failed", "detail_fetch_failed")
     severity = F.when((F.col("state") == "long_absent") | ((F.col("state") == "fetch_failed") & (F.col("streak") >= 3)), "high").otherwise("warning")
     rows = states.withColumn("alert_type", kind).filter(F.col("alert_type").isNotNull()).withColumn("severity", severity)
-    return rows.select(alert_key(F.col("alert_type"), F.lit(None), F.col("record_id")).alias("alert_key"), "alert_type", "severity")
+    source = F.col("source_id") if "source_id" in states.columns else F.lit(None)
+    return rows.select(alert_key(F.col("alert_type"), source, F.col("record_id")).alias("alert_key"), "alert_type", "severity")
 
 
 def step_conditions(steps: DataFrame, integrity: list[str]) -> DataFrame:
@@ -97,8 +98,9 @@ def machine(observed: DataFrame, cooldown_hours: int = COOLDOWN_HOURS) -> DataFr
     return told.select("alert_key", "run_id", F.timestamp_micros("at").alias("started_at"), "action", "severity_rank")
 
 
-def alert_event_id(run_id: Column, key: Column, action: Column) -> Column:
-    return digest(joined(run_id, key, action), 20)
+def alert_event_id(run_id: Column, key: Column, action: Column, related: Column | None = None) -> Column:
+    """Id of what a run did to an alert; ``related`` is the lifecycle event that a notification tells."""
+    return digest(joined(run_id, key, action, F.lit("") if related is None else related), 20)
 
 
 def action_counts(actions: DataFrame) -> DataFrame:

@@ -104,13 +104,14 @@ def stale_runs(runs: DataFrame) -> DataFrame:
 
 
 def records(states: DataFrame) -> DataFrame:
-    """Records that are missing, absent for long or failing, in each run (``seq, run_id, started_at, record_id, state, streak``)."""
+    """Records that are missing, absent for long or failing, in each run (``seq, run_id, started_at, record_id, state, streak``, and ``source_id`` for their keys)."""
+    source = F.col("source_id") if "source_id" in states.columns else F.lit(None)
     kinds = {"temporarily_missing": "temporarily_missing", "long_absent": "long_absent", "detail_fetch_failed": "fetch_failed"}
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(v).alias("of")) for k, v in kinds.items()]))
-    rows = states.select("seq", "run_id", "started_at", "record_id", "state", "streak", each.alias("x")).withColumn("met", F.col("state") == F.col("x.of"))
+    rows = states.select("seq", "run_id", "started_at", source.alias("source_id"), "record_id", "state", "streak", each.alias("x")).withColumn("met", F.col("state") == F.col("x.of"))
     high = (F.col("x.kind") == "long_absent") | ((F.col("x.kind") == "detail_fetch_failed") & (F.col("streak") >= 3))
     rows = rows.withColumn("count", F.when(F.col("met"), F.col("streak")).otherwise(0).cast("long"))
-    return _told(rows, F.col("x.kind"), F.lit(None), F.col("record_id"), F.when(F.col("met"), F.when(high, HIGH).otherwise(WARNING)))
+    return _told(rows, F.col("x.kind"), F.col("source_id"), F.col("record_id"), F.when(F.col("met"), F.when(high, HIGH).otherwise(WARNING)))
 
 
 def observed_types(conditions: DataFrame) -> DataFrame:

@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 
 def core_records(df: DataFrame, seen: Column, is_item: Column, source: str, restricted: Column, direct: Column) -> DataFrame:
-    """Rows in view (null counts as seen); page rows only for sources without item rows; of restricted sources only direct ones."""
-    rows = df.filter(F.coalesce(seen, F.lit(True))).filter(~restricted | direct)
-    sources = rows.groupBy(F.col(source).alias("__s")).agg(F.max(is_item).alias("__has_items"))
-    return rows.join(sources, rows[source] == sources["__s"]).filter(is_item | ~F.col("__has_items")).drop("__s", "__has_items")
+    """Rows in view (null counts as seen); page rows only for sources without item rows; item rows of restricted sources only if direct.
+
+    Whether a source has items is asked of all its rows in view, so one whose items are all left out keeps no page either.
+    """
+    no = F.lit(False)
+    rows = df.filter(F.coalesce(seen, F.lit(True)))
+    sources = rows.groupBy(F.col(source).alias("__s")).agg(F.max(F.coalesce(is_item, no)).alias("__has_items"))
+    joined = rows.join(sources, rows[source].eqNullSafe(sources["__s"]))
+    held_out = F.coalesce(restricted, no) & F.coalesce(is_item, no) & ~F.coalesce(direct, no)
+    return joined.filter((F.coalesce(is_item, no) | ~F.col("__has_items")) & ~held_out).drop("__s", "__has_items")
 
 
 def priority(change: Column, events: Column, attention: Column, page_change: Column) -> Column:

@@ -574,14 +574,15 @@ def priority_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT d.doc_id FROM documents d LEFT JOIN labels l USING (doc_id) WHERE (d.source <> 'src3' OR d.lang = 'en')
-      AND (l.doc_id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM documents x JOIN labels y USING (doc_id) WHERE x.source = d.source AND (x.source <> 'src3' OR x.lang = 'en')))
+    WITH d AS (SELECT doc_id, source || '-' || doc_id % 500 AS site, source IN ('src3', 'src13') AS restricted, lang = 'en' AS direct, l.doc_id IS NOT NULL AS is_item, doc_id % 9 <> 4 AS seen FROM documents LEFT JOIN labels l USING (doc_id)),
+    v AS (SELECT *, bool_or(is_item) OVER (PARTITION BY site) AS has_items FROM d WHERE seen)
+    SELECT doc_id FROM v WHERE (is_item OR NOT has_items) AND NOT (restricted AND is_item AND NOT direct)
 """)
 def core_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows in view, item rows before page rows, restricted sources only where direct."""
-    l = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("is_item"))  # noqa: E741
-    d = table(spark, sf_dir, "documents").join(l, "doc_id", "left")
-    return S.core_records(d, F.lit(None).cast("boolean"), F.coalesce("is_item", F.lit(False)), "source", F.col("source") == "src3", F.col("lang") == "en").select("doc_id")
+    """Rows in view, item rows before page rows, items of restricted sites only where direct; sites with pages only and with indirect items only are among them."""
+    k, l = F.col("doc_id"), table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("is_item"))  # noqa: E741
+    d = table(spark, sf_dir, "documents").join(l, "doc_id", "left").withColumn("site", F.concat_ws("-", "source", k % 500))
+    return S.core_records(d, k % 9 != 4, F.coalesce("is_item", F.lit(False)), "site", F.col("source").isin("src3", "src13"), F.col("lang") == "en").select("doc_id")
 
 
 @query("SELECT user_id, event_id, n > 8 AS overflow FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE r <= 8")
@@ -753,11 +754,12 @@ def alert_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_LOG_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at DESC, seq DESC) AS r FROM tl)
-    SELECT CASE state WHEN 'fetch_failed' THEN 'detail_fetch_failed' ELSE state END || '|global|' || record_id AS alert_key,
+    SELECT CASE state WHEN 'fetch_failed' THEN 'detail_fetch_failed' ELSE state END || '|' || record_id % 7 || '|' || record_id AS alert_key,
            CASE WHEN state = 'long_absent' OR (state = 'fetch_failed' AND streak >= 3) THEN 'high' ELSE 'warning' END AS severity FROM f WHERE r = 1 AND state <> 'active'""")
 def alert_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conditions of the records' states."""
-    return AL.lifecycle_conditions(L.final_states(L.timeline(_log(spark, sf_dir), _POLICY))).select("alert_key", "severity")
+    states = L.final_states(L.timeline(_log(spark, sf_dir), _POLICY))
+    return AL.lifecycle_conditions(states.withColumn("source_id", F.col("record_id") % 7)).select("alert_key", "severity")
 
 
 @query(f"""WITH {_LOG_SQL}, e AS (SELECT seq, substr(sha256(run_id || '|' || record_id || '|' || t), 1, 20) AS event_id, t FROM (SELECT seq, run_id, record_id, unnest(events) AS t FROM tl))

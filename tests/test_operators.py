@@ -289,3 +289,13 @@ def test_a_run_is_committed_whole(spark, tmp_path):
     assert commit_run(store, "r", log) and sorted(map(str, store.read("events").collect())) == before
     fresh = L.initialize(log, store.read("states"), "r9", F.lit("2026-01-09"))
     assert fresh.count() == 0 and L.initialize(log, store.read("states").limit(0), "r9", F.lit("2026-01-09")).count() == 1
+
+
+def test_core_records_ask_all_rows_in_view_for_items(spark):
+    rows = [("a", True, "item", True), ("a", True, "page", True), ("b", None, "page", False), ("c", True, "item", False), ("c", True, "page", True), ("d", False, "item", True), ("d", True, "page", True), (None, True, "page", False), ("e", True, "item", None)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "id long, source string, seen boolean, scope string, direct boolean")
+    from recordwatch.operators import selection
+
+    kept = selection.core_records(df, F.col("seen"), F.col("scope") == "item", "source", F.col("source").isin("a", "b", "c", "e"), F.col("direct"))
+    # b has pages only and keeps them; c's only item isn't direct, so neither it nor its page stays; d's item is out of view.
+    assert sorted(r.id for r in kept.collect()) == [0, 2, 6, 7]
