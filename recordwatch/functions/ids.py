@@ -23,9 +23,15 @@ def event_id(run_id: Column, record: Column, kind: Column) -> Column:
     return digest(joined(run_id, record, kind), 20)
 
 
-def version_id(record: Column, semantic_hash: Column, extraction_hash: Column, version: Column) -> Column:
-    """Holds the version number too, so going back to earlier facts gives a new id."""
-    return digest(joined(record, semantic_hash, extraction_hash, version), 20)
+def version_id(record: Column, semantic_hash: Column, extraction_hash: Column) -> Column:
+    """The same for the same facts read alike, so a record that goes back to them has its earlier version again."""
+    return digest(joined(record, semantic_hash, extraction_hash), 20)
+
+
+def canonical_map(entries: Column) -> Column:
+    """JSON of a map of texts, keys in order, without the empty ones."""
+    held = F.filter(F.array_sort(F.map_entries(F.coalesce(entries, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))))), lambda e: F.coalesce(e["value"], F.lit("")) != "")
+    return F.to_json(F.map_from_entries(held))
 
 
 def alert_key(kind: Column, source: Column, record: Column) -> Column:

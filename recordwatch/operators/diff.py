@@ -11,9 +11,13 @@ from recordwatch.functions.text import collapse, excerpt, grows, is_empty
 GROWING = ("summary", "evidence")
 
 
-def field_change(name: str, before: Column, after: Column) -> Column:
-    """improved, degraded, changed or null for one flattened field."""
-    growth = grows(before, after) if name in GROWING else F.lit(False)
+def field_change(name: str | Column, before: Column, after: Column) -> Column:
+    """improved, degraded, changed or null for one flattened field; a name that isn't known before may be a column."""
+    growth = grows(before, after)
+    if isinstance(name, Column):
+        growth = name.isin(*GROWING) & growth
+    elif name not in GROWING:
+        growth = F.lit(False)
     return (
         F.when(before.eqNullSafe(after) | (is_empty(before) & is_empty(after)), F.lit(None))
         .when(is_empty(before), "improved")
@@ -40,11 +44,11 @@ def change_evidence(fields: dict[str, tuple[Column, Column]], limit: int = 240)
 
 
 def map_diff(before: Column, after: Column) -> dict[str, Column]:
-    """The same for facts flattened to a map of path to text."""
+    """The same for facts flattened to a map of path to text; a path that one of them lacks is empty there."""
     keys = F.array_sort(F.array_union(F.map_keys(before), F.map_keys(after)))
 
     def of(kind: str) -> Column:
-        return F.filter(keys, lambda k: field_change("", F.element_at(before, k), F.element_at(after, k)) == kind)
+        return F.filter(keys, lambda k: field_change(k, F.element_at(before, k), F.element_at(after, k)) == kind)
 
     return {f"{kind}_fields": of(kind) for kind in ("changed", "improved", "degraded")}
 

@@ -8,6 +8,7 @@ in a complete view. One shuffle by record serves all windows, which share partit
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,8 +36,18 @@ def accepted_runs(log: DataFrame, strict: bool = True) -> DataFrame:
     return log.join(marked.filter(F.col("max_before").isNull() | later).select("run_id"), "run_id", "left_semi")
 
 
-def timeline(log: DataFrame, policy: Policy = Policy()) -> DataFrame:
-    """Accepted observations with ``kind, state, previous_state, streak, semantic_version, extraction_revision, attention, events``."""
+def by_number(last: Column) -> dict[str, Column]:
+    """What differs from the last good reading where extraction is one number: ``changed, improved, degraded``."""
+    return {"changed": ~F.col("facts").eqNullSafe(last["facts"]), "improved": F.col("detail") > last["detail"], "degraded": F.col("detail") < last["detail"]}
+
+
+def timeline(log: DataFrame, policy: Policy = Policy(), payload: tuple[str, ...] = ("facts", "detail"), compare: Callable[[Column], dict[str, Column]] = by_number, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Accepted observations with ``kind, state, previous_state, streak, semantic_version, extraction_revision, attention, events``.
+
+    ``payload`` names the columns of a reading; ``compare`` tells, for a good reading and a struct of the last good one's payload,
+    whether facts ``changed`` and extraction ``improved`` or ``degraded``. Other columns that it gives are passed on, null where
+    there is nothing to compare; ``carry`` names columns of the log to pass on as they are.
+    """
     by_record = Window.partitionBy("record_id").orderBy("started_at", "seq")
     so_far = by_record.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = by_record.rowsBetween(Window.unboundedPreceding, -1)
@@ -54,13 +65,12 @@ def timeline(log: DataFrame, policy: Policy = Policy()) -> DataFrame:
     state = F.when(F.col("kind") == "ok", "active").when(F.col("kind") == "fail", "fetch_failed").when(absent, "long_absent").otherwise("temporarily_missing")
     rows = rows.withColumn("state", state).withColumn("previous_state", F.lag("state").over(by_record))
     good = F.col("kind") == "ok"
-    last_good = F.last(F.when(good, F.struct("facts", "detail")), ignorenulls=True).over(before)
+    last_good = F.last(F.when(good, F.struct(*payload)), ignorenulls=True).over(before)
     rows = rows.withColumn("__last", last_good)
     known = F.col("__last").isNotNull() & good
-    changed = known & ~F.col("facts").eqNullSafe(F.col("__last.facts"))
-    improved = known & F.coalesce(F.col("detail") > F.col("__last.detail"), F.lit(False))
-    degraded = known & F.coalesce(F.col("detail") < F.col("__last.detail"), F.lit(False))
-    rows = rows.withColumns({"changed": changed, "improved": improved, "degraded": degraded})
+    told = compare(F.col("__last"))
+    marks = {k: known & F.coalesce(told.pop(k), F.lit(False)) for k in ("changed", "improved", "degraded")}
+    rows = rows.withColumns(marks | {k: F.when(known, c) for k, c in told.items()})
     was_missing = F.col("previous_state").isin("temporarily_missing", "long_absent")
     entered = F.col("previous_state").isNull() | (F.col("previous_state") != F.col("state"))
     named: list[tuple[str, Column]] = [
@@ -79,7 +89,7 @@ def timeline(log: DataFrame, policy: Policy = Policy()) -> DataFrame:
         "seq", "run_id", "started_at", "record_id", "kind", "state", "previous_state", "streak", "changed", "improved",
         (1 + F.sum(F.col("changed").cast("int")).over(so_far)).cast("long").alias("semantic_version"),
         (1 + F.sum(F.col("improved").cast("int")).over(so_far)).cast("long").alias("extraction_revision"),
-        ((F.col("kind") == "fail") & (F.col("streak") >= policy.failures_for_attention)).alias("attention"), events.alias("events"),
+        ((F.col("kind") == "fail") & (F.col("streak") >= policy.failures_for_attention)).alias("attention"), events.alias("events"), *told, *carry,
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordwatch.operators import alert_state as AS
+from recordwatch.operators import lifecycle as L
+from recordwatch.operators import record_versions as RV
 from recordwatch.plans.catalog import query, table
 
 # Evaluations are batches of forty events; every fifth is repeated by its run, and some runs start too early to count.
@@ -107,3 +109,70 @@ def alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = AS.in_time(before).filter(~F.col("late")).agg(F.max_by("run_id", "seq"), F.max_by("started_at", "seq")).first()
     states = AS.evaluate(after, handed, None if last[0] is None else (last[0], last[1]), _ALERTS).states
     return states.select("alert_key", "count", "severity_rank", "last_run_id", "occurrence_count", "consecutive", F.date_format("cooldown_until", "yyyy-MM-dd HH").alias("cooldown_until"))
+
+
+# Readings of users as records: facts and evidence are maps whose keys come and go, texts that grow, quality and confidence.
+_VERSIONS_SQL = """
+    log AS (SELECT event_id AS seq, event_id AS run_id, ts AS started_at, user_id AS record_id, event_type <> 'signup' AS seen, event_type = 'error' AS failed,
+                   MAP {'title': CASE WHEN event_id % 7 = 0 THEN 'second' ELSE 'first' END, 'summary': CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'Short' ELSE 'a short text' END, 'evidence': 'seen ' || event_id % 3,
+                        'fields.' || CASE WHEN event_id % 5 = 0 THEN 'price' ELSE 'date' END: CASE WHEN event_id % 6 = 0 THEN NULL ELSE 'x' END} AS facts,
+                   MAP {'title': CASE WHEN event_id % 3 = 0 THEN '' ELSE 'h1' END, 'date' || event_id % 2: 'time'} AS evidence, ['unknown', 'low', 'medium', 'high'][event_id % 4 + 1] AS quality, round((event_id % 9) / 9.0::DOUBLE, 4) AS confidence FROM events),
+    k1 AS (SELECT *, CASE WHEN seen AND NOT failed THEN 'ok' WHEN seen THEN 'fail' ELSE 'missing' END AS k, max(seen::INT) OVER (PARTITION BY record_id ORDER BY started_at, seq) AS known FROM log),
+    k2 AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY started_at, seq) AS n FROM k1 WHERE known = 1),
+    k3 AS (SELECT * REPLACE (CASE WHEN n = 1 THEN 'ok' ELSE k END AS k) FROM k2),
+    k4 AS (SELECT *, last_value(CASE WHEN k = 'ok' THEN struct_pack(f := facts, e := evidence, q := quality, c := confidence) END IGNORE NULLS) OVER (PARTITION BY record_id ORDER BY started_at, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM k3 ),
+    g AS (SELECT *, list_sort(list_distinct(map_keys(was.f) || map_keys(facts))) AS keys FROM k4 WHERE k = 'ok' AND was IS NOT NULL),
+    d AS (SELECT *, list_transform(keys, lambda x: struct_pack(key := x, a := coalesce(was.f[x], ''), b := coalesce(facts[x], ''))) AS pairs FROM g),
+    p AS (SELECT *, list_transform(pairs, lambda x: struct_pack(key := x.key, how := CASE WHEN x.a = x.b THEN '' WHEN x.a = '' THEN 'improved' WHEN x.b = '' THEN 'degraded'
+                        WHEN x.key IN ('summary', 'evidence') AND contains(lower(x.b), lower(x.a)) AND lower(x.a) <> lower(x.b) THEN 'improved' ELSE 'changed' END, a := x.a, b := x.b)) AS hows FROM d),
+    r AS (SELECT *, list_filter(hows, lambda x: x.how = 'changed') AS ch,
+                 list_transform(list_filter(hows, lambda x: x.how = 'improved'), lambda x: x.key)
+                     || list_transform(list_filter(map_keys(evidence), lambda x: evidence[x] <> '' AND coalesce(was.e[x], '') = ''), lambda x: 'field_evidence.' || x)
+                     || CASE WHEN list_position(['unknown', 'low', 'medium', 'high'], quality) > list_position(['unknown', 'low', 'medium', 'high'], was.q) THEN ['source_quality'] ELSE [] END || CASE WHEN confidence > was.c THEN ['extraction_confidence'] ELSE [] END AS better,
+                 list_transform(list_filter(hows, lambda x: x.how = 'degraded'), lambda x: x.key)
+                     || list_transform(list_filter(map_keys(was.e), lambda x: was.e[x] <> '' AND coalesce(evidence[x], '') = ''), lambda x: 'field_evidence.' || x)
+                     || CASE WHEN list_position(['unknown', 'low', 'medium', 'high'], quality) < list_position(['unknown', 'low', 'medium', 'high'], was.q) THEN ['source_quality'] ELSE [] END || CASE WHEN confidence < was.c THEN ['extraction_confidence'] ELSE [] END AS worse FROM p),
+    c AS (SELECT k4.*, coalesce(len(ch), 0) > 0 AS changed, coalesce(len(better), 0) > 0 AS improved, coalesce(len(better), 0) = 0 AND coalesce(len(worse), 0) > 0 AS degraded, ch, list_sort(better) AS better, list_sort(list_filter(worse, lambda x: NOT list_contains(better, x))) AS worse
+          FROM k4 LEFT JOIN r USING (seq)),
+    t AS (SELECT *, 1 + sum(changed::INT) OVER (PARTITION BY record_id ORDER BY started_at, seq)::BIGINT AS semantic_version, 1 + sum(improved::INT) OVER (PARTITION BY record_id ORDER BY started_at, seq)::BIGINT AS extraction_revision,
+                 list_sort(list_transform(list_filter(map_entries(facts), lambda x: coalesce(x.value, '') <> ''), lambda x: '"' || x.key || '":"' || x.value || '"')) AS held,
+                 list_sort(list_transform(list_filter(map_entries(evidence), lambda x: coalesce(x.value, '') <> ''), lambda x: '"' || x.key || '":"' || x.value || '"')) AS proof FROM c),
+    h AS (SELECT *, CASE WHEN k = 'ok' THEN substr(sha256('{' || array_to_string(held, ',') || '}'), 1, 16) END AS semantic_hash,
+                 CASE WHEN k = 'ok' THEN substr(sha256('{' || array_to_string(proof, ',') || '}|' || quality || '|' || confidence::VARCHAR), 1, 16) END AS extraction_hash FROM t)
+"""
+
+
+def _whole_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, t = F.col("event_id"), F.col("event_type")
+    facts = F.create_map(
+        F.lit("title"), F.when(k % 7 == 0, "second").otherwise("first"), F.lit("summary"), F.when(k % 4 == 0, "").when(k % 4 == 1, "Short").otherwise("a short text"), F.lit("evidence"), F.concat(F.lit("seen "), k % 3),
+        F.when(k % 5 == 0, "fields.price").otherwise("fields.date"), F.when(k % 6 != 0, "x"),
+    )
+    evidence = F.create_map(F.lit("title"), F.when(k % 3 == 0, "").otherwise("h1"), F.concat(F.lit("date"), k % 2), F.lit("time"))
+    quality = F.element_at(F.array(*[F.lit(q) for q in ("unknown", "low", "medium", "high")]), (k % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select(
+        k.alias("seq"), k.alias("run_id"), F.col("ts").cast("timestamp").alias("started_at"), F.col("user_id").alias("record_id"), (t != "signup").alias("seen"), F.lit(True).alias("complete"), (t == "error").alias("failed"),
+        facts.alias("facts"), evidence.alias("evidence"), quality.alias("quality"), F.round((k % 9) / 9, 4).alias("confidence"),
+    )
+
+
+@query(f"""WITH {_VERSIONS_SQL} SELECT seq, semantic_version, extraction_revision, coalesce(array_to_string(list_transform(ch, lambda x: x.key), ','), '') AS changed_fields, coalesce(array_to_string(better, ','), '') AS improved, coalesce(array_to_string(worse, ','), '') AS degraded,
+    coalesce(array_to_string(list_transform(ch, lambda x: x.key || ': ' || x.a || ' > ' || x.b), ','), '') AS texts, semantic_hash FROM h""")
+def reading_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each reading of a record against its last good one, over maps of facts and evidence, quality and confidence."""
+    timed = RV.timeline(_whole_readings(spark, sf_dir))
+    texts = F.array_join(F.transform(F.array_sort(F.map_entries("change_evidence")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]["before_excerpt"], F.lit(" > "), e["value"]["after_excerpt"])), ",")
+    joined = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))
+    return timed.select("seq", "semantic_version", "extraction_revision", joined("changed_fields").alias("changed_fields"), joined("improved_reasons").alias("improved"), joined("degraded_reasons").alias("degraded"), F.coalesce(texts, F.lit("")).alias("texts"), "semantic_hash")
+
+
+@query(f"""WITH {_VERSIONS_SQL},
+    v AS (SELECT *, substr(sha256(record_id || '|' || semantic_hash || '|' || extraction_hash), 1, 20) AS version_id, CASE WHEN n = 1 THEN 'new_item' WHEN changed THEN 'semantic_change' ELSE 'extraction_improvement' END AS version_kind FROM h WHERE n = 1 OR changed OR improved),
+    u AS (SELECT version_id, any_value(record_id) AS record_id, arg_max(seq, struct_pack(p := started_at, q := seq)) AS seq, arg_max(version_kind, struct_pack(p := started_at, q := seq)) AS version_kind, arg_max(semantic_version, struct_pack(p := started_at, q := seq)) AS semantic_version, min(struct_pack(p := started_at, q := seq)) AS first FROM v GROUP BY version_id)
+    SELECT version_id, record_id, seq, version_kind, semantic_version FROM u QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY first DESC) <= 6""")
+def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of records by their ids; facts that come back replace their version in place; of each record the last six."""
+    found = RV.versions(RV.timeline(_whole_readings(spark, sf_dir))).withColumn("pos", F.struct("observed_at", "seq"))
+    half = F.lit("2024-01-15").cast("timestamp")
+    merged = RV.merged_versions(found.filter(F.col("observed_at") < half), found.filter(F.col("observed_at") >= half), 6)
+    return merged.select("version_id", "record_id", "seq", "version_kind", "semantic_version")
