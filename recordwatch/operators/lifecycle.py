@@ -86,7 +86,7 @@ def timeline(log: DataFrame, policy: Policy = Policy(), payload: tuple[str, ...]
     ]
     events = F.array_compact(F.array(*[F.when(on, F.lit(name)) for name, on in named]))
     return rows.select(
-        "seq", "run_id", "started_at", "record_id", "kind", "state", "previous_state", "streak", "changed", "improved",
+        "seq", "run_id", "started_at", "record_id", "kind", "state", "previous_state", "streak", F.col("__start.started_at").alias("since"), "changed", "improved",
         (1 + F.sum(F.col("changed").cast("int")).over(so_far)).cast("long").alias("semantic_version"),
         (1 + F.sum(F.col("improved").cast("int")).over(so_far)).cast("long").alias("extraction_revision"),
         ((F.col("kind") == "fail") & (F.col("streak") >= policy.failures_for_attention)).alias("attention"), events.alias("events"), *told, *carry,
@@ -112,6 +112,21 @@ def final_states(timed: DataFrame) -> DataFrame:
     return timed.groupBy("record_id").agg(row).select("record_id", "r.state", "r.streak", "r.semantic_version", "r.extraction_revision", "r.attention")
 
 
+def resume_states(log: DataFrame, policy: Policy = Policy()) -> DataFrame:
+    """What has to be known of each record to go on without its log: ``final_states``, times as microseconds, and the last good reading.
+
+    The lifecycle on streams takes these rows as its initial state.
+    """
+    timed = timeline(log, policy, carry=("facts", "detail"))
+    place = ("started_at", "seq")
+    last = F.max(F.struct(*place, "state", "kind", "streak", "since", "semantic_version", "extraction_revision")).alias("r")
+    good = F.max(F.when(F.col("kind") == "ok", F.struct(*place, "facts", "detail"))).alias("g")
+    return timed.groupBy("record_id").agg(last, good).select(
+        "record_id", "r.state", "r.kind", "r.streak", F.unix_micros("r.since").alias("since"), "g.facts", F.col("g.detail").cast("double").alias("detail"), "r.semantic_version", "r.extraction_revision",
+        F.unix_micros("r.started_at").alias("last"),
+    )
+
+
 def totals(found: DataFrame, types: list[str]) -> DataFrame:
     """Number of events of each type, as one row."""
     return found.agg(*[F.count_if(F.col("event_type") == t).alias(t) for t in types])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from recordwatch.operators import alert_state as AS
 from recordwatch.operators import lifecycle as L
 from recordwatch.operators import record_versions as RV
-from recordwatch.plans.catalog import query, table
+from recordwatch.plans.catalog import _LOG_SQL, _POLICY, query, table
+from recordwatch.streaming import record_lives as RL
 
 # Evaluations are batches of forty events; every fifth is repeated by its run, and some runs start too early to count.
 _READINGS_SQL = """
@@ -176,3 +177,28 @@ def version_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.lit("2024-01-15").cast("timestamp")
     merged = RV.merged_versions(found.filter(F.col("observed_at") < half), found.filter(F.col("observed_at") >= half), 6)
     return merged.select("version_id", "record_id", "seq", "version_kind", "semantic_version")
+
+
+# Forty events are a run, which sees the users in them, some several times; some runs start too early to count.
+_STREAM_SQL = f"""
+    seen_by AS (SELECT DISTINCT event_id // 40 AS run, user_id AS u FROM events),
+    starts AS (SELECT run, TIMESTAMP '2026-01-01' + to_hours(CASE WHEN run % 13 = 4 THEN run * 9 - 60 ELSE run * 9 END) AS began FROM (SELECT DISTINCT run FROM seen_by)),
+    passed AS (SELECT * FROM starts QUALIFY coalesce(began > max(began) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true)),
+    log AS (SELECT run AS seq, 'r' || run AS run_id, began AS started_at, u AS record_id, (u * 7 + run) % 5 > 1 AS seen, true AS complete, (u * 3 + run) % 6 = 0 AS failed, ((u + run // 30) % 3)::VARCHAR AS facts, (run * u) % 4 AS detail FROM seen_by JOIN passed USING (run)),
+    {_LOG_SQL[_LOG_SQL.index("k0 AS"):]}
+"""
+
+
+@query(f"WITH {_STREAM_SQL} SELECT record_id::VARCHAR AS record_id, run_id, unnest(events) AS event_type, prev AS previous_state, state, streak, semantic_version::BIGINT AS semantic_version, extraction_revision::BIGINT AS extraction_revision FROM tl")
+def lifecycle_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The life of records as a stream of what is there: late runs left out by a gate, repeated observations told once, one state a record."""
+    path = f"{sf_dir}/events.parquet"
+    k, u = F.floor(F.col("event_id") / 40), F.col("user_id")
+    e = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")  # a pattern, as a stream's path may not be one file
+    began = F.lit(datetime(2026, 1, 1)).cast("timestamp") + F.make_interval(hours=F.when(k % 13 == 4, k * 9 - 60).otherwise(k * 9).cast("int"))
+    log = e.select(
+        "event_id", k.alias("run_seq"), F.concat(F.lit("r"), k).alias("run_id"), began.alias("started_at"), u.alias("record_id"), ((u * 7 + k) % 5 > 1).alias("seen"), F.lit(True).alias("complete"), ((u * 3 + k) % 6 == 0).alias("failed"),
+        ((u + F.floor(k / 30)) % 3).cast("string").alias("facts"), ((k * u) % 4).cast("double").alias("detail"),
+    ).withColumnRenamed("event_id", "seq")
+    events = RL.run_to_end(RL.record_lives(log, _POLICY, delay="3650 days"))
+    return events.select("record_id", "run_id", "event_type", "previous_state", "state", "streak", "semantic_version", "extraction_revision")
