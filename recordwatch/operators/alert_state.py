@@ -32,6 +32,7 @@ from recordwatch.operators.alerts import alert_event_id
 from recordwatch.operators.conditions import CRITICAL, HIGH, INTEGRITY_ALERTS, WARNING
 from recordwatch.operators.health import rolling_median
 from recordwatch.operators.keyed import running_max_before
+from recordwatch.sources.shared import settled
 
 STATE = "alert_key string, alert_type string, source_id string, record_id string, count long, severity_rank int, first_opened_at timestamp, last_observed_at timestamp, last_notified_at timestamp, last_run_id string, occurrence_count long, consecutive long, cooldown_until timestamp"
 READING = "seq long, run_id string, started_at timestamp, alert_key string, alert_type string, source_id string, record_id string, met boolean, given long, low_rank int, high_rank int, open_at long, high_at long, high_if boolean, by_key boolean"
@@ -223,7 +224,7 @@ def evaluate(readings: DataFrame, opened: DataFrame | None = None, applied: tupl
     """
     spark = readings.sparkSession
     opened = spark.createDataFrame([], STATE) if opened is None else opened.select(*_columns(STATE))
-    timely = in_time(readings, applied).filter(~F.col("late")).drop("late")
+    timely = settled(in_time(settled(readings), applied).filter(~F.col("late")).drop("late"))
     rows = _with_silent(timely, opened).withColumn("is_state", F.lit(False)).withColumn("at", F.unix_micros("started_at")).drop("started_at")
     micros = {c: F.unix_micros(c) for c in ("first_opened_at", "last_observed_at", "last_notified_at", "cooldown_until")}
     known = opened.withColumns(micros).withColumn("is_state", F.lit(True))

@@ -11,17 +11,15 @@ announced in time. An observation of a run that passed, but that arrives after i
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from recordwatch.operators.lifecycle import Policy
+from recordwatch.sources import shared
 from recordwatch.streaming.lifecycle_stream import step
 
 LIFE = "state string, kind string, streak long, since long, facts string, detail double, semantic_version long, extraction_revision long, last long"
@@ -141,22 +139,10 @@ def events_once(events: DataFrame, delay: str, id_col: str = "event_id", time: s
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([id_col])
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder where all executors can write: below the checkpoint folder; a temporary one for a local master without it."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    if not named:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir is not set; name a folder that driver and executors share")
-        named = tempfile.mkdtemp(prefix="streams-")
-    return os.path.join(named, f"stream-{uuid.uuid4().hex}")
-
-
 def run_to_end(stream: DataFrame, folder: str | None = None) -> DataFrame:
     """All that a stream gives of what is there now, as a table in ``folder``; a run that was broken off goes on from its checkpoint there."""
     spark = stream.sparkSession
-    folder = folder or _folder(spark)
+    folder = folder or shared.folder(spark, "stream")
     before = spark.conf.get(PROVIDER[0], None)
     spark.conf.set(*PROVIDER)
     try:
