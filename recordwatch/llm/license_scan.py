@@ -9,8 +9,8 @@ line of the block is like it, the best first and none that overlaps a better one
 template's bigrams are searched for blocks, from lines that share a bigram with it up to b * (2 - d) / d bigrams.
 
 Edge cases: null and empty texts have no match (count 0, null licence); of equal coefficients the first licence by name
-wins, then the first line; a line that is the whole text counts once; a repeated row is scanned again; an empty table
-gives an empty result; other columns are ignored; templates of fewer than two words match nothing.
+wins, then the first line; a line that is the whole text counts once; a repeated row has the same result each time; rows that
+share an id, or have none, are told apart by their texts; an empty table gives an empty result; other columns are ignored; templates of fewer than two words match nothing.
 """
 
 from __future__ import annotations
@@ -69,9 +69,9 @@ def among(array: str, values: list[int]) -> Column:
 
 
 def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_DICE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, pos, license, dice`` of every line (pos >= 0) and whole text (pos -1) that is like a template.
+    """``id, text_sha256, pos, license, dice`` of every line or block (pos >= 0) and whole text (pos -1) that is like a template.
 
-    ``id`` is the input's id column. Templates are a parameter of at most a few dozen texts.
+    ``id`` is the input's id column; rows of one id are told apart by their texts' hash. Templates are a parameter of at most a few dozen texts.
     """
     spark = docs.sparkSession
     told = spark.createDataFrame(list((TEMPLATES | STANDARD if templates is None else templates).items()), "license string, text string")
@@ -80,7 +80,8 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
     sizes = [len(g) for g in grams_of.values()]
     known = sorted({g for grams in grams_of.values() for g in grams})
     low, high = (min(sizes) * least / (2 - least), max(sizes) * (2 - least) / least) if sizes else (1, 0)
-    texts = kept(likely_texts(docs.select(docs[id_col].alias("id"), text_or_empty(text_col).alias("text")), grams_of, known, least))
+    likely = kept(likely_texts(docs.select(docs[id_col].alias("id"), text_or_empty(text_col).alias("text")), grams_of, known, least))
+    texts = likely.withColumn("id", F.col("uid"))  # from here on a text is known by its own number
     lines = texts.select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     # A whole text is a piece of its own where it has several lines.
     whole = texts.filter(F.instr("text", "\n") > 0).select("id", F.lit(-1).alias("pos"), F.col("text").alias("line"))
@@ -93,7 +94,9 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, least: flo
     shared = fit.join(F.broadcast(index), "gram").filter(bound).groupBy("unit", "id", "pos", "license", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     dice = 2 * F.col("n") / (F.col("a") + F.col("b"))
     alone = shared.select("id", "pos", "license", dice.alias("dice")).filter(F.col("dice") >= least - 1e-9)
-    return alone.unionByName(blocks(texts, told, least))
+    found = alone.unionByName(blocks(texts, told, least)).withColumnRenamed("id", "uid")
+    named = likely.select("uid", "id", F.sha2("text", 256).alias("text_sha256"))
+    return found.join(named, "uid").select("id", "text_sha256", "pos", "license", "dice")
 
 
 def likely_texts(rows: DataFrame, grams_of: dict[str, list[int]], known: list[int], least: float) -> DataFrame:
@@ -180,12 +183,12 @@ def blocks(texts: DataFrame, told: DataFrame, least: float) -> DataFrame:
 
 def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST_DICE) -> DataFrame:
     """``doc_id, n_matches, licenses, best_license, best_dice, best_line`` of each row."""
-    found = matches(docs, templates, least).groupBy(F.col("id").alias("__id")).agg(
+    found = matches(docs, templates, least).groupBy(F.col("id").alias("__id"), "text_sha256").agg(
         F.countDistinct("pos").alias("n"), F.array_sort(F.collect_set("license")).alias("found"),
         F.min(F.struct((-F.col("dice")).alias("d"), "license", "pos")).alias("best"),
     )
-    ids = docs.select("doc_id")
-    return ids.join(found, ids.doc_id.eqNullSafe(found["__id"]), "left").select(
+    ids = docs.select("doc_id", F.sha2(text_or_empty(), 256).alias("__sha"))
+    return ids.join(found, ids.doc_id.eqNullSafe(found["__id"]) & (ids["__sha"] == found["text_sha256"]), "left").select(
         "doc_id", F.coalesce("n", F.lit(0)).alias("n_matches"), F.coalesce(F.array_join("found", ","), F.lit("")).alias("licenses"),
         F.col("best.license").alias("best_license"), F.round(-F.col("best.d"), 6).alias("best_dice"), F.col("best.pos").cast("long").alias("best_line"),
     )
