@@ -21,7 +21,6 @@ from __future__ import annotations
 import math
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -207,25 +206,45 @@ class _Plan:
         return self.sequences - before
 
     def best_fit(self, stock: list[int]) -> None:
-        """Largest first, each to the open sequence with the least room that still holds it."""
-        open_by_room: dict[int, list[dict[int, int]]] = {}
+        """Largest first, each to the open sequence with the least room that still holds it, by runs of equal sequences.
+
+        Pieces of one length fill a sequence as far as it goes, since after each piece it is the one with the least room;
+        so a run of equal sequences takes as many of them each, and one sequence at most takes fewer. What is done
+        and kept depends on the number of lengths and runs, not on how many pieces or sequences these stand for.
+        """
+        runs_by_room: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}
         rooms = np.zeros(self.capacity + 1, bool)
-        opened: list[dict[int, int]] = []
+
+        def keep(found: tuple[tuple[int, int], ...], times: int, room: int) -> None:
+            if room:
+                runs_by_room.setdefault(room, []).append((found, times))
+                rooms[room] = True
+            else:
+                self.put(found, times)
+
         for size in range(self.capacity, 0, -1):
-            for _ in range(stock[size]):
-                fit = int(rooms[size:].argmax()) + size
-                if rooms[fit]:
-                    found = open_by_room[fit].pop()
-                    rooms[fit] = bool(open_by_room[fit])
+            n = stock[size]
+            while n:
+                room = int(rooms[size:].argmax()) + size
+                found, times = runs_by_room[room].pop() if rooms[room] else ((), n)
+                if found:
+                    rooms[room] = bool(runs_by_room[room])
                 else:
-                    opened.append(found := {})
-                    fit = self.capacity
-                found[size] = found.get(size, 0) + 1
-                if fit > size:
-                    open_by_room.setdefault(fit - size, []).append(found)
-                    rooms[fit - size] = True
-        for found, times in Counter(tuple(x.items()) for x in opened).items():
-            self.put(found, times)
+                    room = self.capacity
+                each = room // size
+                full, rest = min(times, n // each), 0
+                if full < times and n > full * each:
+                    rest = n - full * each
+                n -= full * each + rest
+                if full:
+                    keep((*found, (size, each)), full, room - each * size)
+                if rest:
+                    keep((*found, (size, rest)), 1, room - rest * size)
+                if found and times > full + bool(rest):
+                    keep(found, times - full - bool(rest), room)
+        for runs in runs_by_room.values():
+            for found, times in runs:
+                self.put(found, times)
 
 
 @dataclass
@@ -241,8 +260,8 @@ class Plan:
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """Where the pieces of each length go. The run of a row ends at the first rank of the length's next row.
 
-    The work depends on the number of lengths and configurations, not on the number of pieces: rounding leaves
-    at most about one sequence for each configuration of the solution.
+    The work depends on the number of lengths and configurations, not on the number of pieces: the solution's configurations
+    are taken as often as it says, and what is left is fitted by runs of equal lengths and equal sequences.
     """
     stock = [0] * (capacity + 1)
     for size, n in histogram.items():
