@@ -23,6 +23,7 @@ UNSEEN, SKIPPED = {"script", "style", "template"}, {"script", "style", "noscript
 CHROME = {"nav", "footer", "form"}
 BLOCKS = {"p", "h1", "h2", "h3", "time", "li"}
 CONTAINERS = {"article", "section", "li"}
+AREAS, HEADINGS = CONTAINERS | {"div"}, {"h1", "h2", "h3", "h4"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 DEPTH, CHILDREN, BLOCK_CHARS, LEAST_CHARS = 8, 200, 1200, 20
 TITLE_CHARS, SUMMARY_CHARS, CONTEXT_CHARS, LEAST_EVIDENCE = 240, 500, 800, 80
@@ -65,6 +66,10 @@ class Page(HTMLParser):
         self._open: list[tuple[int, list[str]]] = []
         self._containers: list[tuple[int, list[str]]] = []
         self._link: list[tuple[int, list[str]]] = []
+        #: Open areas, each with the text of its first heading once that has begun; the areas of the links; the open headings.
+        self._areas: list[tuple[int, list[list[str]]]] = []
+        self._link_areas: list[list[list[str]] | None] = []
+        self._headings: list[tuple[int, list[str]]] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         has = {k: v or "" for k, v in attrs}
@@ -90,7 +95,16 @@ class Page(HTMLParser):
             self.first[tag] = depth
         if tag in CONTAINERS:
             self._containers.append((depth, []))
+        if tag in HEADINGS:
+            heading: list[str] = []
+            self._headings.append((depth, heading))
+            for _, first in self._areas:
+                if not first:
+                    first.append(heading)
+        if tag in AREAS:
+            self._areas.append((depth, []))
         if tag == "a" and any(k == "href" for k, _ in attrs):
+            self._link_areas.append(self._areas[-1][1] if self._areas else None)
             said: list[str] = []
             self.links.append((has["href"], said, self._containers[-1][1] if self._containers else None))
             self._link.append((depth, said))
@@ -110,7 +124,7 @@ class Page(HTMLParser):
         while self.stack.pop() != tag:
             pass
         depth = len(self.stack)
-        for parts in (self._open, self._containers, self._link):
+        for parts in (self._open, self._containers, self._link, self._areas, self._headings):
             while parts and parts[-1][0] >= depth:
                 parts.pop()
         for root, at in self.first.items():
@@ -132,7 +146,7 @@ class Page(HTMLParser):
             self.text["title"].append(data)
         if self._h1 is not None and self._h1 >= 0:
             self.text["h1"].append(data)
-        for _, parts in (*self._containers, *self._link):
+        for _, parts in (*self._containers, *self._link, *self._headings):
             parts.append(data)
         if not inside & SKIPPED and self._within("main"):
             self.text["main"].append(data)
@@ -161,6 +175,10 @@ class Page(HTMLParser):
     def first_meta(self, *selectors: tuple[str, str]) -> str:
         return next((text for text in (_flat([self.meta.get(s, "")]) for s in selectors) if text), "")
 
+    def headed_links(self) -> list[tuple[str, str, str]]:
+        """(address, text, first heading of the nearest area around it) of every link."""
+        return [(href, _flat(text), _flat(area[0]) if area else "") for (href, text, _), area in zip(self.links, self._link_areas)]
+
     def contexts(self) -> list[tuple[str, str, str]]:
         """(address, text, text of the part of the page around it) of every link."""
         said = [(href, _flat(text, TITLE_CHARS), around) for href, text, around in self.links]
@@ -209,6 +227,46 @@ def json_candidates(page: Page) -> list[tuple[str, str, str, str]]:
     return out
 
 
+# Keys that may hold an address, and those of a title within another object.
+NESTED_URL_KEYS, NESTED_TITLE_KEYS = ("url", "@id", "href", "path", "slug", "mainEntityOfPage"), ("name", "headline", "title", "@id", "url")
+
+
+def nested_text(node: dict, keys: tuple[str, ...], within: tuple[str, ...]) -> str:
+    """The first text that isn't blank under ``keys``; an object there is asked for ``within`` in turn."""
+    for value in map(node.get, keys):
+        found = _flat([value]) if isinstance(value, str) else nested_text(value, within, within) if isinstance(value, dict) else ""
+        if found:
+            return found
+    return ""
+
+
+def all_objects(value: object, depth: int = 0) -> Iterator[dict]:
+    """The objects of a JSON value, each before what it holds; of lists the first ``CHILDREN``, of objects all."""
+    if depth > DEPTH:
+        return
+    if isinstance(value, dict):
+        yield value
+    for child in value.values() if isinstance(value, dict) else value[:CHILDREN] if isinstance(value, list) else ():
+        yield from all_objects(child, depth + 1)
+
+
+def described(page: Page) -> list[tuple[str, str, str, str]]:
+    """(address, title, title and description, origin) of the objects with an address and a title in linked data and in the data of the page's framework."""
+    out: list[tuple[str, str, str, str]] = []
+    framework = next((x for x in page.scripts if x[1] == "__next_data__"), None)
+    for kind, name, text in [x for x in page.scripts if "ld+json" in x[0]] + [framework] * (framework is not None):
+        try:
+            value = json.loads("".join(text))
+        except ValueError:
+            continue
+        origin = "json_ld" if "ld+json" in kind else "next_data"
+        for node in all_objects(value):
+            address, title = nested_text(node, NESTED_URL_KEYS, NESTED_URL_KEYS), nested_text(node, TITLE_KEYS, NESTED_TITLE_KEYS)
+            if address and title:
+                out.append((address, title, _flat([title, nested_text(node, TEXT_KEYS, NESTED_TITLE_KEYS)], SUMMARY_CHARS), origin))
+    return out
+
+
 def linked_data(page: Page) -> list[dict]:
     """The objects of a page's JSON-LD."""
     out: list[dict] = []

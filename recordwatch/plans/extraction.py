@@ -18,6 +18,8 @@ from recordwatch.functions.ids import record_id
 from recordwatch.functions.text import is_empty
 from recordwatch.functions.urls import candidate_url
 from recordwatch.operators import keyed, records, selection
+from recordwatch.operators.lifecycle import view_complete
+from recordwatch.operators.redirects import landed
 
 #: Fields that two readings of a page are merged by, and the field whose source decides for each.
 MERGED = {"title": "title", "published_at": "published_at", "date_text": "published_at", "modified_at": "modified_at", "summary": "summary", "evidence": "evidence"}
@@ -76,15 +78,20 @@ def merged_reading(rows: DataFrame, a: str, b: str) -> DataFrame:
     return told.withColumn("conflicts", F.when(two, F.array_distinct(F.array_compact(F.array(*differ)))).otherwise(F.array().cast("array<string>")))
 
 
-def extract(index_pages: DataFrame, details: DataFrame, sources: list[Source], catalog: DataFrame, existing: DataFrame, fetched_at: Column, most: int = 20, render: str = "auto") -> dict[str, DataFrame]:
-    """``diagnostics`` of each candidate and the ``items``: read now, reused, or the page itself for sources that gave none.
+def extract(
+    index_pages: DataFrame, details: DataFrame, sources: list[Source], catalog: DataFrame, existing: DataFrame, fetched_at: Column, most: int = 20, render: str = "auto", dom_links: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """``diagnostics`` of each candidate, the ``items`` (read now, reused, or the page itself for sources that gave none) and the ``views`` of the sources.
 
-    ``details``: ``url, html, rendered_html, http_status, content_type`` of fetched pages; ``catalog``: the sources' names (see
-    ``records.assembled``); ``existing``: stored items by ``id``, with the columns of new ones.
+    ``details``: ``url, html, rendered_html, http_status, content_type`` of fetched pages, with ``final_url`` and ``n_redirects`` where
+    fetches were followed (see ``redirects.followed``), so that those that end at the index or elsewhere are told; ``catalog``: the
+    sources' names (see ``records.assembled``); ``existing``: stored items by ``id``, with the columns of new ones; ``dom_links``
+    of rendered index pages (see :func:`discover`). A view is complete, and what it lacks may count as missing, if its page was there, gave
+    candidates, and gave no more than ``most``.
     """
     sites = {s.source_id: s.site for s in sources}
     # Kept between the steps, since several parts of the result read them; executors that are lost work theirs out again.
-    candidates = selection.truncated(discover(index_pages, sources).persist(), ["source_id"], [F.col("pos")], most).persist()
+    candidates = selection.truncated(discover(index_pages, sources, dom_links).persist(), ["source_id"], [F.col("pos")], most).persist()
     fetched = candidates.join(details.withColumnRenamed("url", "__url"), F.col("url") == F.col("__url"), "left").drop("__url")
     keys = fetched.withColumn("key", F.concat_ws("|", "source_id", "url"))
 
@@ -94,8 +101,11 @@ def extract(index_pages: DataFrame, details: DataFrame, sources: list[Source], c
 
     static, rendered = read("html", "static"), read("rendered_html", "rendered")
     rows = keys.join(static, F.col("key") == F.col("static_key"), "left").join(rendered, F.col("key") == F.col("rendered_key"), "left")
+    ended = F.lit("inside")
+    if "final_url" in details.columns:
+        ended = F.coalesce(*[F.when((F.col("source_id") == s.source_id) & F.col("final_url").isNotNull(), landed(F.col("final_url"), s.url, s.root, s.prefix, s.canonical_host)) for s in sources], ended)
     no_page = C.fetch_error(
-        F.lit(True), F.when(F.col("http_status").isNull(), "request_error"), F.lit("inside"), F.col("http_status"), F.col("content_type"), F.octet_length("html"), F.trim(F.coalesce("html", F.lit(""))) == ""
+        F.lit(True), F.when(F.col("http_status").isNull(), "request_error"), ended, F.col("http_status"), F.col("content_type"), F.octet_length("html"), F.trim(F.coalesce("html", F.lit(""))) == ""
     )
     error = F.coalesce(no_page, F.col("static_page.error"))
     rows = rows.withColumn("error", error).withColumn("render", C.render_decision(F.lit(render), F.col("error"), F.col("error").isNull()))
@@ -117,5 +127,9 @@ def extract(index_pages: DataFrame, details: DataFrame, sources: list[Source], c
     page_level = empty.join(F.broadcast(catalog.select("source_id", F.col("name").alias("source_name"))), "source_id", "left").select(
         record_id(F.col("source_id"), F.lit("page")).alias("id"), "source_id", "source_name", F.lit("page").alias("record_scope"), F.lit("page_level").alias("extracted_level"), fetched_at.alias("fetched_at")
     )
-    diagnostics = told.select("source_id", "id", F.col("url").alias("canonical_url"), F.col("origin").alias("discovery_method"), "overflow", "error", "render", "conflicts", "final_status", "final_error")
-    return {"diagnostics": diagnostics, "items": items.unionByName(page_level, allowMissingColumns=True)}
+    diagnostics = told.select("source_id", "id", F.col("url").alias("canonical_url"), F.col("origin").alias("discovery_method"), "overflow", "error", "render", "conflicts", "final_status", "final_error", *[c for c in ("final_url", "n_redirects") if c in rows.columns])
+    found = candidates.groupBy(F.col("source_id").alias("__source")).agg(F.count(F.lit(1)).alias("candidate_count"), F.max("overflow").alias("__overflow"))
+    views = index_pages.select("source_id", (F.trim(F.coalesce("html", F.lit(""))) != "").alias("reachable")).join(found, F.col("source_id") == F.col("__source"), "left")
+    complete = view_complete(F.col("reachable"), F.coalesce("candidate_count", F.lit(0)) > 0, F.col("__overflow"), F.lit(False))
+    views = views.select("source_id", "reachable", F.coalesce("candidate_count", F.lit(0)).alias("candidate_count"), complete.alias("complete"))
+    return {"diagnostics": diagnostics, "items": items.unionByName(page_level, allowMissingColumns=True), "views": views}
