@@ -71,26 +71,32 @@ def timeline(log: DataFrame, policy: Policy = Policy(), payload: tuple[str, ...]
     told = compare(F.col("__last"))
     marks = {k: known & F.coalesce(told.pop(k), F.lit(False)) for k in ("changed", "improved", "degraded")}
     rows = rows.withColumns(marks | {k: F.when(known, c) for k, c in told.items()})
-    was_missing = F.col("previous_state").isin("temporarily_missing", "long_absent")
+    events = named_events()
+    return rows.select(
+        "seq", "run_id", "started_at", "record_id", "kind", "state", "previous_state", "streak", F.col("__start.started_at").alias("since"), "changed", "improved",
+        (1 + F.sum(F.col("changed").cast("int")).over(so_far)).cast("long").alias("semantic_version"),
+        (1 + F.sum(F.col("improved").cast("int")).over(so_far)).cast("long").alias("extraction_revision"),
+        ((F.col("kind") == "fail") & (F.col("streak") >= policy.failures_for_attention)).alias("attention"), events.alias("events"), *told, *carry,
+    )
+
+
+def named_events() -> Column:
+    """What an observation tells, in order, from ``kind, state, previous_state, changed, improved, degraded``."""
+    absent = ("temporarily_missing", "long_absent")
+    good, was_absent = F.col("kind") == "ok", F.col("previous_state").isin(*absent)
     entered = F.col("previous_state").isNull() | (F.col("previous_state") != F.col("state"))
     named: list[tuple[str, Column]] = [
         ("item_discovered", F.col("previous_state").isNull()),
-        ("reappeared", F.col("kind").isin("ok", "fail") & was_missing),
+        ("reappeared", F.col("kind").isin("ok", "fail") & was_absent),
         ("detail_fetch_failed", F.col("kind") == "fail"),
         ("detail_fetch_recovered", good & (F.col("previous_state") == "fetch_failed")),
         ("semantic_content_changed", F.col("changed")),
         ("extraction_improved", F.col("improved")),
         ("extraction_degraded", F.col("degraded")),
-        ("temporarily_missing", (F.col("state") == "temporarily_missing") & ~was_missing),
+        ("temporarily_missing", (F.col("state") == "temporarily_missing") & ~was_absent),
         ("long_absence_reached", (F.col("state") == "long_absent") & entered),
     ]
-    events = F.array_compact(F.array(*[F.when(on, F.lit(name)) for name, on in named]))
-    return rows.select(
-        "seq", "run_id", "started_at", "record_id", "kind", "state", "previous_state", "streak", F.col("__start.started_at").alias("since"), "changed", "improved",
-        (1 + F.sum(F.col("changed").cast("int")).over(so_far)).cast("long").alias("semantic_version"),
-        (1 + F.sum(F.col("improved").cast("int")).over(so_far)).cast("long").alias("extraction_revision"),
-        ((F.col("kind") == "fail") & (F.col("streak") >= policy.failures_for_attention)).alias("attention"), events.alias("events"), *told, *carry,
-    )
+    return F.array_compact(F.array(*[F.when(on, F.lit(name)) for name, on in named]))
 
 
 def events(timed: DataFrame) -> DataFrame:

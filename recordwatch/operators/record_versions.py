@@ -40,12 +40,16 @@ def compare(last: Column) -> dict[str, Column]:
     }
 
 
-def timeline(log: DataFrame, policy: L.Policy = L.Policy()) -> DataFrame:
-    """The lifecycle's timeline over whole readings, with ``changed_fields, improved_reasons, degraded_reasons, change_evidence`` and the hashes of good readings."""
+def with_hashes(log: DataFrame) -> DataFrame:
+    """``log`` with the hashes of its facts and of how they were read."""
     rounded = F.round("confidence", 4)
-    rows = log.withColumn("semantic_hash", digest(canonical_map(F.col("facts")), 16))
     parts = F.concat_ws("|", canonical_map(F.col("evidence")), F.coalesce("quality", F.lit("")), F.coalesce(rounded.cast("string"), F.lit("")), *[F.coalesce(c, F.lit("")) for c in ("parser_version", "method") if c in log.columns])
-    rows = rows.withColumn("extraction_hash", digest(parts, 16))
+    return log.withColumns({"semantic_hash": digest(canonical_map(F.col("facts")), 16), "extraction_hash": digest(parts, 16)})
+
+
+def timeline(log: DataFrame, policy: L.Policy = L.Policy()) -> DataFrame:
+    """The lifecycle's timeline over whole readings, with ``changed_fields, improved_reasons, degraded_reasons, change_evidence`` and the hashes of good readings."""
+    rows = with_hashes(log)
     both = lambda last: compare(last) | {"previous_semantic_hash": last["semantic_hash"]}
     timed = L.timeline(rows, policy, (*PAYLOAD, "semantic_hash"), both, ("semantic_hash", "extraction_hash"))
     good = F.col("kind") == "ok"

@@ -121,7 +121,7 @@ def extract(
     good = good.withColumn("relevance", word)
     fresh = records.assembled(good, catalog, fetched_at)
     failed = told.filter("final_status = 'reused_previous_success'").select(F.col("id").alias("__id"), F.col("final_error").alias("last_detail_error_type"))
-    reused = existing.join(failed, existing["id"] == failed["__id"]).drop("__id").withColumns({"detail_fetch_status": F.lit("failed_this_run"), "current_run_data_reused": F.lit(True), "seen_in_current_index": F.lit(True)})
+    reused = existing.drop("last_detail_error_type").join(failed, F.col("id") == F.col("__id")).drop("__id").withColumns({"detail_fetch_status": F.lit("failed_this_run"), "current_run_data_reused": F.lit(True), "seen_in_current_index": F.lit(True)})
     items = fresh.withColumn("last_detail_error_type", F.lit(None).cast("string")).unionByName(reused, allowMissingColumns=True)
     empty = index_pages.select("source_id").join(items.select("source_id").distinct(), "source_id", "left_anti")
     page_level = empty.join(F.broadcast(catalog.select("source_id", F.col("name").alias("source_name"))), "source_id", "left").select(
