@@ -6,9 +6,9 @@ import html
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType
 
 #: Every run of Unicode white space (plain \s would leave no-break blanks).
 BLANKS = r"(?U)[\s\x1C-\x1F]+"
@@ -32,6 +32,16 @@ def excerpt(text: Column, limit: int) -> Column:
     return F.when(F.char_length(text) > limit, F.concat(F.rtrim(F.substring(text, 1, limit - 1)), F.lit("…"))).otherwise(text)
 
 
+def line_excerpt(text: Column, limit: int) -> Column:
+    """An excerpt on one line: line ends as blanks, none at the ends; null becomes empty."""
+    return excerpt(F.trim(F.translate(F.coalesce(text, F.lit("")), "\r\n", "  ")), limit)
+
+
+def cell_excerpt(text: Column, limit: int) -> Column:
+    """An excerpt for a Markdown table, cut after it is escaped."""
+    return excerpt(table_cell(text), limit)
+
+
 def semantic_text_ascii(text: Column) -> Column:
     """Semantic normal form of texts without entities, where only typographic characters and blanks matter."""
     return collapse(F.translate(text, "".join(TYPOGRAPHIC), "".join(TYPOGRAPHIC.values())))
@@ -58,6 +68,18 @@ def is_empty(value: Column) -> Column:
     return value.isNull() | (value.cast("string") == "")
 
 
+def is_empty_of(value: Column, kind: DataType) -> Column:
+    """The same for a value of any kind: lists and mappings without entries are empty too, a number never is."""
+    if isinstance(kind, (ArrayType, MapType)):
+        return value.isNull() | (F.size(value) == 0)
+    return is_empty(value) if isinstance(kind, StringType) else value.isNull()
+
+
+def n_filled(df: DataFrame, columns: list[str]) -> Column:
+    """How many of a table's ``columns``, of whatever kind, are not empty."""
+    return sum((F.when(is_empty_of(F.col(c), df.schema[c].dataType), 0).otherwise(1) for c in columns), F.lit(0))
+
+
 def completeness(*values: Column) -> Column:
     """How many of the values are not empty."""
     return sum((F.when(is_empty(v), 0).otherwise(1) for v in values), F.lit(0))

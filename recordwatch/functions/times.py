@@ -11,6 +11,18 @@ def parse(text: Column) -> Column:
     return F.trim(text).try_cast("timestamp")
 
 
+# Fields that may tell when a record was, in order; those that hold no times are asked too and never tell any.
+TIME_FIELDS = (
+    "last_seen_at", "updated_at", "fetched_at", "collected_at", "generated_at", "first_seen_at", "detail_fetch_status", "last_detail_attempt_at", "last_detail_success_at", "last_detail_error_type", "current_run_data_reused",
+    "detail_parse_method", "semantic_content_hash", "extraction_change_status", "change_reason",
+)
+
+
+def record_time(columns: list[str]) -> Column:
+    """The time of a record: the first of ``TIME_FIELDS`` that can be read, of those that the table has."""
+    return first_parsable(*[F.col(c).cast("string") for c in TIME_FIELDS if c in columns], F.lit(None).cast("string"))
+
+
 def first_parsable(*texts: Column) -> Column:
     return F.coalesce(*[parse(t) for t in texts])
 

@@ -31,6 +31,43 @@ def quality_summary(items: DataFrame, source: str, confidence: str, links: str,
     )
 
 
+# Levels and qualities from the least up.
+LEVELS, QUALITIES = ("unknown", "page_level", "link_level", "item_level"), ("unknown", "low", "medium", "high")
+
+
+def quality_report(items: DataFrame, source: str = "source_id") -> DataFrame:
+    """Per source: dominant level and quality, mean confidence (null as 0), links, histograms, and for its item rows the share that have each field; shares to two digits.
+
+    ``items``: ``extracted_level, source_quality, extraction_confidence, candidate_links, record_scope, title, published_at, evidence,
+    field_evidence``. Rows are summed by source, level and quality before they are summed by source, so no source is gathered.
+    """
+    filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
+    named = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("unknown"))
+    item = F.coalesce(F.col("record_scope") == "item", F.lit(False))
+    proof = lambda k: F.coalesce(F.element_at("field_evidence", k), F.lit("")) != ""
+    has = {"title": filled("title"), "date": filled("published_at"), "evidence": filled("evidence"), "field_evidence": proof("title") & proof("evidence")}
+    links = F.when(F.col("candidate_links").isNull(), 0).otherwise(F.size("candidate_links"))
+    parts = items.groupBy(F.col(source).alias("source"), named("extracted_level").alias("level"), named("source_quality").alias("quality")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.col("extraction_confidence").cast("decimal(20,10)"), F.lit(0))).alias("confidence"), F.sum(links).alias("links"), F.count_if(item).alias("n_items"),
+        F.count_if(F.col("record_scope") == "page").alias("n_pages"), *[F.count_if(item & on).alias(f"n_{k}") for k, on in has.items()],
+    )
+
+    def counted(of: str, order: tuple[str, ...]) -> DataFrame:
+        sums = parts.groupBy("source", of).agg(F.sum("n").alias("n"))
+        place = F.coalesce(F.array_position(F.array(*map(F.lit, order)), F.col(of)), F.lit(0))
+        return sums.groupBy("source").agg(F.max_by(of, F.struct("n", place.alias("r"), F.col(of).alias("v"))).alias(f"dominant_{of}"), F.map_from_entries(F.array_sort(F.collect_list(F.struct(of, "n")))).alias(f"{of}_counts"))
+
+    share = lambda k: F.round(F.try_divide(F.sum(f"n_{k}"), F.sum("n_items")), 2).alias(f"{k}_completeness")
+    whole = parts.groupBy("source").agg(
+        F.round(F.sum("confidence") / F.sum("n"), 2).cast("double").alias("average_confidence"), F.sum("links").alias("candidate_links_total"), F.sum("n_items").alias("item_level_count"), F.sum("n_pages").alias("page_level_count"), *[share(k) for k in has],
+    )
+    same = lambda a, b: a["source"].eqNullSafe(b["__source"])
+    for of, order in (("level", LEVELS), ("quality", QUALITIES)):
+        more = counted(of, order).withColumnRenamed("source", "__source")
+        whole = whole.join(more, same(whole, more), "left").drop("__source")
+    return whole.withColumnRenamed("source", source)
+
+
 def change_reading(new: Column, changed: Column, baseline: Column, page_changed: Column, unchanged: Column) -> Column:
     """One word for what a source's counts mean."""
     return (

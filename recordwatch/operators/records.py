@@ -87,3 +87,20 @@ def assembled(parsed: DataFrame, sources: DataFrame, fetched_at: Column) -> Data
         facts.alias("semantic_content_hash"), facts.alias("content_hash"), extraction.alias("extraction_hash"), F.col("text_hash").alias("detail_page_hash"),
         fetched_at.alias("fetched_at"), fetched_at.alias("last_detail_success_at"), F.lit(True).alias("seen_in_current_index"), F.lit("success").alias("detail_fetch_status"), F.lit(False).alias("current_run_data_reused"),
     )
+
+
+#: What an item takes from its record's state, under the same names.
+STATE_FIELDS = (
+    "lifecycle_state", "semantic_version", "extraction_revision", "last_semantic_change_at", "last_extraction_improvement_at", "missing_since", "consecutive_missing_observations", "consecutive_detail_failures",
+    "last_lifecycle_event", "attention_required",
+)
+
+
+def with_state(items: DataFrame, states: DataFrame) -> DataFrame:
+    """Items with the fields of their record's state over their own, null where the state has none, and its hashes; items without a state stay as they are."""
+    held = states.select(F.col("record_id").alias("__id"), F.struct(*[(F.col(c) if c in states.columns else F.lit(None)).alias(c) for c in (*STATE_FIELDS, "current_semantic_hash", "current_extraction_hash")]).alias("__state"))
+    joined = items.join(held, items["id"] == held["__id"], "left")
+    from_state = {c: F.col(f"__state.{c}") for c in STATE_FIELDS} | {"semantic_content_hash": F.col("__state.current_semantic_hash"), "content_hash": F.col("__state.current_semantic_hash"), "extraction_hash": F.col("__state.current_extraction_hash")}
+    has = F.col("__id").isNotNull()
+    own = lambda c: F.col(c) if c in items.columns else F.lit(None)
+    return joined.withColumns({c: F.when(has, v).otherwise(own(c)) for c, v in from_state.items()}).drop("__id", "__state")
