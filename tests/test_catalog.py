@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from recordwatch.plans import catalog, item_queries, open_queries, stateful, stored_pages  # noqa: F401
+from recordwatch.plans import catalog, item_queries, monitoring_queries, open_queries, stateful, stored_pages  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
