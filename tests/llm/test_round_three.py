@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql.functions import lit
 
 from recordwatch.llm import license_scan, packing
 
@@ -67,3 +68,41 @@ def test_work_of_packing_does_not_grow_with_the_pieces():
         rows[times] = len(planned.rows)
         assert planned.bound <= planned.sequences <= planned.bound * 1.01 + 2
     assert rows[10_000] <= 3 * rows[100] and 500 * rows[10_000] < 10_000 * sum(histogram.values())
+
+
+def put_tables(spark, folder, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("__host", lit("x")).withColumn("fp", lit(1)).withColumn("score", lit(2.0))
+    docs.coalesce(1).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    labels = [(i, int(i % 2 == 0), int(i % 5 == 0)) for i, *_ in rows if i is not None]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    return docs
+
+
+def test_pipeline_of_odd_rows_and_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(None, None, None, None, None), (None, "quiet evening by the river", "en", None, 5), (None, "quiet evening by the river", "en", None, 5), (1, "", None, "s", 0), (2, "good words stay", "en", "s", 3), (2, "good words stay", "en", "s", 3), (3, "é \U0001f600", None, "s", 1)]
+    docs = put_tables(spark, tmp_path / "odd", rows)
+    table = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        table = stage(spark, table, str(tmp_path / "odd"))
+        assert table.columns == docs.columns
+        table = spark.createDataFrame(table.collect(), docs.schema)
+    packed = corpus_pipeline.run(spark, str(tmp_path / "odd"), str(tmp_path / "run"))
+    assert packed.count() == table.count() <= len({(r[0], r[1] or "") for r in rows})
+    put_tables(spark, tmp_path / "none", [])
+    assert corpus_pipeline.run(spark, str(tmp_path / "none"), str(tmp_path / "run")).collect() == []
+
+
+def test_pipeline_results_are_kept_by_what_they_were_made_of(spark, tmp_path):
+    import corpus_pipeline
+
+    words = ["river", "stone", "bread", "window", "letters", "garden"]
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choices(words, k=9)) + "."
+    put_tables(spark, tmp_path / "docs", [(k, text(), "en", "s", 1) for k in range(12)])
+    first = corpus_pipeline.run(spark, str(tmp_path / "docs"), str(tmp_path / "run"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "docs"), str(tmp_path / "run")).inputFiles() == first.inputFiles()
+    put_tables(spark, tmp_path / "docs", [(k, text(), "en", "s", 1) for k in range(100, 120)])
+    second = corpus_pipeline.run(spark, str(tmp_path / "docs"), str(tmp_path / "run"))
+    assert not set(second.inputFiles()) & set(first.inputFiles()) and all(r.doc_id >= 100 for r in second.collect())
