@@ -2,8 +2,8 @@
 
 Two words that differ by one inserted, deleted or replaced code point share one of the two segments of either: with the
 edit in the second half the other word begins with the first, with the edit in the first half it ends with the second.
-Every word's two segments go to automaton shards, by the kind of segment and its outer two code points; every word is
-scanned by the two shards where segments of its neighbours can be. Aho-Corasick automata name the segments in a word;
+Every word's two segments go to automaton shards, by the kind of segment and its outer ``OUTER`` code points (all of a shorter
+one's); every word is scanned by the shards where segments of words as long within one can be, two to four. Aho-Corasick automata name the segments in a word;
 those count that stand at its beginning (or end) and whose word is as long within one; the rest of both words is compared
 in blocks of codes. A pair that both segments find counts by the first. Shards with many segments or many words to scan
 are split both ways, so memory is bounded by a split; only sums and the best neighbour leave a shard.
@@ -30,10 +30,10 @@ from recordwatch.llm.common import cut, kept, text_or_empty
 
 LETTER = r"[A-Za-zÀ-ÿ]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Code points by which segments are dealt to shards; the shortest segment of a word of ``SHORTEST`` has as many.
-OUTER, SHORTEST = 2, 4
+#: Code points at most by which segments are dealt to shards; words below ``SHORTEST`` have segments that are no use.
+OUTER, SHORTEST = 4, 4
 #: Segments and scanned words of a split of a shard; words scanned before they are compared; cells compared at a time.
-SEGMENTS, SCANNED, BATCH, CELLS = 50_000, 200_000, 20_000, 4_000_000
+SEGMENTS, SCANNED, BATCH, CELLS = 20_000, 40_000, 20_000, 4_000_000
 FOUND = "word string, n_near long, best_n long, best string"
 
 
@@ -162,15 +162,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_words(words: DataFrame, segments: int = SEGMENTS, scanned: int = SCANNED) -> DataFrame:
     """``word, n_near, best_n, best`` for the words of ``words`` (distinct, ``SHORTEST`` code points at least) that have near ones: how many, and the one of largest n, first in order of code points."""
-    outer = F.array(F.struct(F.lit(False).alias("tail"), F.left("word", F.lit(OUTER)).alias("outer")), F.struct(F.lit(True).alias("tail"), F.right("word", F.lit(OUTER)).alias("outer")))
-    sides = words.select("word", "n", F.explode(outer).alias("of")).select("word", "n", "of.tail", "of.outer")
-    cells = sides.groupBy("tail", "outer").agg(F.count(F.lit(1)).alias("size"))
-    cells = cells.select("tail", "outer", F.ceil(F.col("size") / segments).cast("int").alias("rows"), F.ceil(F.col("size") / scanned).cast("int").alias("cols"))
-    dealt = sides.join(cells, ["tail", "outer"])
+    size = F.length("word")
+    head = lambda of: F.left("word", F.least(F.lit(OUTER), F.floor(of / 2).cast("int")))
+    tail = lambda of: F.right("word", F.least(F.lit(OUTER), (of - F.floor(of / 2)).cast("int")))
+    sides = lambda of: F.array(F.struct(F.lit(False).alias("tail"), head(of).alias("outer")), F.struct(F.lit(True).alias("tail"), tail(of).alias("outer")))
+    own = words.select("word", "n", F.explode(sides(size)).alias("of")).select("word", "n", "of.tail", "of.outer")
+    sought = words.select("word", "n", F.explode(F.array_distinct(F.concat(*[sides(size + more) for more in (-1, 0, 1)]))).alias("of")).select("word", "n", "of.tail", "of.outer")
+    splits = lambda of, most, name: of.groupBy("tail", "outer").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
+    cells = splits(own, segments, "rows").join(splits(sought, scanned, "cols"), ["tail", "outer"])
     h = lambda n: F.pmod(F.xxhash64("word"), n).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    held = dealt.withColumn("row", h(F.col("rows"))).withColumn("col", all_of("cols")).withColumn("scan", F.lit(False))
-    asked = dealt.withColumn("col", h(F.col("cols"))).withColumn("row", all_of("rows")).withColumn("scan", F.lit(True))
+    held = own.join(cells, ["tail", "outer"]).withColumn("row", h(F.col("rows"))).withColumn("col", all_of("cols")).withColumn("scan", F.lit(False))
+    asked = sought.join(cells, ["tail", "outer"]).withColumn("col", h(F.col("cols"))).withColumn("row", all_of("rows")).withColumn("scan", F.lit(True))
     both = held.unionByName(asked).withColumn("shard", F.concat_ws("|", F.col("tail").cast("string"), "row", "col", "outer"))
     both = both.select("shard", "scan", "tail", "word", "n").repartition("shard").sortWithinPartitions("shard", "scan")
     found = both.mapInArrow(_scan, FOUND)
