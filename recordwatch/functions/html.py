@@ -471,7 +471,3 @@ def title_native(html: Column) -> Column:
     """Title by regular expression, for pages without markup in it; stays in the JVM."""
     found = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
     return F.trim(F.regexp_replace(found, r"\s+", " "))
-
-
-def readable(page_text: str) -> bool:
-    return not re.search("|".join(CHALLENGES), page_text.lower())

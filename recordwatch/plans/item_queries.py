@@ -7,13 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordwatch.functions import classify as C
 from recordwatch.functions import html as HT
 from recordwatch.functions import text as T
 from recordwatch.functions import times as TM
 from recordwatch.operators import aggregates as A
 from recordwatch.operators import records as RC
 from recordwatch.plans.catalog import query, table
-from recordwatch.sources import shared
+from recordwatch.sources import files, shared
 
 
 @query("""
@@ -89,7 +90,7 @@ def items_with_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs from pages to committed tables; the second finds some pages told anew, some gone and some no longer listed."""
+    """Two runs from pages to committed tables; the second finds some pages told anew, some gone and some no longer listed."""
     from recordwatch.plans import extraction as X
     from recordwatch.plans import whole_run as W
     from recordwatch.sources.store import Store
@@ -103,6 +104,32 @@ def whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetched = lambda html, status: pages.select(F.concat(F.lit("https://"), "source_id", F.lit(".invalid"), "place").alias("url"), html.alias("html"), F.lit(None).cast("string").alias("rendered_html"), status.alias("http_status"), F.lit("text/html").alias("content_type"))
     store = Store(spark, shared.folder(spark, "store"))
     W.run(store, "r1", datetime(2026, 1, 1), listed(pages), fetched(F.col("html"), F.lit(200)), sources, catalog, most=1_000_000)
+    # Rendered, the index shows every other of the items that it doesn't list.
+    dom = pages.filter(k % 10 == 0).select("source_id", k.cast("int").alias("pos"), F.col("place").alias("href"), F.lit("Rendered").alias("heading"), F.lit("Read more").alias("text"), F.lit("").alias("context"))
     anew = F.when(k % 7 == 0, F.concat(F.lit("<h1>Told anew</h1>"), "html")).otherwise(F.col("html"))
-    W.run(store, "r2", datetime(2026, 1, 8), listed(pages.filter(k % 5 > 0)), fetched(anew, F.when(k % 13 == 0, 404).otherwise(200)), sources, catalog, most=1_000_000)
+    W.run(store, "r2", datetime(2026, 1, 8), listed(pages.filter(k % 5 > 0)), fetched(anew, F.when(k % 13 == 0, 404).otherwise(200)), sources, catalog, most=1_000_000, dom_links=dom)
     return store.read("events").select("run_id", "record_id", "event_type", "state", "attention")
+
+
+@query(r"""
+    WITH o AS (SELECT o_custkey AS doc, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::BIGINT AS record, o_orderkey AS k, o_orderstatus AS s FROM orders)
+    SELECT doc, record, 'number' AS key, k::VARCHAR AS value FROM o UNION ALL SELECT doc, record, 'status', s || ': told' FROM o WHERE k % 3 > 0 UNION ALL SELECT doc, record, 'note', '' FROM o WHERE k % 5 = 0
+""")
+def markdown_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read back from the lines of Markdown reports; headings, prose and lines before the first record are none."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), k.alias("k"), F.concat_ws("\n", F.concat(F.lit("### Order "), k), F.lit("Some prose: not a value"), F.concat(F.lit("- number: "), k), F.when(k % 3 > 0, F.concat(F.lit("* status： "), "o_orderstatus", F.lit(": told"))), F.when(k % 5 == 0, "-  note :  ")).alias("part"))
+    lines = o.select("doc", F.posexplode(F.split("part", "\n")).alias("n", "line"), "k").select("doc", (F.col("k") * 10 + F.col("n")).alias("pos"), "line")
+    before = o.select("doc").distinct().select("doc", F.lit(-1).cast("long").alias("pos"), F.lit("- title: before any record").alias("line"))
+    return files.markdown_records(lines.unionByName(before)).select("doc", "record", "key", "value")
+
+
+@query(r"""
+    SELECT c_custkey, c_custkey % 4 IN (0, 3) AS email_ok, CASE c_custkey % 3 WHEN 0 THEN 465 WHEN 1 THEN 587 END::BIGINT AS port, c_custkey % 3 <> 2 AS port_ok FROM customer
+""")
+def contact_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """addresses and ports of a mail setting, and whether they can be used."""
+    k = F.col("c_custkey")
+    mail = F.when(k % 4 == 0, F.concat(F.lit("c"), k, F.lit("@example.invalid"))).when(k % 4 == 1, "no address").when(k % 4 == 2, F.concat(F.lit("a b@"), k, F.lit(".invalid"))).otherwise("x@y.z")
+    port = F.when(k % 3 == 0, " 465 ").when(k % 3 == 1, "587").otherwise("none")
+    return table(spark, sf_dir, "customer").select("c_custkey", C.valid_email(mail).alias("email_ok"), T.optional_number(F.trim(port)).alias("port"), C.valid_port(F.trim(port)).alias("port_ok"))
