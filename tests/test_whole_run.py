@@ -18,6 +18,14 @@ TEXT = "A made-up paragraph with enough words in it to serve as evidence of what
 SITES = [X.Source("s", "https://www.a.invalid/news", "a.invalid", "/news/", "a.invalid")]
 
 
+@pytest.fixture(autouse=True)
+def without_compiling(spark):
+    """Plans this large take longer to compile than these few rows take to go through them."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+
+
 @pytest.fixture
 def catalog(spark):
     return spark.createDataFrame([("s", "S", "official", "a", "en")], "source_id string, name string, source_type string, reliability_tier string, language string")
@@ -46,11 +54,12 @@ def test_runs_from_pages_to_one_commit(spark, tmp_path, catalog, monkeypatch):
     assert seen == {"a": (True, "One, told anew", "success"), "b": (True, "Two", "failed_this_run"), "c": (False, "Three", "success")}
 
     before = store.current()
-    assert not go(2, "ab", {"a": "Other"}) and not go(1.5, "ab", {"a": "Other"}) and not go(3, "ab", {"a": "Other"}, dry_run=True)
+    assert not go(2, "ab", {"a": "Other"}) and not go(1.5, "ab", {"a": "Other"})
     with monkeypatch.context() as m:
         m.setattr(W, "STATES", ("active",))
+        broken = {name: store.read(name) for name in ("lives", "versions", "events", "items", "runs")}
         with pytest.raises(ValueError, match="states_known"):
-            go(3, "ab", {"a": "Other", "b": "Two"})
+            store.commit("r3", broken | {"rules": W._rules(broken, "r2")}, W._must_hold)
     assert store.current() == before
 
     # More candidates than are taken: what isn't seen doesn't count as missing, what is seen counts.
@@ -68,7 +77,7 @@ def test_runs_from_pages_to_one_commit(spark, tmp_path, catalog, monkeypatch):
 def test_a_run_at_a_time_against_the_whole_log(spark):
     rng = random.Random(4)
     rows = []
-    for n in range(9):
+    for n in range(6):
         for k in "vwxyz":
             if rng.random() < 0.85:
                 facts = {"title": rng.choice(["a", "b"]), "summary": rng.choice(["", "short", "a short text"])} | ({"f.x": "1"} if rng.random() < 0.5 else {})
@@ -79,10 +88,10 @@ def test_a_run_at_a_time_against_the_whole_log(spark):
     listed = lambda df: sorted(str(r) for r in df.select(*shown).collect())
     expected = listed(RV.timeline(log, policy))
     lives, got = spark.createDataFrame([], LS.LIVES), []
-    for n in range(9):
+    for n in range(6):
         done = LS.step(lives, log.filter(F.col("seq") == n), policy)
         got += listed(done.timed)
         lives = spark.createDataFrame(done.lives.collect(), LS.LIVES)
-    assert sorted(got) == expected and len(expected) > 20
-    again = LS.step(lives, log.filter("seq = 8"), policy)
+    assert sorted(got) == expected and len(expected) > 12
+    again = LS.step(lives, log.filter("seq = 5"), policy)
     assert again.timed.collect() == [] and sorted(map(str, again.lives.collect())) == sorted(map(str, lives.collect()))
