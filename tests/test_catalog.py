@@ -2,6 +2,8 @@
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pandas as pd
@@ -50,3 +52,12 @@ def test_entry_without_the_subpackage(spark):
     assert set(catalog.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_entry_with_the_subpackage_blocked():
+    """What the entry gives where the training-data operators can't be imported."""
+    code = "import sys; sys.modules['recordwatch.llm'] = sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    queries, oracles = (line.split() for line in done.stdout.strip().split("\n")[-2:])
+    assert queries == sorted(catalog.QUERIES) and oracles == sorted(catalog.ORACLE_SQL)
