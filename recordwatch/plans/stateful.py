@@ -11,6 +11,7 @@ from recordwatch.operators import alert_state as AS
 from recordwatch.operators import lifecycle as L
 from recordwatch.operators import record_versions as RV
 from recordwatch.plans.catalog import _LOG_SQL, _POLICY, query, table
+from recordwatch.sources.shared import settled
 from recordwatch.streaming import record_lives as RL
 
 # Evaluations are batches of forty events; every fifth is repeated by its run, and some runs start too early to count.
@@ -103,12 +104,12 @@ def alert_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY i DESC) AS last FROM m) WHERE last = 1 AND (rank IS NOT NULL OR count > 0)""")
 def alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open conditions and counters after all runs, handed over once on the way: the second part starts from the table of the first."""
-    readings = _readings(spark, sf_dir)
+    readings = settled(_readings(spark, sf_dir))
     half = F.lit(50)
     before, after = readings.filter(F.col("seq") <= half), readings.filter(F.col("seq") > half)
-    handed = AS.evaluate(before, policy=_ALERTS).states
+    handed = settled(AS.evaluate(before, policy=_ALERTS, stored=True).states)
     last = AS.in_time(before).filter(~F.col("late")).agg(F.max_by("run_id", "seq"), F.max_by("started_at", "seq")).first()
-    states = AS.evaluate(after, handed, None if last[0] is None else (last[0], last[1]), _ALERTS).states
+    states = AS.evaluate(after, handed, None if last[0] is None else (last[0], last[1]), _ALERTS, stored=True).states
     return states.select("alert_key", "count", "severity_rank", "last_run_id", "occurrence_count", "consecutive", F.date_format("cooldown_until", "yyyy-MM-dd HH").alias("cooldown_until"))
 
 

@@ -184,3 +184,19 @@ def test_event_ids_are_kept_once_in_the_order_of_the_first(spark):
 def test_nothing_to_evaluate(spark):
     none = AS.unreachable(sources(spark, [("a", 0, True, True, 5)])).limit(0)
     assert told(AS.evaluate(none)) == [] and AS.evaluate(none).states.collect() == []
+
+
+def test_values_of_a_column_are_read_at_once_and_whole():
+    import pyarrow as pa
+
+    great = (1 << 53) + 1  # no float holds it
+    assert AS._values(pa.array([great, None, 3])) == [great, None, 3] and AS._values(pa.array([great])) == [great]
+    assert AS._values(pa.array([True, None])) == [True, None] and AS._values(pa.array(["a", None])) == ["a", None]
+
+
+def test_stored_readings_are_not_written_again(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(AS, "settled", lambda df, whole=AS.settled: written.append(1) or whole(df))
+    rows = AS.unreachable(sources(spark, [("a", 0, False, True, 5), ("b", 24, False, True, 5)])).localCheckpoint()
+    first, n = told(AS.evaluate(rows)), len(written)
+    assert told(AS.evaluate(rows, stored=True)) == first and len(written) - n == n - 1
