@@ -13,3 +13,17 @@ def test_long_pages_are_read_to_the_end(spark):
     assert [r.a for r in blocks] == [f"link number {k} inside of main" for k in range(2001)]
     found = html.page_features(pages, "page_id").first()
     assert (found.n_links, found.n_blocks) == (4002, 2001)
+
+
+def test_results_of_a_batch_are_handed_on_a_few_pages_at_a_time(spark):
+    import pyarrow as pa
+
+    from recordwatch.functions import html as HT
+
+    parts = [b.num_rows for b in HT.few_at_a_time(iter([pa.RecordBatch.from_pydict({"k": list(range(150))}), pa.RecordBatch.from_pydict({"k": [1]})]))]
+    assert parts == [64, 64, 22, 1] and max(parts) <= HT.AT_ONCE
+    pages = spark.range(0, 150, 1, 1).selectExpr("id", "if(id % 2 = 0, concat('<h1>Title ', id, '</h1><p>a paragraph of more than twenty characters</p>'), null) AS html")
+    rows = HT.page_features(pages, "id").select("id", "title", "sources").collect()
+    assert [r.id for r in rows] == list(range(150)) and all(r.title == (f"Title {r.id}" if r.id % 2 == 0 else "") for r in rows)
+    assert rows[0].sources["title"] == "static_h1" and rows[1].sources == {}
+    assert [r.pos for r in HT.page_rows(pages, "id", "blocks").collect()] == [0] * 75
