@@ -9,33 +9,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from recordwatch.sources.shared import settled
+
 #: Levels that are opened; an object below them stands as JSON.
 LEVELS = 32
+#: Levels that are opened in a pass over the rows.
+AT_ONCE = 4
 
 
 def leaves(df: DataFrame, value: str, keys: list[str], levels: int = LEVELS) -> DataFrame:
     """``keys, path, text`` of every leaf of the VARIANT column ``value``, with dotted paths; lists are leaves and so are objects without fields.
 
-    Each level of objects is opened by a lateral join; it ends with the deepest level that there is. A value that is no object is
-    a leaf with an empty path; a null column has none. Texts stand as they are, null leaves as null, all else as JSON.
+    Objects are opened ``AT_ONCE`` levels in a pass, in which leaves stand as they are; what is made is written once, and another
+    pass goes on from the objects that are left, if there are any. A value that is no object is a leaf with an empty path; a null
+    column has none. Texts stand as they are, null leaves as null, all else as JSON.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.lit("").alias("path"), F.col(value).alias("__v"))
     kind = F.expr("schema_of_variant(__v)")
-    opened = kind.startswith("OBJECT<") & (kind != "OBJECT<>")
     text = F.when(kind == "STRING", F.try_variant_get(F.col("__v"), "$", "string")).when(kind != "VOID", F.to_json("__v"))
+    fields = F.try_variant_get(F.col("__v"), "$", "map<string,variant>")
     top = F.col("path") == ""
     out = None
-    for level in range(levels + 1):
-        objects = rows.filter(opened)
-        last = level == levels or objects.isEmpty()
+    for level in range(0, max(levels, 1), AT_ONCE):
+        for _ in range(min(AT_ONCE, levels - level)):
+            inner = rows.select(*keys, "path", "__v", F.explode_outer(fields).alias("__k", "__w"))
+            leaf = F.col("__k").isNull()
+            rows = inner.select(*keys, F.when(leaf, F.col("path")).when(top, F.col("__k")).otherwise(F.concat("path", F.lit("."), "__k")).alias("path"), F.when(leaf, F.col("__v")).otherwise(F.col("__w")).alias("__v"))
         # An empty object at the top has no fields to tell.
-        told = rows.filter((F.lit(True) if last else ~opened) & ~(top & (kind == "OBJECT<>"))).select(*keys, "path", text.alias("text"))
-        out = told if out is None else out.unionByName(told)
-        if last:
-            return out
-        fields = df.sparkSession.tvf.variant_explode(F.col("__v").outer())
-        inner = objects.lateralJoin(fields).select(*keys, F.when(top, F.col("key")).otherwise(F.concat("path", F.lit("."), "key")).alias("path"), F.col("value").alias("__w"))
-        rows = inner.withColumnRenamed("__w", "__v")
+        size = F.coalesce(F.size(fields), F.lit(-1))
+        told = rows.select("*", size.alias("__n")).filter(~(top & (F.col("__n") == 0)))
+        left = (F.col("__n") > 0) & F.lit(level + AT_ONCE < levels)
+        made = settled(told.select(*keys, "path", F.when(~left, text).alias("text"), F.when(left, F.col("__v")).alias("__v")))
+        part = made.filter("__v is null").select(*keys, "path", "text")
+        out = part if out is None else out.unionByName(part)
+        rows = made.filter("__v is not null").select(*keys, "path", "__v")
+        if rows.isEmpty():
+            break
     return out
 
 

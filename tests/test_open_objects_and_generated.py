@@ -102,3 +102,24 @@ def test_records_may_lack_columns(spark, columns):
     outputs = spark.createDataFrame([("x", json.dumps({**GOOD, "overall_summary": G.Phrases().nothing_new}))], "output_id string, raw string")
     records = spark.createDataFrame([("x", "r1", "https://a.invalid/1")], "output_id string, id string, canonical_url string")
     assert G.broken_rules(outputs, records.select(*columns)).collect() == []
+
+
+def test_rows_are_read_once_for_four_levels_and_deeper_objects_again(spark, monkeypatch):
+    from recordwatch.functions import open_objects as OO
+
+    passes, read = [], spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    monkeypatch.setattr(OO, "settled", lambda df, whole=OO.settled: passes.append(1) or whole(df))
+    deep = '{"a": {"b": {"c": {"d": {"e": {"f": 1, "g": {}}}}}}, "h": null, "i": [1, {"z": {}}]}'
+    rows = [(1, deep), (2, '{"a": {"b": "x"}}'), (3, "{}"), (4, "7"), (5, None)]
+    df = spark.createDataFrame(rows, "id long, raw string").withColumn("v", F.try_parse_json(counted.asNondeterministic()("raw")))
+    told = {(r.id, r.path, r.text) for r in OO.leaves(df, "v", ["id"]).collect()}
+    assert told == {(1, "a.b.c.d.e.f", "1"), (1, "a.b.c.d.e.g", "{}"), (1, "h", None), (1, "i", '[1,{"z":{}}]'), (2, "a.b", "x"), (4, "", "7")}
+    assert len(passes) == 2 and read.value <= 2 * len(rows)
+    cut = {(r.path, r.text) for r in OO.leaves(spark.createDataFrame(rows[:1], "id long, raw string").withColumn("v", F.try_parse_json("raw")), "v", ["id"], 5).collect()}
+    assert ("a.b.c.d.e", '{"f":1,"g":{}}') in cut and len(cut) == 3
