@@ -101,3 +101,11 @@ def test_events_sent_again_are_told_once(spark, tmp_path):
     stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
     got = RL.run_to_end(RL.events_once(stream, "10 days"), str(tmp_path / "kept"))
     assert sorted(r.event_id for r in got.collect()) == ["e1", "e2", "e3"]
+
+
+def test_version_history_works_out_the_timeline_once(spark):
+    from recordwatch.plans import stateful
+
+    found = stateful.version_history(spark, "/root/testdata/sf0.001")
+    assert not [f for f in found.inputFiles() if "events.parquet" in f]
+    assert found.count() > 0 and found.select("version_id").distinct().count() == found.count()
