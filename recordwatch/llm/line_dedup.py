@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from recordwatch.llm import line_edits
 from recordwatch.llm import simhash_native as S
-from recordwatch.llm.common import cut, kept, text_or_empty
+from recordwatch.llm.common import cut, kept, release, text_or_empty
 from recordwatch.llm.components import connected
 
 RADIUS, SIMILARITY = 3, 0.8
@@ -142,6 +142,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     if radius is None:
         stored = stored_lines(docs, id_col, text_col)
+        release(docs.sparkSession)
         lines = stored.filter("body is not null").select("rid", "h1", "h2", "body")
         places = stored.filter("pos is not null").select("h1", "h2", "id", "row", "pos")
         groups = kept(lines.select("rid", "h1", "h2").join(line_edits.line_groups(lines, similarity), "rid").drop("rid"))

@@ -1,10 +1,9 @@
 """Groups of lines by edit similarity alone: no pair of lines that is similar enough is missed.
 
-An edit of a word changes at most k of a line's runs of k words, so a line loses at most ``lost`` of its runs to any line
-that is similar enough, and keeps at least one. In any order of all runs, the first one that both lines have is therefore
-among the first ``lost + 1`` of each: these are a line's keys, and similar lines share a key. The order puts runs that a
-sample shows to be common last; it decides the cost, never the result. Runs have three words, in lines below
-``LONG`` words two; lines of lengths that can be similar to both kinds have keys of both.
+An edit of a word changes at most two of a line's pairs of neighbouring words, so a line loses at most ``lost`` of its pairs
+to any line that is similar enough, and keeps at least one. In any order of all pairs, the first one that both lines have is
+therefore among the first ``lost + 1`` of each: these are a line's keys, and similar lines share a key. The order begins with
+pairs whose words a sample shows to be rare; it decides the cost, never the result.
 
 Lines that share a key are verified by their edits: every line is compared with two lines of each of its keys first,
 linked lines become groups, and then all lines of a key that are of different groups are compared. An edit changes at
@@ -19,19 +18,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordwatch.llm.common import dropped, kept, let, release
+from recordwatch.llm.common import dropped, kept, release
 from recordwatch.llm.components import connected
 
-#: Lines of so many words or more have keys of three words.
-LONG = 12
-#: One line in so many is counted, the count that makes a run common, and how many common ones are told apart.
-SAMPLE, COMMON, MOST_COMMON = 32, 3, 10_000
-#: Below this a pair of similar lines need not have a run of three words in common.
+#: One line in so many is counted, by classes of words; the rank of a class that is counted as often as ``COMMON`` is the number of binary digits of its count.
+SAMPLE, COMMON, CLASSES, MOST_RANK = 32, 2, 1 << 16, 31
+#: Words in a key, and the bits of a key below its rank.
+SPAN, BELOW = 2, 56
+#: Below this a pair of similar lines need not have two neighbouring words in common.
 LEAST_SIMILARITY = 0.8
-PASSES = 16
+PASSES = 8
 #: Parts of 64 classes each by which pairs are told apart before their texts are fetched.
 FINE = 4
-LATE = 1 << 62
 MARKS = ["rid", "n", "odd0", "odd1"]
 
 
@@ -41,36 +39,24 @@ def lost(n: Column, span: int, similarity: float) -> Column:
     return F.greatest(*[edits(n + more) * span - more for more in range(span)]).cast("int")
 
 
-def runs(words: str, span: int) -> Column:
-    """Hashes of the runs of ``span`` of an array of word hashes."""
-    found = let(F.col(words), lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, span)])))
-    return F.slice(found, F.lit(1), F.greatest(F.size(words) - (span - 1), F.lit(0)))
-
-
-def spans(n: Column, similarity: float) -> dict[int, Column]:
-    """Whether a line of ``n`` words has keys of two and of three words; none where it is too short to be similar to another."""
-    some = F.floor(F.floor(n / similarity + 1e-9) * (1 - similarity) + 1e-9) > 0
-    return {2: some & (n <= int((LONG - 1) / similarity + 1e-9)), 3: some & (n >= LONG)}
-
-
-def keyed_lines(lines: DataFrame, common: list[int], similarity: float) -> DataFrame:
-    """``MARKS`` and ``keys`` of each line of ``lines`` (``rid, body``)."""
+def keyed_lines(lines: DataFrame, ranks: list[int], similarity: float) -> DataFrame:
+    """``MARKS`` and ``keys`` of each line of ``lines`` (``rid, body``); none where it is too short to be similar to another."""
     words, n = lines.select("rid", hashes().alias("words")), F.size("words")
-    on = spans(n, similarity)
-    none = F.array().cast("array<bigint>")
-    told = [F.when(on[k], runs("words", k)).otherwise(none).alias(f"runs{k}") for k in on]
-    found = words.select("rid", n.alias("n"), parities("words", 0).alias("odd0"), parities("words", 1).alias("odd1"), *told)
-    # In SQL, since each literal of a Column is a call to the JVM.
-    late = f"if(g IN ({', '.join(f'{v}L' for v in common)}), {LATE}L, 0L)" if common else "0L"
-    ordered = {k: F.sort_array(F.expr(f"transform(runs{k}, g -> (g & {LATE - 1}L) | {late})")) for k in on}
-    keys = F.concat(*[F.slice(ordered[k], F.lit(1), lost(F.col("n"), k, similarity) + 1) for k in on])
-    return found.select(*MARKS, F.array_distinct(keys).alias("keys"))
+    marked = words.select("rid", n.alias("n"), parities("words", 0).alias("odd0"), parities("words", 1).alias("odd1"), "words")
+    able = F.floor(F.floor(F.col("n") / similarity + 1e-9) * (1 - similarity) + 1e-9) > 0
+    # In SQL, since each literal of a Column is a call to the JVM. Ranks add up above the bits of the sum of the hashes.
+    told = f"cast(split('{','.join(map(str, ranks))}', ',') as array<bigint>)"
+    ranked = F.expr(f"transform(words, w -> (w & {(1 << BELOW - 2) - 1}L) + shiftleft(coalesce(get({told}, cast(w & {CLASSES - 1}L as int)), 0L), {BELOW}))")
+    pairs = F.expr("slice(transform(ranked, (w, i) -> coalesce(w + get(ranked, i + 1), 0L)), 1, greatest(size(ranked) - 1, 0))")
+    # Not filtered: a filter would be pushed below and hash the words twice.
+    keys = F.slice(F.sort_array("pairs"), F.lit(1), F.when(able, lost(F.col("n"), SPAN, similarity) + 1).otherwise(0))
+    return marked.withColumn("ranked", ranked).withColumn("pairs", pairs).select(*MARKS, F.array_distinct(keys).alias("keys"))
 
 
 def parities(words: str, part: int, parts: int = 2) -> Column:
     """Whether the number of words of each of 64 classes is odd, as bits; each of the ``parts`` has other classes."""
     mine = lambda h: h.bitwiseAND(F.lit(64 * (parts - 1))) == 64 * part
-    bit = lambda h: F.when(mine(h), F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("long"))
+    bit = lambda h: F.call_function("shiftleft", mine(h).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(words, F.lit(0).cast("long"), lambda odd, w: odd.bitwiseXOR(bit(w)))
 
 
@@ -85,12 +71,14 @@ def hashes(body: str = "body") -> Column:
     return F.transform(F.split(body, " "), lambda w: F.xxhash64(w))
 
 
-def common_runs(lines: DataFrame) -> list[int]:
-    """Runs that many of a sample of the ``lines`` share; at most ``MOST_COMMON`` reach the driver."""
-    sample = lines.filter(F.pmod("h2", F.lit(SAMPLE)) == 0).select(hashes().alias("words"))
-    each = F.array_distinct(F.concat(runs("words", 2), runs("words", 3)))
-    counts = sample.select(F.explode(each).alias("run")).groupBy("run").count().filter(F.col("count") >= COMMON)
-    return sorted(r.run for r in counts.orderBy(F.desc("count"), "run").limit(MOST_COMMON).collect())
+def word_ranks(lines: DataFrame) -> list[int]:
+    """The rank of each class of words, by how often a sample of the ``lines`` has them; only these numbers reach the driver."""
+    sample = lines.filter(F.pmod("h2", F.lit(SAMPLE)) == 0).select(F.explode(hashes()).alias("w"))
+    counts = sample.groupBy(F.col("w").bitwiseAND(F.lit(CLASSES - 1)).cast("int").alias("class")).count().filter(F.col("count") >= COMMON)
+    ranks = [0] * CLASSES
+    for row in counts.collect():
+        ranks[row["class"]] = min(MOST_RANK, row["count"].bit_length())
+    return ranks
 
 
 def symbols(body: Column) -> Column:
@@ -120,24 +108,31 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
     return links
 
 
-def met_lines(lines: DataFrame, similarity: float) -> DataFrame:
-    """``key`` (null where no more than three lines have it), ``MARKS``, and the ``first`` and ``last`` line of the key that may be similar."""
-    keyed = kept(keyed_lines(lines, common_runs(lines), similarity))
-    bucket = Window.partitionBy("key")
+def _met_in(keyed: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """The part of :func:`met_lines` of the keys of one turn."""
+    bucket, line = Window.partitionBy("key"), F.struct(*MARKS)
     alike = lambda e: may_be_similar([F.col(c) for c in MARKS[1:]], [F.col(f"{e}.{c}") for c in MARKS[1:]], similarity)
+    rows = keyed.select(*MARKS, F.explode("keys").alias("key")).filter(F.col("key").bitwiseAND(F.lit(PASSES - 1)) == turn)
+    # Any two of a key's lines will do, if they are the same two for all of its lines.
+    ends = rows.select("*", F.first(line).over(bucket).alias("first"), F.last(line).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("lines")).filter("lines > 1")
+    to = [F.when((F.col("rid") != F.col(f"{e}.rid")) & alike(e), F.col(f"{e}.rid")).alias(e) for e in ("first", "last")]
+    # Three lines of a key have all met at its ends.
+    many = F.col("lines") > 3
+    met = ends.select(F.when(many, F.col("key")).alias("key"), "rid", *[F.when(many, F.col(c)).alias(c) for c in MARKS[1:]], *to)
+    return kept(met.filter("key is not null or first is not null or last is not null"))
+
+
+def met_lines(lines: DataFrame, similarity: float) -> DataFrame:
+    """``rid``, ``key`` and the rest of ``MARKS`` (null where no more than three lines have the key), and the ``first`` and ``last`` line of the key that may be similar."""
+    keyed = kept(keyed_lines(lines, word_ranks(lines), similarity))
     met = None
     for turn in range(PASSES):
-        rows = keyed.select(*MARKS, F.explode("keys").alias("key")).filter(F.col("key").bitwiseAND(F.lit(PASSES - 1)) == turn)
-        # Any two of a key's lines will do, if they are the same two for all of its lines.
-        line = F.struct(*MARKS)
-        ends = rows.select("*", F.first(line).over(bucket).alias("first"), F.last(line).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("lines")).filter("lines > 1")
-        to = [F.when((F.col("rid") != F.col(f"{e}.rid")) & alike(e), F.col(f"{e}.rid")).alias(e) for e in ("first", "last")]
-        # Three lines of a key have all met at its ends.
-        part = ends.select(F.when(F.col("lines") > 3, F.col("key")).alias("key"), *MARKS, *to).filter("key is not null or first is not null or last is not null")
-        part = kept(part)
-        met = part if met is None else met.unionByName(part)
+        # Nothing is left of the last turn but its table, so that its shuffle files can go.
         release(lines.sparkSession)
+        part = _met_in(keyed, turn, similarity)
+        met = part if met is None else met.unionByName(part)
     dropped(keyed)
+    release(lines.sparkSession)
     return met
 
 
@@ -163,7 +158,7 @@ def line_groups(lines: DataFrame, similarity: float) -> DataFrame:
     fresh = kept(across.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct().join(near, ["a", "b"], "left_anti"))
     more = verified(fresh, lines, similarity)
     if not more.isEmpty():
-        roots = connected(links.unionByName(more))
+        roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     dropped(near, left, fresh, links, more)
     release(lines.sparkSession)
     return roots.select(F.col("node").alias("rid"), F.col("root").alias("line_group"))
