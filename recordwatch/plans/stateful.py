@@ -202,5 +202,5 @@ def lifecycle_as_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", k.alias("run_seq"), F.concat(F.lit("r"), k).alias("run_id"), began.alias("started_at"), u.alias("record_id"), ((u * 7 + k) % 5 > 1).alias("seen"), F.lit(True).alias("complete"), ((u * 3 + k) % 6 == 0).alias("failed"),
         ((u + F.floor(k / 30)) % 3).cast("string").alias("facts"), ((k * u) % 4).cast("double").alias("detail"),
     ).withColumnRenamed("event_id", "seq")
-    events = RL.run_to_end(RL.record_lives(log, _POLICY, delay="3650 days"))
+    events = RL.run_to_end(RL.record_lives(log, _POLICY, delay="3650 days"), timers=False)
     return events.select("record_id", "run_id", "event_type", "previous_state", "state", "streak", "semantic_version", "extraction_revision")

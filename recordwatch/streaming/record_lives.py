@@ -11,6 +11,7 @@ announced in time. An observation of a run that passed, but that arrives after i
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
@@ -25,7 +26,16 @@ from recordwatch.streaming.lifecycle_stream import step
 LIFE = "state string, kind string, streak long, since long, facts string, detail double, semantic_version long, extraction_revision long, last long"
 EVENTS = "record_id string, run_id string, at long, event_type string, previous_state string, state string, streak long, semantic_version long, extraction_revision long"
 PASSED = "passed_id string, passed_at timestamp"
-PROVIDER = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+#: What of an observation a record's life needs. It goes to Python as one text, since Spark hands each value of a row over by itself.
+TOLD = ("at", "seq", "run_id", "seen", "complete", "failed", "facts", "detail")
+#: The columns of :data:`EVENTS` but the record; a record's events come back as one row with a list for each.
+LISTS = tuple(c.split()[0] for c in EVENTS.split(", ")[1:])
+OUT = ", ".join(f"{c.split()[0]} array<{c.split()[1]}>" if c.split()[0] in LISTS else c for c in EVENTS.split(", "))
+#: State is kept in RocksDB, without a lookup at each write that only serves to count rows.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 EPOCH = datetime(1970, 1, 1)
 SINCE, LAST = 3, 8
 
@@ -46,10 +56,10 @@ class RunGate(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         latest = self.latest.get()[0] if self.latest.exists() else None
-        for r in sorted(rows, key=lambda r: (r.run_seq, r.at)):
-            if latest is None or r.at > latest:
-                latest = r.at
-                yield Row(passed_id=r.run_id, passed_at=_time(r.at).replace(tzinfo=timezone.utc))
+        for r in sorted((json.loads(r.told) for r in rows), key=lambda r: (r["run_seq"], r["at"])):
+            if latest is None or r["at"] > latest:
+                latest = at = r["at"]
+                yield Row(passed_id=r["run_id"], passed_at=_time(at).replace(tzinfo=timezone.utc))
         if latest is not None:
             self.latest.update((latest,))
 
@@ -71,9 +81,10 @@ class RecordLife(StatefulProcessor):
         self.life.update(tuple(initialState[c.split()[0]] for c in LIFE.split(", ")))
 
     def _known(self) -> tuple | None:
-        if not self.life.exists():
+        found = self.life.get()
+        if found is None:
             return None
-        found = list(self.life.get())
+        found = list(found)
         found[SINCE], found[LAST] = _time(found[SINCE]), _time(found[LAST])
         return tuple(found)
 
@@ -89,12 +100,13 @@ class RecordLife(StatefulProcessor):
             self.handle.registerTimer(_micros(life[SINCE] + timedelta(days=self.policy.absent_days)) // 1000)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        life = self._known()
-        for r in sorted(rows, key=lambda r: (r.at, r.seq)):
-            detail = None if r.detail is None else float(r.detail)
-            life, events, before = step(life, (r.run_id, _time(r.at), r.seen, r.complete, r.failed, r.facts, detail), self.policy)
-            for e in events:
-                yield self._row(key, r.run_id, r.at, e, before, life)
+        life, out = self._known(), []
+        for r in sorted((json.loads(r.told) for r in rows), key=lambda r: (r["at"], r["seq"])):
+            detail = None if r["detail"] is None else float(r["detail"])
+            life, events, before = step(life, (r["run_id"], _time(r["at"]), r["seen"], r["complete"], r["failed"], r["facts"], detail), self.policy)
+            out += [self._values(r["run_id"], r["at"], e, before, life) for e in events]
+        if out:
+            yield self._row(key, out)
         if life is not None:
             self._keep(life)
             if self.absence_timer:
@@ -105,11 +117,15 @@ class RecordLife(StatefulProcessor):
         if life is not None and life[0] == "temporarily_missing" and life[2] >= self.policy.absent_observations:
             after = ("long_absent", *life[1:])
             self._keep(after)
-            yield self._row(key, None, expiredTimerInfo.getExpiryTimeInMs() * 1000, "long_absence_reached", life[0], after)
+            yield self._row(key, [self._values(None, expiredTimerInfo.getExpiryTimeInMs() * 1000, "long_absence_reached", life[0], after)])
+
+    @staticmethod
+    def _values(run_id: str | None, at: int, event: str, before: str | None, life: tuple) -> tuple:
+        return run_id, at, event, before, life[0], life[2], life[6], life[7]
 
     @staticmethod
-    def _row(key: tuple, run_id: str | None, at: int, event: str, before: str | None, life: tuple) -> Row:
-        return Row(record_id=key[0], run_id=run_id, at=at, event_type=event, previous_state=before, state=life[0], streak=life[2], semantic_version=life[6], extraction_revision=life[7])
+    def _row(key: tuple, events: list[tuple]) -> Row:
+        return Row(record_id=key[0], **{c: list(values) for c, values in zip(LISTS, zip(*events))})
 
     def close(self) -> None:
         pass
@@ -118,20 +134,23 @@ class RecordLife(StatefulProcessor):
 def passed_runs(log: DataFrame, delay: str) -> DataFrame:
     """``passed_id, passed_at`` of the runs of a stream that started later than every run announced before; one row a run goes through the gate."""
     runs = log.select("run_id", "run_seq", "started_at").withWatermark("started_at", delay).dropDuplicatesWithinWatermark(["run_id"])
-    keyed = runs.withColumn("at", F.unix_micros("started_at")).withColumn("gate", F.lit("all")).groupBy("gate")
+    keyed = runs.select(F.lit("all").alias("gate"), F.to_json(F.struct("run_seq", F.unix_micros("started_at").alias("at"), "run_id"), {"ignoreNullFields": "false"}).alias("told")).groupBy("gate")
     return keyed.transformWithState(RunGate(), PASSED, "Append", "EventTime", eventTimeColumnName="passed_at")
 
 
 def record_lives(log: DataFrame, policy: Policy = Policy(), initial: DataFrame | None = None, delay: str = "30 days", absence_timer: bool = False, gated: bool = True) -> DataFrame:
     """:data:`EVENTS` of a stream of observations; ``initial`` holds the lives so far. Without ``gated`` all runs pass."""
     rows = log.withColumn("record_id", F.col("record_id").cast("string")).withColumn("run_id", F.col("run_id").cast("string"))
-    watched = rows.withWatermark("started_at", delay)
+    # What the join and its state don't need isn't carried through them.
+    watched = rows.select("record_id", "started_at", *[c for c in TOLD if c != "at"]).withWatermark("started_at", delay)
     if gated:
         passed = passed_runs(rows, delay)
         watched = watched.join(passed, (F.col("run_id") == F.col("passed_id")) & (F.col("started_at") == F.col("passed_at"))).drop("passed_id", "passed_at")
     once = watched.dropDuplicatesWithinWatermark(["run_id", "record_id"]).withColumn("at", F.unix_micros("started_at"))
+    once = once.select("record_id", F.to_json(F.struct(*TOLD), {"ignoreNullFields": "false"}).alias("told"))
     start = None if initial is None else initial.withColumn("record_id", F.col("record_id").cast("string")).groupBy("record_id")
-    return once.groupBy("record_id").transformWithState(RecordLife(policy, absence_timer), EVENTS, "Append", "EventTime", initialState=start)
+    told = once.groupBy("record_id").transformWithState(RecordLife(policy, absence_timer), OUT, "Append", "EventTime", initialState=start)
+    return told.select("record_id", F.explode(F.arrays_zip(*LISTS)).alias("e")).select("record_id", "e.*")
 
 
 def events_once(events: DataFrame, delay: str, id_col: str = "event_id", time: str = "occurred_at") -> DataFrame:
@@ -139,15 +158,21 @@ def events_once(events: DataFrame, delay: str, id_col: str = "event_id", time: s
     return events.withWatermark(time, delay).dropDuplicatesWithinWatermark([id_col])
 
 
-def run_to_end(stream: DataFrame, folder: str | None = None) -> DataFrame:
-    """All that a stream gives of what is there now, as a table in ``folder``; a run that was broken off goes on from its checkpoint there."""
+def run_to_end(stream: DataFrame, folder: str | None = None, timers: bool = True) -> DataFrame:
+    """All that a stream gives of what is there now, as a table in ``folder``; a run that was broken off goes on from its checkpoint there.
+
+    Without ``timers`` nothing is told by time alone, so no micro-batch without rows follows the last one; what may go of the state goes with the next rows.
+    """
     spark = stream.sparkSession
     folder = folder or shared.folder(spark, "stream")
-    before = spark.conf.get(PROVIDER[0], None)
-    spark.conf.set(*PROVIDER)
+    settings = SETTINGS | {"spark.sql.streaming.noDataMicroBatches.enabled": str(timers).lower()}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         query = stream.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.unset(PROVIDER[0]) if before is None else spark.conf.set(PROVIDER[0], before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")

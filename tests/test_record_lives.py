@@ -109,3 +109,15 @@ def test_version_history_works_out_the_timeline_once(spark):
     found = stateful.version_history(spark, "/root/testdata/sf0.001")
     assert not [f for f in found.inputFiles() if "events.parquet" in f]
     assert found.count() > 0 and found.select("version_id").distinct().count() == found.count()
+
+
+def test_odd_values_come_through_and_no_batch_without_rows_follows(spark, tmp_path):
+    odd = {"x": 'a "b"\n\\c', "y": "", "z": "é \U0001f600"}
+    rows = [(*r[:8], odd[r[8]], r[9] if r[0] % 4 else None) for r in random_log(11, 12)]
+    put(spark, rows, str(tmp_path / "log"))
+    kept = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled", None)
+    got = RL.run_to_end(RL.record_lives(read(spark, str(tmp_path / "log")), POLICY), str(tmp_path / "timers"))
+    one = RL.run_to_end(RL.record_lives(read(spark, str(tmp_path / "log")), POLICY), str(tmp_path / "kept"), timers=False)
+    assert listed(one) == listed(got) == batch(spark, rows) and one.count() > 20
+    assert [p.name for p in (tmp_path / "kept/state/commits").iterdir() if not p.name.startswith(".")] == ["0"]
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled", None) == kept
