@@ -102,7 +102,7 @@ def ordered_unique(values: Column) -> Column:
 
 
 def merge_candidates(df: DataFrame, key: list[str]) -> DataFrame:
-    """One candidate per key: the first title that isn't blank, the longest evidence (the first of equals), the first origin but anchors, and all keywords. Needs ``pos``.
+    """One candidate per key: the first title that isn't blank, the longest evidence (the first of equals), the first origin but anchors, and all keywords, where ``df`` has such a column. Needs ``pos``.
 
     Keywords are made distinct by a shuffle of their own before they are listed, so no key's lists are gathered whole.
     """
@@ -113,6 +113,8 @@ def merge_candidates(df: DataFrame, key: list[str]) -> DataFrame:
     merged = rows.groupBy(*key).agg(
         F.coalesce(title["title"], F.lit("")).alias("title"), evidence["evidence"].alias("evidence"), F.coalesce(origin["origin"], F.lit("anchor")).alias("origin"), F.min("pos").alias("pos"),
     )
+    if "keywords" not in df.columns:
+        return merged
     words = rows.select(*[F.col(k).alias(f"__{k}") for k in key], F.explode("keywords").alias("word")).distinct()
     listed = words.groupBy(*[f"__{k}" for k in key]).agg(F.array_sort(F.collect_list("word")).alias("keywords"))
     same = F.lit(True)

@@ -45,16 +45,19 @@ def discover(index_pages: DataFrame, sources: list[Source], dom_links: DataFrame
 
     ``index_pages``: ``source_id, html``; ``dom_links`` of rendered pages: ``source_id, pos, href, heading, text, context``.
     """
-    links = HT.page_rows(index_pages, "source_id", "links")
-    data = HT.page_rows(index_pages, "source_id", "json")
-    # Links come before data, and what was rendered after both.
-    found = links.withColumn("part", F.lit(0)).unionByName(data.withColumn("part", F.lit(1)))
+    # Links come before data, and what was rendered after both. A page is read once, and its links are dealt out, since one index page may hold all of them.
+    # The number of parts is given, since they are few bytes, but much work.
+    parts = int(index_pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    read = HT.page_rows(index_pages, "source_id", "both").repartition(parts, "source_id", "pos")
+    found = read.withColumn("part", F.when(F.col("d") == "anchor", 0).otherwise(1))
     if dom_links is not None:
         told = dom_links.select("source_id", "pos", F.col("href").alias("a"), HT.dom_title(F.col("heading"), F.col("text")).alias("b"), F.col("context").alias("c"), F.lit("rendered_dom").alias("d"))
         found = found.unionByName(told.withColumn("part", F.lit(2)))
     address = F.coalesce(*[F.when(F.col("source_id") == s.source_id, candidate_url(F.col("a"), s.url, s.root, s.prefix, s.canonical_host)) for s in sources])
-    rows = found.select("source_id", address.alias("url"), F.col("b").alias("title"), F.col("c").alias("evidence"), F.col("d").alias("origin"), F.struct("part", "pos").alias("pos")).filter("url is not null")
-    return keyed.merge_candidates(rows.withColumn("keywords", F.array().cast("array<string>")), ["source_id", "url"]).select("source_id", "url", "title", "evidence", "origin", "pos")
+    # Exploded, not filtered: a filter would be pushed below and work out the address twice.
+    told = F.explode(F.filter(F.array(address), lambda url: url.isNotNull())).alias("url")
+    rows = found.select("source_id", told, F.col("b").alias("title"), F.col("c").alias("evidence"), F.col("d").alias("origin"), F.struct("part", "pos").alias("pos"))
+    return keyed.merge_candidates(rows, ["source_id", "url"]).select("source_id", "url", "title", "evidence", "origin", "pos")
 
 
 def merged_reading(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -92,7 +95,8 @@ def extract(
     sites = {s.source_id: s.site for s in sources}
     # Kept between the steps, since several parts of the result read them; executors that are lost work theirs out again.
     candidates = selection.truncated(discover(index_pages, sources, dom_links).persist(), ["source_id"], [F.col("pos")], most).persist()
-    fetched = candidates.join(details.withColumnRenamed("url", "__url"), F.col("url") == F.col("__url"), "left").drop("__url")
+    sized = details.withColumnRenamed("url", "__url").withColumns({"__bytes": F.octet_length("html"), "__blank": F.trim(F.coalesce("html", F.lit(""))) == ""})
+    fetched = candidates.join(sized, F.col("url") == F.col("__url"), "left").drop("__url")
     keys = fetched.withColumn("key", F.concat_ws("|", "source_id", "url"))
 
     def read(html: str, way: str) -> DataFrame:
@@ -100,12 +104,13 @@ def extract(
         return got.select(F.col("key").alias(f"{way}_key"), F.struct(*[c for c in got.columns if c != "key"]).alias(f"{way}_page"))
 
     static, rendered = read("html", "static"), read("rendered_html", "rendered")
-    rows = keys.join(static, F.col("key") == F.col("static_key"), "left").join(rendered, F.col("key") == F.col("rendered_key"), "left")
+    # Pages aren't carried along once they are read.
+    rows = keys.drop("html", "rendered_html").join(static, F.col("key") == F.col("static_key"), "left").join(rendered, F.col("key") == F.col("rendered_key"), "left")
     ended = F.lit("inside")
     if "final_url" in details.columns:
         ended = F.coalesce(*[F.when((F.col("source_id") == s.source_id) & F.col("final_url").isNotNull(), landed(F.col("final_url"), s.url, s.root, s.prefix, s.canonical_host)) for s in sources], ended)
     no_page = C.fetch_error(
-        F.lit(True), F.when(F.col("http_status").isNull(), "request_error"), ended, F.col("http_status"), F.col("content_type"), F.octet_length("html"), F.trim(F.coalesce("html", F.lit(""))) == ""
+        F.lit(True), F.when(F.col("http_status").isNull(), "request_error"), ended, F.col("http_status"), F.col("content_type"), F.col("__bytes"), F.coalesce("__blank", F.lit(True))
     )
     error = F.coalesce(no_page, F.col("static_page.error"))
     rows = rows.withColumn("error", error).withColumn("render", C.render_decision(F.lit(render), F.col("error"), F.col("error").isNull()))
