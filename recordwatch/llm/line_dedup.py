@@ -41,7 +41,8 @@ def normal_form(line: Column) -> Column:
 
 def words_form(line: Column) -> Column:
     """Letters and digits in lower case, every run of anything else as one blank."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    # Single blanks are left alone: to put a blank for each of them took a third of the time.
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N} ][^\p{L}\p{N}]*| [^\p{L}\p{N}]+", " "))
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str, form: Callable[[Column], Column] = normal_form) -> DataFrame:

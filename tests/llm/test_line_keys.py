@@ -25,3 +25,24 @@ def test_lines_of_common_words_alone_are_linked(spark):
     rows = [(k, 5 * k, " ".join(x)) for k, x in enumerate((base, edited, other))]
     got = {r.rid: r.line_group for r in line_edits.line_groups(spark.createDataFrame(rows, "rid long, h2 long, body string"), 0.8).collect()}
     assert got == {0: 0, 1: 0}
+
+
+def test_lines_that_share_pairs_of_words_alone_do_not_meet(spark):
+    """Such pairs met by chance, more than in proportion to the table; now a key is three words or two at an end."""
+    rows = [(k, 32 * k, " ".join(f"p{j} q{j} x{k}y{j}" for j in range(10))) for k in range(6)]
+    assert line_edits.met_lines(spark.createDataFrame(rows, "rid long, h2 long, body string"), 0.8).count() == 0
+
+
+def test_an_end_without_a_row_of_its_own_is_linked(spark):
+    """Three lines have a key; the first is similar to the middle one only, by length too."""
+    shared = "rare words here"
+    rows = [
+        (0, 5, f"{shared} a b c d e f g"),
+        (1, 5, f"{shared} a b c d e f h"),
+        (2, 5, f"{shared} " + " ".join(f"z{k}" for k in range(60))),
+    ]
+    for order in ((0, 1, 2), (0, 2, 1), (2, 0, 1)):
+        lines = spark.createDataFrame([(k, rows[r][1], rows[r][2]) for k, r in enumerate(order)], "rid long, h2 long, body string")
+        got = {r.rid: r.line_group for r in line_edits.line_groups(lines, 0.8).collect()}
+        alike = sorted(k for k, r in enumerate(order) if r < 2)
+        assert got == dict.fromkeys(alike, alike[0])
