@@ -124,6 +124,7 @@ def verified(likely: DataFrame, lines: DataFrame, similarity: float) -> DataFram
     """Those of ``likely`` pairs (a, b) whose ``lines`` (``rid, body``) are similar enough."""
     texts = kept(lines.join(ends_of(likely), "rid").select("rid", symbols(F.col("body")).alias("coded")))
     longer = F.greatest(F.char_length("a_coded"), F.char_length("b_coded"))
+    _settled(lines)
     told = likely.join(_side(texts, "a", ["coded"]), "a").join(_side(texts, "b", ["coded"]), "b").withColumn("most", F.floor(longer * (1 - similarity) + 1e-9).cast("int"))
     links = kept(told.filter("levenshtein(a_coded, b_coded, most) >= 0").select("a", "b"))
     dropped(texts)
@@ -131,6 +132,12 @@ def verified(likely: DataFrame, lines: DataFrame, similarity: float) -> DataFram
     return links
 
 
+def _settled(lines: DataFrame) -> None:
+    """Let the shuffle files of earlier steps go. Spark holds on to the last query until there is another one."""
+    lines.sparkSession.range(0).collect()
+    release(lines.sparkSession)
+
+
 def _met_in(lines: DataFrame, ranks: list[int], turn: int, similarity: float) -> DataFrame:
     """The part of :func:`met_lines` of the keys of one turn."""
     bucket, line = Window.partitionBy("key"), F.struct("rid", "n")
@@ -150,11 +157,10 @@ def met_lines(lines: DataFrame, similarity: float) -> DataFrame:
     """``rid``, ``key`` (null where no more than three lines have it), and the ``first`` and ``last`` line of the key that may be similar by their lengths."""
     ranks, met = word_ranks(lines), None
     for turn in range(PASSES):
-        # Nothing is left of the last turn but its table, so that its shuffle files can go.
-        release(lines.sparkSession)
         part = _met_in(lines, ranks, turn, similarity)
         met = part if met is None else met.unionByName(part)
-    release(lines.sparkSession)
+        # Nothing is left of the turn but its table, so that its shuffle files can go.
+        _settled(lines)
     return met
 
 
@@ -182,6 +188,7 @@ def line_groups(lines: DataFrame, similarity: float) -> DataFrame:
     sized = marked(lines, met.select(F.explode(F.array("rid", "first", "last")).alias("rid")).filter("rid is not null").distinct())
     likely = likely_pairs(near, sized, similarity)
     dropped(near)
+    _settled(lines)
     links = verified(likely, lines, similarity)
     roots = connected(links)
     shared = met.filter("key is not null").select("key", "rid")
