@@ -33,7 +33,7 @@ from recordwatch.functions.ids import alert_key
 from recordwatch.operators.alerts import alert_event_id
 from recordwatch.operators.conditions import CRITICAL, HIGH, INTEGRITY_ALERTS, WARNING
 from recordwatch.operators.health import rolling_median
-from recordwatch.operators.keyed import running_max_before
+from recordwatch.operators.keyed import keep_last, running_max_before
 from recordwatch.sources.shared import settled
 
 STATE = "alert_key string, alert_type string, source_id string, record_id string, count long, severity_rank int, first_opened_at timestamp, last_observed_at timestamp, last_notified_at timestamp, last_run_id string, occurrence_count long, consecutive long, cooldown_until timestamp"
@@ -254,8 +254,8 @@ def evaluate(readings: DataFrame, opened: DataFrame | None = None, applied: tupl
     return Evaluation(events, states)
 
 
-def merged_events(events: DataFrame, keep: int) -> DataFrame:
-    """One row for each ``alert_event_id``, the latest, at the place of the first; the last ``keep`` of them. ``position`` tells the place."""
+def merged_events(events: DataFrame, keep: int | None) -> DataFrame:
+    """One row for each ``alert_event_id``, the latest, at the place of the first; the last ``keep`` of them (None: all). ``position`` tells the place."""
     rest = [c for c in events.columns if c != "alert_event_id"]
     merged = events.groupBy("alert_event_id").agg(F.max(F.struct("seq", *[c for c in rest if c != "seq"])).alias("r"), F.min("seq").alias("position"))
-    return merged.select("alert_event_id", *[F.col(f"r.{c}").alias(c) for c in rest], "position").orderBy(F.desc("position"), F.desc("alert_event_id")).limit(keep)
+    return keep_last(merged.select("alert_event_id", *[F.col(f"r.{c}").alias(c) for c in rest], "position"), [F.desc("position"), F.desc("alert_event_id")], keep)

@@ -47,9 +47,9 @@ def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> Data
     return df.withColumn("__n", place).filter(F.col("__n") <= n).drop("__n")
 
 
-def keep_last(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The last ``n`` rows of all, by a distributed top-k; ``order`` is descending."""
-    return df.orderBy(*order).limit(n)
+def keep_last(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
+    """The last ``n`` rows of all, by a distributed top-k; ``order`` is descending. None keeps all."""
+    return df if n is None else df.orderBy(*order).limit(n)
 
 
 def union_last_value(parts: list[DataFrame], key: str) -> DataFrame:

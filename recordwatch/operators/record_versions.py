@@ -67,8 +67,10 @@ def versions(timed: DataFrame) -> DataFrame:
     )
 
 
-def merged_versions(stored: DataFrame, new: DataFrame, per_record: int) -> DataFrame:
-    """Stored versions and new ones (each with ``pos``): one row for each id, the last, at the place of the first; of each record the last ``per_record``."""
+def merged_versions(stored: DataFrame, new: DataFrame, per_record: int | None) -> DataFrame:
+    """Stored versions and new ones (each with ``pos``): one row for each id, the last, at the place of the first; of each record the last ``per_record`` (None: all)."""
     united = union_last_value([stored, new], "version_id")
+    if per_record is None:
+        return united
     place = F.row_number().over(Window.partitionBy("record_id").orderBy(F.desc("position")))
     return united.withColumn("__n", place).filter(F.col("__n") <= per_record).drop("__n")

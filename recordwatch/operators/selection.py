@@ -39,8 +39,10 @@ def top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def truncated(df: DataFrame, keys: list[str], order: list[Column], cap: int) -> DataFrame:
-    """The first ``cap`` rows of each key with ``overflow``: whether there were more, so the view is not complete."""
+def truncated(df: DataFrame, keys: list[str], order: list[Column], cap: int | None) -> DataFrame:
+    """The first ``cap`` rows of each key (None: all) with ``overflow``: whether there were more, so the view is not complete."""
+    if cap is None:
+        return df.withColumn("overflow", F.lit(False))
     sized = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg((F.count(F.lit(1)) > cap).alias("overflow"))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     first = df.withColumn("__n", place).filter(F.col("__n") <= cap).drop("__n")

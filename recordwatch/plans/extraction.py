@@ -82,7 +82,7 @@ def merged_reading(rows: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def extract(
-    index_pages: DataFrame, details: DataFrame, sources: list[Source], catalog: DataFrame, existing: DataFrame, fetched_at: Column, most: int = 20, render: str = "auto", dom_links: DataFrame | None = None
+    index_pages: DataFrame, details: DataFrame, sources: list[Source], catalog: DataFrame, existing: DataFrame, fetched_at: Column, most: int | None = 20, render: str = "auto", dom_links: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """``diagnostics`` of each candidate, the ``items`` (read now, reused, or the page itself for sources that gave none) and the ``views`` of the sources.
 
@@ -90,7 +90,7 @@ def extract(
     fetches were followed (see ``redirects.followed``), so that those that end at the index or elsewhere are told; ``catalog``: the
     sources' names (see ``records.assembled``); ``existing``: stored items by ``id``, with the columns of new ones; ``dom_links``
     of rendered index pages (see :func:`discover`). A view is complete, and what it lacks may count as missing, if its page was there, gave
-    candidates, and gave no more than ``most``.
+    candidates, and gave no more than ``most`` (None: all are taken).
     """
     sites = {s.source_id: s.site for s in sources}
     # Kept between the steps, since several parts of the result read them; executors that are lost work theirs out again.

@@ -103,11 +103,11 @@ def whole_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = lambda df: df.groupBy("source_id").agg(F.array_join(F.array_sort(F.collect_list(link)), "").alias("html"))
     fetched = lambda html, status: pages.select(F.concat(F.lit("https://"), "source_id", F.lit(".invalid"), "place").alias("url"), html.alias("html"), F.lit(None).cast("string").alias("rendered_html"), status.alias("http_status"), F.lit("text/html").alias("content_type"))
     store = Store(spark, shared.folder(spark, "store"))
-    W.run(store, "r1", datetime(2026, 1, 1), listed(pages), fetched(F.col("html"), F.lit(200)), sources, catalog, most=1_000_000)
+    W.run(store, "r1", datetime(2026, 1, 1), listed(pages), fetched(F.col("html"), F.lit(200)), sources, catalog, most=None)
     # Rendered, the index shows every other of the items that it doesn't list.
     dom = pages.filter(k % 10 == 0).select("source_id", k.cast("int").alias("pos"), F.col("place").alias("href"), F.lit("Rendered").alias("heading"), F.lit("Read more").alias("text"), F.lit("").alias("context"))
     anew = F.when(k % 7 == 0, F.concat(F.lit("<h1>Told anew</h1>"), "html")).otherwise(F.col("html"))
-    W.run(store, "r2", datetime(2026, 1, 8), listed(pages.filter(k % 5 > 0)), fetched(anew, F.when(k % 13 == 0, 404).otherwise(200)), sources, catalog, most=1_000_000, dom_links=dom)
+    W.run(store, "r2", datetime(2026, 1, 8), listed(pages.filter(k % 5 > 0)), fetched(anew, F.when(k % 13 == 0, 404).otherwise(200)), sources, catalog, most=None, dom_links=dom)
     return store.read("events").select("run_id", "record_id", "event_type", "state", "attention")
 
 

@@ -7,6 +7,7 @@ nothing, so a run may be repeated until it succeeds. Nothing but the last run's
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -30,7 +31,15 @@ STATES = ("active", "temporarily_missing", "fetch_failed", "long_absent")
 # Kinds of versions and of events.
 VERSION_KINDS = ("initial_snapshot", "new_item", "semantic_change", "extraction_improvement")
 EVENT_TYPES = ("lifecycle_initialized", "item_discovered", "semantic_content_changed", "extraction_improved", "extraction_degraded", "temporarily_missing", "long_absence_reached", "reappeared", "detail_fetch_failed", "detail_fetch_recovered", "stale_run_ignored")
-PER_RECORD, MOST_EVENTS, MOST_ALERT_EVENTS = 20, 2000, 2000
+
+
+@dataclass(frozen=True)
+class Retention:
+    """How many versions of a record, events and alert events stay, the last ones; None keeps all."""
+
+    versions: int | None = None
+    events: int | None = None
+    alert_events: int | None = None
 
 
 def run_order(store: Store, run_id: str, started_at: datetime) -> tuple[str, tuple[int, str, datetime] | None]:
@@ -74,8 +83,8 @@ def _rules(tables: dict[str, DataFrame], run_id: str) -> DataFrame:
 
 
 def plan(
-    store: Store, run_id: str, started_at: datetime, index_pages: DataFrame, details: DataFrame, sources: list[X.Source], catalog: DataFrame, most: int = 20, render: str = "auto", dom_links: DataFrame | None = None,
-    policy: L.Policy = L.Policy(), alerts: AS.Policy = AS.Policy(),
+    store: Store, run_id: str, started_at: datetime, index_pages: DataFrame, details: DataFrame, sources: list[X.Source], catalog: DataFrame, most: int | None = 20, render: str = "auto", dom_links: DataFrame | None = None,
+    policy: L.Policy = L.Policy(), alerts: AS.Policy = AS.Policy(), retention: Retention = Retention(),
 ) -> dict[str, DataFrame] | None:
     """The tables that a run makes; None for a run that may not change anything. Inputs as for :func:`extraction.extract`."""
     order, last = run_order(store, run_id, started_at)
@@ -94,10 +103,10 @@ def plan(
 
     new_events = L.events(timed).select("seq", "run_id", "started_at", "record_id", "event_type", "previous_state", "state", "attention", "event_id")
     old_events = store.read("events", ", ".join(f"{c} {t}" for c, t in new_events.dtypes))
-    events = K.keep_last(old_events.unionByName(K.not_yet_stored(new_events, old_events, "event_id")), [F.desc("seq"), F.desc("event_id")], MOST_EVENTS)
+    events = K.keep_last(old_events.unionByName(K.not_yet_stored(new_events, old_events, "event_id")), [F.desc("seq"), F.desc("event_id")], retention.events)
     new_versions = RV.versions(timed).withColumn("pos", F.struct("seq", "record_id"))
     old_versions = store.read("versions", ", ".join(f"{c} {t}" for c, t in new_versions.drop("pos").dtypes)).withColumn("pos", F.struct("seq", "record_id"))
-    versions = RV.merged_versions(old_versions, new_versions, PER_RECORD).drop("position")
+    versions = RV.merged_versions(old_versions, new_versions, retention.versions).drop("position")
 
     told_views = views.withColumns(stamp | {"candidate_count": F.col("candidate_count").cast("long")}).select(*[c.split()[0] for c in VIEWS.split(", ")])
     history = store.read("views", VIEWS).unionByName(told_views)
@@ -105,7 +114,7 @@ def plan(
     readings = AS.records(after.withColumns(stamp)).unionByName(AS.unreachable(told_views, alerts)).unionByName(AS.collapsed(history, alerts).filter(F.col("seq") == now[0])).unionByName(AS.success_rate(counts, alerts))
     evaluated = AS.evaluate(readings, store.read("alert_states", AS.STATE), None if last is None else (last[1], last[2]), alerts)
     alert_kind = ", ".join(f"{c} {t}" for c, t in evaluated.events.dtypes)
-    alert_events = AS.merged_events(store.read("alert_events", alert_kind).unionByName(evaluated.events), MOST_ALERT_EVENTS).drop("position")
+    alert_events = AS.merged_events(store.read("alert_events", alert_kind).unionByName(evaluated.events), retention.alert_events).drop("position")
     notified = AL.notifications(new_events, old_events, initialized=last is not None).select("event_id", "record_id", "event_type", "severity", "category", "run_id")
 
     tables = {

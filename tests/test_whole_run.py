@@ -74,6 +74,22 @@ def test_runs_from_pages_to_one_commit(spark, tmp_path, catalog, monkeypatch):
     assert {r.state for r in store.read("lives").collect()} == {"active"} and store.read("runs").count() == 4
 
 
+def test_no_event_is_left_out_unless_asked(spark, tmp_path, catalog):
+    store, n = Store(spark, str(tmp_path / "store")), 2001
+    go = lambda day, told, **how: W.run(store, f"r{day}", START + timedelta(days=day), *inputs(spark, range(n), {k: told for k in range(n)}), SITES, catalog, most=None, **how)
+    count = lambda name: {r.run_id: r["count"] for r in store.read(name).groupBy("run_id").count().collect()}
+    assert go(1, "One") and count("events") == {"r1": n} and count("versions") == {"r1": n}
+    assert go(2, 404) and count("events") == {"r1": n, "r2": n} and count("alert_events")["r2"] >= n
+    assert [r.complete for r in store.read("views").collect()] == [True, True]
+    assert go(3, "One", retention=W.Retention(events=5, alert_events=3)) and count("events") == {"r3": 5} and store.read("alert_events").count() == 3
+
+
+def test_versions_of_a_record_all_stay_unless_asked(spark):
+    rows = [(n, f"v{n}", "a", n) for n in range(25)]
+    new = spark.createDataFrame(rows, "pos long, version_id string, record_id string, seq long")
+    assert RV.merged_versions(new.limit(0), new, None).count() == 25 and RV.merged_versions(new.limit(0), new, 20).count() == 20
+
+
 def test_a_run_at_a_time_against_the_whole_log(spark):
     rng = random.Random(4)
     rows = []
