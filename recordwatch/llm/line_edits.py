@@ -30,7 +30,7 @@ BELOW, SHUFFLED = 56, 48
 #: Words in a key of :func:`line_groups`.
 SPAN = 3
 #: Parts of the keys that are dealt one after the other, to hold less on disk at a time; keys are not stored but worked out for each.
-PASSES = 2
+PASSES = 1
 #: Below this a pair of similar lines need not have three neighbouring words in common.
 LEAST_SIMILARITY = 0.8
 #: Parts of 64 classes each by which pairs are told apart before their texts are fetched.
@@ -138,12 +138,23 @@ def _settled(lines: DataFrame) -> None:
     release(lines.sparkSession)
 
 
+def dealt_keys(lines: DataFrame, ranks: list[int], turn: int, similarity: float) -> DataFrame:
+    """``rid, n, key`` for each key of one turn, dealt out by ``key``."""
+    # What is exploded is no column: else a filter on it would be pushed below and work out all runs twice.
+    keys = runs(lines, ranks, SPAN).select("rid", "n", F.explode(first_runs(SPAN, similarity)).alias("run"))
+    # Two columns are shuffled: the number of words stands above a key's bits. To cut it there makes lines more alike, never less.
+    told = F.lit((1 << SHUFFLED) - 1)
+    sized = F.shiftleft(F.least("n", F.lit((1 << 64 - SHUFFLED) - 1)).cast("long"), SHUFFLED)
+    both = keys.select("rid", sized.bitwiseOR(F.col("run").bitwiseAND(told)).alias("both"))
+    if PASSES > 1:
+        both = both.filter(F.col("both").bitwiseAND(told) % PASSES == turn)
+    return both.repartition(F.col("both").bitwiseAND(told)).select("rid", F.shiftrightunsigned("both", SHUFFLED).cast("int").alias("n"), F.col("both").bitwiseAND(told).alias("key"))
+
+
 def _met_in(lines: DataFrame, ranks: list[int], turn: int, similarity: float) -> DataFrame:
     """The part of :func:`met_lines` of the keys of one turn."""
     bucket, line = Window.partitionBy("key"), F.struct("rid", "n")
-    # What is exploded is no column: else a filter on it would be pushed below and work out all runs twice.
-    keys = runs(lines, ranks, SPAN).select("rid", "n", F.explode(first_runs(SPAN, similarity)).alias("run"))
-    rows = keys.select("rid", "n", F.col("run").bitwiseAND(F.lit((1 << SHUFFLED) - 1)).alias("key")).filter(F.col("key") % PASSES == turn)
+    rows = dealt_keys(lines, ranks, turn, similarity)
     # Any two of a key's lines will do, if they are the same two for all of its lines.
     ends = rows.select("*", F.first(line).over(bucket).alias("first"), F.last(line).over(bucket).alias("last"), F.count(F.lit(1)).over(bucket).alias("lines")).filter("lines > 1")
     alike = lambda e: F.least("n", f"{e}.n") >= F.greatest("n", f"{e}.n") * similarity - 1e-9
@@ -167,14 +178,15 @@ def met_lines(lines: DataFrame, similarity: float) -> DataFrame:
 def across_groups(left: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of lines of one key (``key, rid, grp`` and ``MARKS``) that are of different groups and that their marks don't tell apart.
 
-    Lines meet only those whose length is of the same or a neighbouring class; no similar line is farther off.
+    Lines meet only those whose length is of the same class or the one below; no similar line is farther off. A pair meets once:
+    the longer line, of equals the one with the greater ``rid``, looks for the other.
     """
     size = F.floor(F.log("n") / math.log(1.0001 / similarity)).cast("int")
     one = left.withColumn("size", size)
-    other = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rid", "grp", *MARKS)], F.explode(F.array(size - 1, size, size + 1)).alias("size"))
+    other = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rid", "grp", *MARKS)], F.explode(F.array(size, size + 1)).alias("size"))
     alike = may_be_similar([F.col(c) for c in MARKS], [F.col(f"{c}_b") for c in MARKS], similarity)
-    pairs = one.join(other, ["key", "size"]).filter("rid > rid_b and grp <> grp_b").filter(alike)
-    return pairs.select(F.col("rid").alias("a"), F.col("rid_b").alias("b")).distinct()
+    pairs = one.join(other, ["key", "size"]).filter("grp <> grp_b and (n > n_b or n = n_b and rid > rid_b)").filter(alike)
+    return pairs.select(F.greatest("rid", "rid_b").alias("a"), F.least("rid", "rid_b").alias("b")).distinct()
 
 
 def line_groups(lines: DataFrame, similarity: float) -> DataFrame:
